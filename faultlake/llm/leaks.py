@@ -19,6 +19,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -204,3 +205,34 @@ def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str
 
     plain = documents.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(key, text)
     return plain.mapInArrow(run, f"`{key}` {kind}, item_id long, held_words int, item_words int, first_word int, last_word int")
+
+
+def without_leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
+    """(doc_id, text, removed_words): every document with the leaked passages cut out of its text.
+
+    Text between the first and last word of the passages goes; documents without leaks stay as they are.
+    """
+    found = leaks(documents, items)
+    spans = found.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("first_word", "last_word"))).alias("spans"))  # at most one for each item
+
+    @F.pandas_udf("struct<text: string, removed_words: int>")
+    def cut(text: pd.Series, spans: pd.Series) -> pd.DataFrame:
+        out = []
+        for t, own in zip(text, spans, strict=True):
+            if t is None or own is None or not len(own):
+                out.append((t, 0))
+                continue
+            # Lower case may change the length of a text, so places are taken from the text as it stands.
+            at = [m.span() for m in _WORD.finditer(t)]
+            keep, begin, removed = [], 0, 0
+            for span in own:
+                a, b = span["first_word"], min(span["last_word"], len(at))
+                if a < b and at[b - 1][1] > begin:
+                    keep.append(t[begin:max(begin, at[a][0])])
+                    begin, removed = at[b - 1][1], removed + b - a
+            out.append(("".join(keep) + t[begin:], removed))
+        return pd.DataFrame(out, columns=["text", "removed_words"])
+
+    joined = documents.select("doc_id", "text").join(spans, "doc_id", "left")
+    leaked = joined.where("spans is not null").withColumn("c", cut("text", "spans")).select("doc_id", "c.text", "c.removed_words")
+    return leaked.union(joined.where("spans is null").select("doc_id", "text", F.lit(0)))
