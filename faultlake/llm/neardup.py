@@ -34,6 +34,7 @@ from faultlake.session import checked_broadcast, stage
 
 WIDTH, SIMILAR = 3, 0.5
 GROUPS, BANDS, ROWS = 256, 64, 4
+FULL = 255
 BLOCK, LEAF, CELL = 2048, 16, 8192
 #: Up to so many ids of surviving records are sent to the tasks; more are joined by shuffle.
 MAX_BROADCAST = 300_000
@@ -96,7 +97,7 @@ def _signatures(sets: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.nda
     owner = np.repeat(np.arange(len(sizes)), sizes)
     cell = owner * GROUPS + (sets >> np.uint64(56)).astype(np.int64) % GROUPS
     counts = np.bincount(cell, minlength=len(sizes) * GROUPS).reshape(len(sizes), GROUPS)
-    return mark, keys, np.minimum(counts, 65535).astype(np.uint16)
+    return mark, keys, np.minimum(counts, FULL).astype(np.uint8)
 
 
 def _chunks(batch: pa.RecordBatch, most: int = 1_000_000) -> Iterator[tuple[int, int]]:
@@ -111,7 +112,7 @@ def _chunks(batch: pa.RecordBatch, most: int = 1_000_000) -> Iterator[tuple[int,
 
 
 def _packed(counts: np.ndarray) -> list[bytes]:
-    """Points as bytes; counts over 255 keep their bound as 255 only together with the size, see ``_bounds``."""
+    """Points as one byte for each group; FULL stands for any higher count."""
     return [row.tobytes() for row in counts]
 
 
@@ -199,7 +200,10 @@ class RTree:
 
 
 def _points(column: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(column), dtype=np.uint16).reshape(len(column), GROUPS)
+    """Points as numbers; a count that is FULL is taken as unlimited, so that no bound is too small."""
+    found = np.frombuffer(b"".join(column), dtype=np.uint8).reshape(len(column), GROUPS).astype(np.uint16)
+    found[found == FULL] = 65535
+    return found
 
 
 def _cell_pairs(rows: pd.DataFrame) -> pd.DataFrame:
@@ -235,7 +239,7 @@ def candidates(found: DataFrame) -> DataFrame:
     few = _bounded(few, points)
     # Larger blocks: their members' points in cells of about CELL rows; a block beyond BLOCK rows in pairs of parts.
     large = counted.where("n > 3").select("block", "n")
-    members = stage(blocks.join(large, "block").distinct())
+    members = stage(blocks.join(checked_broadcast(large, MAX_BROADCAST), "block").distinct())
     if members.limit(1).count() == 0:
         return few
     parts = F.ceil(F.col("n") / BLOCK).cast("int")
