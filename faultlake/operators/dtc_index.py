@@ -138,7 +138,7 @@ def merge_groups_with_links(rows: DataFrame, links: DataFrame, footer_map: DataF
     k = links.groupBy("table_id").agg(F.array_sort(F.collect_list(F.struct("y0", "ord", "link_ref", "link_page", "dest"))).alias("links"))
     both = r.join(k, "table_id", "left").withColumn("links", F.coalesce("links", F.array().cast(k.schema["links"].dataType)))
     state = F.struct(F.lit(0).alias("next"), F.lit(None).cast("int").alias("page"), F.lit(None).cast("string").alias("ref"),
-                     F.array().cast("array<struct<row_no:int,code:string,page:int,ref:string>>").alias("out"))
+                     F.array().cast("array<struct<row_no:bigint,code:string,page:int,ref:string>>").alias("out"))
 
     def step(s, x):
         link = F.get(F.col("links"), s["next"])
@@ -153,7 +153,7 @@ def merge_groups_with_links(rows: DataFrame, links: DataFrame, footer_map: DataF
         page = F.when(~opens, s["page"]).when(taken, link["link_page"].cast("int")).otherwise(x["mapped"].cast("int"))
         ref = F.when(opens, x["ref"]).otherwise(s["ref"])
         after = F.when(opens & taken, s["next"] + 1 + run).otherwise(s["next"])
-        row = F.struct(x["row_no"].cast("int").alias("row_no"), x["code"].alias("code"), page.alias("page"), ref.alias("ref"))
+        row = F.struct(x["row_no"].cast("bigint").alias("row_no"), x["code"].alias("code"), page.alias("page"), ref.alias("ref"))
         return F.struct(after.alias("next"), page.alias("page"), ref.alias("ref"), F.concat(s["out"], F.array(row)).alias("out"))
 
     done = both.select("table_id", F.aggregate("rows", state, step, lambda s: s["out"]).alias("out"))

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from faultlake.session import table
 
+#: Lines of an order are not unique by number alone.
+KEY = "((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey % 100000) * 10000 + l_suppkey % 10000"
 HEX = "lpad(hex(l_partkey), 4, '0')"
 DERIVED = {
-    "dtc_index": f"""select l_orderkey * 10 + l_linenumber as seq, substr('PBCU', cast(l_partkey % 4 as int) + 1, 1) || {HEX} as code,
+    "dtc_index": f"""select {KEY} as seq, substr('PBCU', cast(l_partkey % 4 as int) + 1, 1) || {HEX} as code,
  cast(l_orderkey % 500 + 1 as int) as page, case when l_orderkey % 5 > 0 then 'EVB-' || cast(l_orderkey % 500 + 1 as varchar(9)) end as page_ref, p_name as title
  from {{lineitem}} join {{part}} on l_partkey = p_partkey""",
     "pages_seq": """select doc, cast(page as int) as page, case when o_orderkey % 37 = 0 then 'TYPE ' || cast(o_orderkey % 3 as varchar(9)) end as type_heading,
@@ -19,12 +21,12 @@ DERIVED = {
     "cells": """select cast(l_orderkey % 50 as int) as tbl, cast(l_linenumber % 4 as int) as col,
  cast(row_number() over (partition by l_orderkey % 50, l_linenumber % 4 order by l_orderkey, l_linenumber, l_partkey, l_suppkey) as int) as row,
  case when l_suppkey % 3 = 0 then '' else 'v' || cast(cast(l_quantity as int) % 3 as varchar(9)) end as value from {lineitem}""",
-    "links": """select cast(l_orderkey % 200 as int) as page_id, l_orderkey * 10 + l_linenumber as ord, l_quantity * 10 + l_linenumber as mid, l_suppkey as target
- from {lineitem} where l_orderkey % 7 = 0""",
+    "links": f"""select cast(l_orderkey % 200 as int) as page_id, {KEY} as ord, l_quantity * 10 + l_linenumber as mid, l_suppkey as target
+ from {{lineitem}} where l_orderkey % 7 = 0""",
     "code_rows": "select cast(p_partkey % 200 as int) as page_id, p_partkey as code, cast(p_size * 10 as double) as y from {part}",
-    "words": """select cast(l_orderkey % 300 as int) as page_id, l_orderkey * 10 + l_linenumber as ord, cast(cast(l_extendedprice as bigint) % 500 as double) as x0,
- cast(cast(l_extendedprice as bigint) % 500 as double) + 20 as x1, cast(l_partkey % 60 as double) * 3 as y0, cast(l_partkey % 60 as double) * 3 + 10 as y1,
- 'w' || cast(l_suppkey % 7 as varchar(9)) as text from {lineitem} where l_linenumber = 1""",
+    "words": f"""select cast(l_orderkey % 300 as int) as page_id, {KEY} as ord, cast(cast(floor(l_extendedprice) as bigint) % 500 as double) as x0,
+ cast(cast(floor(l_extendedprice) as bigint) % 500 as double) + 20 as x1, cast(l_partkey % 60 as double) * 3 as y0, cast(l_partkey % 60 as double) * 3 + 10 as y1,
+ 'w' || cast(l_suppkey % 7 as varchar(9)) as text from {{lineitem}} where l_linenumber = 1""",
     "sections": "select cast(user_id as bigint) as doc, event_id as idx, cast(event_id % 24 as int) as page_start, 's' || cast(event_id as varchar(19)) as section_id from {events} where event_type = 'click'",
     "images": "select cast(user_id as bigint) as doc, cast(event_id % 24 as int) as page, event_id as image from {events} where event_type = 'view'",
 }

@@ -131,11 +131,11 @@ def fn25(spark, sf):
     return a.select("article_id", T.list_fault_codes(F.array_join("fault_codes", " "), F.lit("Fault codes:")).alias("codes"))
 
 
-@query("fn26_part_numbers", rf"""with {_DEDUP} select article_id, list_filter(regexp_extract_all(c, '[0-9A-Za-z-]{{5,}}'), lambda x: regexp_matches(x, '\d')) as parts
- from (select article_id, list_reduce(list_prepend('', part_numbers), lambda a, b: a || ' ' || b) as c from arts where len(part_numbers) > 0)""")
+@query("fn26_part_numbers", r"""select p_partkey, list_filter(regexp_extract_all(c, '[0-9A-Za-z-]{5,}'), lambda x: regexp_matches(x, '\d')) as parts
+ from (select p_partkey, p_brand || '-' || cast(p_size as varchar) || ', ' || p_name || ' 1E100RMX' || cast(p_partkey as varchar) as c from part)""")
 def fn26(spark, sf):
-    a = table(spark, sf, "articles").where("size(part_numbers) > 0").dropDuplicates(["article_id"])
-    return a.select("article_id", T.list_part_numbers(F.array_join("part_numbers", " "), F.lit("Part numbers:")).alias("parts"))
+    items = F.concat("p_brand", F.lit("-"), F.col("p_size").cast("string"), F.lit(", "), "p_name", F.lit(" 1E100RMX"), F.col("p_partkey").cast("string"))
+    return table(spark, sf, "part").select("p_partkey", T.list_part_numbers(items, F.lit("Part numbers:")).alias("parts"))
 
 
 @query("flt29_labels", rf"""with {_LINES} select distinct line, regexp_matches(lower(line), '\bfaults?\b|\berrors?\b|\bfault code\b|\berror code\b') as fault,
