@@ -53,7 +53,7 @@ def record_runs(starts: DataFrame, pages: DataFrame) -> DataFrame:
 def type_segments(pages: DataFrame) -> DataFrame:
     """(doc, record, segment, type, first_page, last_page): a record's run cut where the type changes."""
     w = W.partitionBy("doc", "record").orderBy("page")
-    change = F.when(F.lag("type").over(w).eqNullSafe(F.col("type")), 0).otherwise(1)
+    change = F.when((F.row_number().over(w) > 1) & F.lag("type").over(w).eqNullSafe(F.col("type")), 0).otherwise(1)
     cut = pages.withColumn("_c", change).withColumn("segment", F.sum("_c").over(w.rowsBetween(W.unboundedPreceding, W.currentRow)))
     return cut.groupBy("doc", "record", "segment").agg(F.first("type").alias("type"), F.min("page").alias("first_page"), F.max("page").alias("last_page"))
 
