@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from faultlake.session import stage
+
 MAX_LABELLED = 2500
 MAX_SUBJECTS = 256
 SHARE = 1 / 3
@@ -227,9 +229,8 @@ class Model:
         rest = [self.votes[name].get(key, -1) for name, key in zip(FUNCTIONS[1:], self.keys(text, origin, source), strict=True)]
         return rows, [top, *rest]
 
-    def assign(self, text: str | None, origin: str | None, source: str | None) -> list[tuple[int, float]]:
-        """(subject_id, share) of the one or two subjects of a document."""
-        rows, votes = self.score(text, origin, source)
+    def assign(self, rows: np.ndarray, votes: list[int]) -> list[tuple[int, float]]:
+        """(subject_id, share) of the one or two subjects of a document, from what ``score`` gave."""
         k = len(self.subjects)
         other = np.array([[-1, *votes[1:]]])
         prior = np.log(self.prior) + log_votes(other, self.alpha, self.rate)[0]
@@ -239,56 +240,62 @@ class Model:
             return [(self.subjects[best], float(p[best] / p.sum()))]
         p = rows + prior
         p = np.exp(p - p.max(axis=1, keepdims=True))
-        share = (p / p.sum(axis=1, keepdims=True)).mean(axis=0)
+        share = (p / p.sum(axis=1, keepdims=True)).sum(axis=0) / len(rows)
         order = np.argsort(-share, kind="stable")
-        return [(self.subjects[j], float(share[j])) for i, j in enumerate(order[:2]) if i == 0 or share[j] >= SHARE - 1e-9]
+        return [(self.subjects[j], float(share[j])) for i, j in enumerate(order[: min(2, k)]) if i == 0 or share[j] >= SHARE - 1e-9]
 
 
-def fit(documents: DataFrame, labels: DataFrame, subjects: DataFrame, items: DataFrame) -> Model | None:
-    """The model from at most ``MAX_LABELLED`` labelled documents and the vote patterns of all documents."""
-    spark = documents.sparkSession
+def learn(documents: DataFrame, labels: DataFrame, subjects: DataFrame, items: DataFrame) -> Model | None:
+    """The labelling functions, from at most ``MAX_LABELLED`` labelled documents."""
     ids = sorted(int(r[0]) for r in subjects.where("subject_id is not null").select("subject_id").distinct().limit(MAX_SUBJECTS + 1).collect())
     if len(ids) > MAX_SUBJECTS:
         raise ValueError("too many subjects")
     exam = [r[0] for r in items.select("text").distinct().toLocalIterator()]
-    chosen = labels.where("doc_id is not null and subject_id is not null").groupBy("doc_id").agg(F.sort_array(F.collect_set("subject_id")).alias("labels"))
+    known = labels.where("doc_id is not null and subject_id is not null").join(F.broadcast(documents.sparkSession.createDataFrame([(i,) for i in ids], "subject_id int")), "subject_id", "left_semi")
+    chosen = known.groupBy("doc_id").agg(F.sort_array(F.collect_set("subject_id")).alias("labels"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
     sample = documents.select("doc_id", "text", "origin", "source").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).toPandas()
     if not len(sample) or not ids:
         return None
-    sample = sample.sort_values("doc_id").astype(object).where(sample.notna(), None)
-    model = Model(sample, ids, exam)
-    shared = spark.sparkContext.broadcast(model)
+    return Model(sample.sort_values("doc_id").astype(object).where(sample.notna(), None), ids, exam)
+
+
+def scored(documents: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, votes of the functions, scores) of every document, staged: texts are read once."""
+    shared = documents.sparkSession.sparkContext.broadcast(model)
 
-    def votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = Counter()
-            for t, o, s in batch.astype(object).where(batch.notna(), None).itertuples(index=False):
-                found[tuple(shared.value.score(t, o, s)[1])] += 1
-            yield pd.DataFrame([[*key, n] for key, n in found.items()], columns=[*FUNCTIONS, "n"])
+            out = []
+            for d, t, o, c in batch.astype(object).where(batch.notna(), None).itertuples(index=False):
+                rows, votes = shared.value.score(t, o, c)
+                out.append((d, *votes, rows.astype(np.float32).tobytes()))
+            yield pd.DataFrame(out, columns=["doc_id", *FUNCTIONS, "scores"])
 
-    plain = documents.where("doc_id is not null").select("text", "origin", "source")
-    counted = plain.mapInPandas(votes, ", ".join(f"{n} int" for n in FUNCTIONS) + ", n long")
-    # At most (subjects + 1) ** 4 patterns, whatever the number of documents.
-    patterns = counted.groupBy(*FUNCTIONS).agg(F.sum("n").alias("n")).toPandas()
-    model.prior, model.alpha, model.rate = accuracies(patterns, len(ids))
-    return model
+    plain = documents.where("doc_id is not null").select("doc_id", "text", "origin", "source")
+    return stage(plain.mapInPandas(run, "doc_id long, " + ", ".join(f"{n} int" for n in FUNCTIONS) + ", scores binary"))
 
 
 def document_subjects(documents: DataFrame, labels: DataFrame, subjects: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, subject_id, share) of every document."""
-    model = fit(documents, labels, subjects, items)
+    """(doc_id, subject_id, share) of every document; a document given twice comes out once."""
+    model = learn(documents, labels, subjects, items)
     schema = "doc_id long, subject_id int, share double"
     if model is None:
         return documents.sparkSession.createDataFrame([], schema)
+    k = len(model.subjects)
+    found = scored(documents, model)
+    # At most (subjects + 1) ** 4 patterns, whatever the number of documents.
+    model.prior, model.alpha, model.rate = accuracies(found.groupBy(*FUNCTIONS).agg(F.count("*").alias("n")).toPandas(), k)
+    model.lexicon = Lexicon({}, k)  # no longer needed in the tasks
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(d, s, share) for d, t, o, c in batch.astype(object).where(batch.notna(), None).itertuples(index=False) for s, share in shared.value.assign(t, o, c)]
+            rows = [(d, s, share) for d, *votes, scores in batch[["doc_id", *FUNCTIONS, "scores"]].itertuples(index=False)
+                    for s, share in shared.value.assign(np.frombuffer(scores, np.float32).reshape(-1, k).astype(float), votes)]
             yield pd.DataFrame(rows, columns=["doc_id", "subject_id", "share"])
 
-    return documents.where("doc_id is not null").select("doc_id", "text", "origin", "source").mapInPandas(run, schema)
+    return found.dropDuplicates(["doc_id"]).mapInPandas(run, schema)
 
 
 def composition(documents: DataFrame, found: DataFrame, subjects: DataFrame) -> DataFrame:
