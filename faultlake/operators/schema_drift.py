@@ -53,6 +53,17 @@ class _Raw(str):
     """A number as written."""
 
 
+def as_text(value) -> str:
+    """JSON text of a value with numbers as written."""
+    if isinstance(value, _Raw):
+        return str(value)
+    if isinstance(value, list):
+        return "[" + ", ".join(map(as_text, value)) + "]"
+    if isinstance(value, dict):
+        return "{" + ", ".join(f"{json.dumps(k, ensure_ascii=False)}: {as_text(v)}" for k, v in value.items()) + "}"
+    return json.dumps(value, ensure_ascii=False)
+
+
 def flatten(found: dict) -> dict[str, tuple[str | None, str | None]]:
     """path -> (JSON type, text of the value); objects are walked with a stack, so depth is no limit."""
     out: dict[str, tuple[str | None, str | None]] = {}
@@ -72,7 +83,7 @@ def flatten(found: dict) -> dict[str, tuple[str | None, str | None]]:
             elif isinstance(value, str):
                 out[path] = ("string", value)
             else:
-                out[path] = ("array", json.dumps(value, ensure_ascii=False))
+                out[path] = ("array", as_text(value))
     return out
 
 

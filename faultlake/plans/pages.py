@@ -165,7 +165,7 @@ def fn19(spark, sf):
     return _verified(spark, sf).select("doc", "page", "warning")
 
 
-@query("set6_record_types", cte("pages_seq") + ", " + _FILL + " select doc, list_sort(list_distinct(list(manual_type) filter (where manual_type is not null))) as types from filled group by doc")
+@query("set6_record_types", cte("pages_seq") + ", " + _FILL + " select doc, coalesce(list_sort(list_distinct(list(manual_type) filter (where manual_type is not null))), []) as types from filled group by doc")
 def set6(spark, sf):
     return P.record_types(_filled(spark, sf))
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from faultlake.operators import nested, schema_drift
 from faultlake.session import table
@@ -25,16 +24,16 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return nested.broken_links(table(spark, sf, "dtc_records"), table(spark, sf, "code_records"))
 
 
-def _flat(kind: str, name: str, *columns):
+def _flat(kind: str, name: str, *columns: str):
     def query(spark: SparkSession, sf: str) -> DataFrame:
         build, source = (nested.dtc_tables, "dtc_records") if kind == "dtc" else (nested.code_tables, "code_records")
-        return build(table(spark, sf, source))[name].select(*columns)
+        return build(table(spark, sf, source))[name].selectExpr(*columns)
     return query
 
 
-p5_sections = _flat("dtc", "section", "record_id", "pos", "section_id", "heading", "role", "page_start", "page_end", F.length("cleaned_text").alias("text_chars"))
+p5_sections = _flat("dtc", "section", "record_id", "pos", "section_id", "heading", "role", "page_start", "page_end", "length(cleaned_text) as text_chars")
 p5_tables = _flat("dtc", "table", "record_id", "pos", "table_id", "section_id", "section_link")
-p5_table_rows = _flat("dtc", "table_row", "record_id", "table_pos", "row_no", F.size("cells").alias("n_cells"))
+p5_table_rows = _flat("dtc", "table_row", "record_id", "table_pos", "row_no", "size(cells) as n_cells")
 p5_groups = _flat("dtc", "table_group", "record_id", "pos", "group_id", "tables_link")
 p5_images = _flat("dtc", "image", "record_id", "pos", "image_id", "section_id", "section_link")
 p5_blocks = _flat("code", "block", "record_id", "pos", "block_id", "block_type", "variant", "page_link")
