@@ -34,7 +34,7 @@ SIGMA = 1.5
 #: A sentence of so many characters that stands on no other page is content wherever it stands.
 LEAST_CHARS = 30
 #: Shares of neighbours from which a recurring line is body.
-HEADING, CLOSING = 0.75, 0.6
+HEADING, CLOSING = 0.75, 0.4
 
 # Labels of advertising, and abbreviations that open a caption.
 ADS = frozenset("ad|ads|advertisement|advertising|sponsored|partner content|promoted|anzeige|werbung|publicité|annonce|publicidad|anuncio|patrocinado|sponsorisé|gesponsert".split("|"))

@@ -84,7 +84,7 @@ def shingle_sets(texts: list[str | None], hashes: _Hashes) -> tuple[np.ndarray,
 def _signatures(sets: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Fingerprint, block keys (n x BANDS) and group counts (n x GROUPS) of non-empty sets."""
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    mark = np.bitwise_xor.reduceat(_mix(sets), starts) ^ _mix(np.add.reduceat(sets, starts)) ^ sizes.astype(np.uint64)
+    mark = _mix(_mix(np.bitwise_xor.reduceat(_mix(sets ^ _B), starts)) ^ np.add.reduceat(sets, starts) * _A ^ sizes.astype(np.uint64))
     keys = np.empty((len(sizes), BANDS), np.uint64)
     low = (sets >> np.uint64(16)).astype(np.uint32)
     for band in range(BANDS):
@@ -278,7 +278,7 @@ def verified(records: DataFrame, found: DataFrame, pairs: DataFrame) -> DataFram
     pairs = stage(pairs)
     wanted = pairs.select(F.col("a").alias("mark")).union(pairs.select("b")).distinct()
     chosen = stage(found.join(checked_broadcast(wanted, MAX_BROADCAST), "mark", "left_semi").groupBy("mark").agg(F.min("record_id").alias("record_id")))
-    text = records.join(checked_broadcast(chosen, MAX_BROADCAST), "record_id").dropDuplicates(["mark"]).select("mark", "text")
+    text = records.select("record_id", "text").join(checked_broadcast(chosen, MAX_BROADCAST), "record_id").dropDuplicates(["mark"]).select("mark", "text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()

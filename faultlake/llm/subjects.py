@@ -33,8 +33,8 @@ from faultlake.session import stage
 MAX_LABELLED = 2500
 MAX_SUBJECTS = 256
 SHARE = 1 / 3
-#: Rounds of the sentence model, odds from which a feature speaks for a subject, and least occurrences.
-ROUNDS, ODDS, LEAST = 6, 3.0, 2
+#: Rounds of the sentence model, odds ratio from which a feature speaks for a subject, and least occurrences.
+ROUNDS, ODDS, LEAST = 6, 4.0, 2
 FUNCTIONS = ("lexicon", "section", "address", "source")
 #: Accuracies from which learning starts.
 START = (0.9, 0.2, 0.2, 0.2)
@@ -129,7 +129,8 @@ class Lexicon:
             counts = np.stack([np.bincount(f, weights=resp[s, j], minlength=len(ids)) for j in range(k)], axis=1)
             share = (counts + 0.3 * prior) / (counts.sum(axis=1, keepdims=True) + 0.3)
             log_odds = np.log(share / prior + 1e-3)
-            log_odds[log_odds.max(axis=1) <= np.log(ODDS)] = 0
+            ratio = share / np.maximum(1 - share, 1e-9) * (1 - prior) / prior
+            log_odds[ratio.max(axis=1) < ODDS] = 0
             if round_ < ROUNDS - 1:
                 score = np.stack([np.bincount(s, weights=log_odds[f, j], minlength=len(labels)) for j in range(k)], axis=1)
                 score = np.where(allowed > 0, score, -np.inf)
