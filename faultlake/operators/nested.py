@@ -69,27 +69,41 @@ def _children(records: DataFrame, array: str, **links: Column) -> DataFrame:
     return rows.select(*RECORD_KEYS, (F.col("_pos") + 1).alias("pos"), "_row.item.*", *(f"_row.{n}" for n in links))
 
 
-def _kept(kind: str, states: Column) -> Column:
-    """Link states as (child_kind, child_pos, link), without a place for absent arrays."""
-    return F.transform(F.coalesce(states, F.array().cast("array<string>")),
-                       lambda s, i: F.struct(F.lit(kind).alias("child_kind"), (i + 1).alias("child_pos"), s.alias("link")))
+def _linked(kind: str, states: Column, variants: Column) -> Column:
+    """Link states and variants by place as (child_kind, variant, child_pos, link); no place for absent arrays."""
+    return F.transform(F.coalesce(states, F.array().cast("array<string>")), lambda s, i: F.struct(
+        F.lit(kind).alias("child_kind"), F.get(variants, i).alias("variant"), (i + 1).alias("child_pos"), s.alias("link")))
+
+
+def _filled(part: Column, kind: T.DataType, name: str) -> Column:
+    return F.when(F.length(tree_state(part, kind)) > 0, name).otherwise("empty")
 
 
 def dtc_links(records: DataFrame) -> DataFrame:
-    """(record_id, child_kind, child_pos, link) of every table, image and group; reads ids only."""
+    """(record_id, child_kind, variant, child_pos, link) of every table, image and group."""
     sections, tables = F.col("sections.section_id"), F.col("tables.table_id")
+    text, texts = T.StringType(), T.ArrayType(T.StringType())
     kinds = F.concat(
-        _kept("table", F.transform("tables.section_id", lambda t: link_state(t, sections))),
-        _kept("image", F.transform("images.section_id", lambda t: link_state(t, sections))),
-        _kept("group", F.transform("table_groups.source_table_ids", lambda t: links_state(t, tables))))
+        _linked("table", F.transform("tables.section_id", lambda t: link_state(t, sections)), F.transform("tables.table_id", lambda x: _filled(x, text, "table"))),
+        _linked("image", F.transform("images.section_id", lambda t: link_state(t, sections)), F.transform("images.image_id", lambda x: _filled(x, text, "image"))),
+        _linked("group", F.transform("table_groups.source_table_ids", lambda t: links_state(t, tables)), F.transform("table_groups.source_table_ids", lambda x: _filled(x, texts, "group"))))
     return records.select("record_id", F.explode(kinds).alias("c")).select("record_id", "c.*")
 
 
 def code_links(records: DataFrame) -> DataFrame:
-    """(record_id, child_kind, child_pos, link) of every block's page refs against its record's."""
+    """(record_id, child_kind, variant, child_pos, link) of every block by its subtype, its page refs against its record's."""
     states = F.transform("content_blocks.location.page_refs", lambda t: among_state(t, F.col("location.page_refs")))
-    return (records.select("record_id", F.posexplode(states).alias("p", "link"))
-            .select("record_id", F.lit("block").alias("child_kind"), (F.col("p") + 1).alias("child_pos"), "link"))
+    kinds = _linked("block", states, F.transform("content_blocks", block_variant))
+    return records.select("record_id", F.explode(kinds).alias("c")).select("record_id", "c.*")
+
+
+def link_report(dtc_records: DataFrame, code_records: DataFrame) -> DataFrame:
+    """(record_id, child_kind, variant, child_pos, link): the parent links of the rows of all variant tables.
+
+    A record delivered again has the same links; its rows come out once.
+    """
+    found = dtc_links(dtc_records).union(code_links(code_records)).where("record_id is not null")
+    return found.select("record_id", "child_kind", "variant", F.col("child_pos").cast("int").alias("child_pos"), "link")
 
 
 def broken_links(dtc_records: DataFrame, code_records: DataFrame) -> DataFrame:
@@ -97,8 +111,8 @@ def broken_links(dtc_records: DataFrame, code_records: DataFrame) -> DataFrame:
 
     Rows are narrow by the time records delivered again are dropped.
     """
-    found = dtc_links(dtc_records).union(code_links(code_records))
-    return found.where("record_id is not null and link in ('missing', 'ambiguous')").select("record_id", "child_kind", F.col("child_pos").cast("int").alias("child_pos")).distinct()
+    broken = link_report(dtc_records, code_records).where("link in ('missing', 'ambiguous')")
+    return broken.select("record_id", "child_kind", "child_pos").distinct()
 
 
 def dtc_tables(records: DataFrame) -> dict[str, DataFrame]:

@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from faultlake.session import global_ordinal, stage
 
-#: Histograms of values and of shapes have so many cells; two kinds of values are alike from ALIKE on.
-CELLS, ALIKE = 64, 0.5
+#: Histograms of values and of forms have so many cells; overlaps from which two kinds of values are alike, see ``_pair_up``.
+CELLS, ALIKE, CERTAIN, COARSE = 64, 0.5, 0.9, 0.35
 #: Files of one feed are compared in blocks of so many, so a huge feed is never one task.
 BLOCK = 4096
 
@@ -170,53 +170,64 @@ def _name_words(path: str) -> set[str]:
     return {w for w in re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", path).lower())}
 
 
+def name_likeness(a: str, b: str) -> float:
+    """Share of the words of two paths that one begins with the other's first three letters or more."""
+    x, y = _name_words(a), _name_words(b)
+    same = lambda p, q: p == q or (min(len(p), len(q)) >= 3 and (p.startswith(q) or q.startswith(p)))
+    hits = sum(any(same(p, q) for q in y) for p in x) + sum(any(same(p, q) for p in x) for q in y)
+    return hits / max(1, len(x) + len(y))
+
+
 def _pair_up(pairs: pd.DataFrame) -> pd.DataFrame:
-    """Greedy one-to-one matching of the ended and begun paths of one file, most alike first."""
-    def name(a: str, b: str) -> float:
-        x, y = _name_words(a), _name_words(b)
-        return len(x & y) / max(1, len(x | y))
-
-    pairs = pairs.assign(score=[s + 0.2 * name(a, b) for s, a, b in zip(pairs["alike"], pairs["old"], pairs["new"], strict=True)])
-    pairs = pairs.sort_values(["score", "old", "new"], ascending=[False, True, True])
-    old, new, keep = set(), set(), []
-    for a, b in zip(pairs["old"], pairs["new"], strict=True):
+    """Greedy one-to-one matching of the ended and begun paths of one file, most alike first.
+
+    A pair counts if its values overlap by ALIKE, its forms nearly always, or, where the names share a word, its forms
+    by a share that grows with the number of values seen (a few values say little about a distribution).
+    """
+    rows = []
+    for r in pairs.itertuples(index=False):
+        name, least = name_likeness(r.old, r.new), ALIKE * r.seen / (r.seen + 3)
+        if r.value >= ALIKE or r.shape >= CERTAIN or (name > 0 and max(r.shape, r.value, COARSE * r.coarse) >= least):
+            rows.append((-(max(r.value, r.shape, COARSE * r.coarse) + 0.3 * name), r.old, r.new))
+    old, new, out = set(), set(), []
+    for _, a, b in sorted(rows):
         if a not in old and b not in new:
             old.add(a)
             new.add(b)
-            keep.append(True)
-        else:
-            keep.append(False)
-    return pairs[keep][["feed_id", "at", "old", "new"]]
+            out.append((pairs["feed_id"].iloc[0], pairs["at"].iloc[0], a, b))
+    return pd.DataFrame(out, columns=["feed_id", "at", "old", "new"])
 
 
 def _renamed(values: DataFrame, ended: DataFrame, begun: DataFrame) -> DataFrame:
     """(feed_id, at, old, new): paths that end and begin in one file with alike values.
 
-    Alike: the shares of values (or of their shapes), hashed into CELLS cells, overlap by ALIKE or more,
-    and the JSON type of the last value before equals that of the first value after.
+    Shares of values, of their forms and of their coarse forms are compared as histograms of CELLS cells, and the
+    JSON type of the last value before must equal that of the first value after.
     """
     both = (ended.select("feed_id", "at", F.col("path").alias("old"))
             .join(begun.select("feed_id", "at", F.col("path").alias("new")), ["feed_id", "at"]))
     both = stage(both)
     wanted = both.select("feed_id", F.col("old").alias("path")).union(both.select("feed_id", "new")).distinct()
-    real = values.where("jtype is not null").join(wanted, ["feed_id", "path"])
+    coarse = F.expr("""case when jtype = 'number' then substr(shape, 1, 1) || if(length(regexp_extract(value, '[0-9]+', 0)) > 3, 'long', 'short')
+        when shape like 'hex%' then shape else regexp_replace(regexp_replace(regexp_replace(shape, '[+]', ''), '9?(Aa|A|a)+9?', 'w'), 'w([ -](w|9))+|9([ -]9)*[ -]w([ -](w|9))*', 'w') end""")
+    real = stage(values.where("jtype is not null").join(wanted, ["feed_id", "path"]).withColumn("coarse", coarse))
     hist = None
-    for what in ("value", "shape"):
+    for what in ("value", "shape", "coarse"):
         cells = real.groupBy("feed_id", "path", F.pmod(F.xxhash64(what), F.lit(CELLS)).alias("cell")).agg(F.count("*").alias("n"))
-        share = F.col("n") / F.sum("n").over(W.partitionBy("feed_id", "path"))
+        share = F.col("n") / F.sum("n").over(W.partitionBy("feed_id", "path"))  # at most CELLS rows
         part = cells.select("feed_id", "path", F.lit(what).alias("what"), "cell", share.alias("share"))
         hist = part if hist is None else hist.union(part)
-    types = real.groupBy("feed_id", "path").agg(F.min_by("jtype", "idx").alias("opening"), F.max_by("jtype", "idx").alias("closing"))
+    types = real.groupBy("feed_id", "path").agg(F.min_by("jtype", "idx").alias("opening"), F.max_by("jtype", "idx").alias("closing"), F.count("*").alias("n"))
     old, new = hist.withColumnRenamed("path", "old").alias("o"), hist.withColumnRenamed("path", "new").alias("n")
-    alike = (both.join(types.select("feed_id", F.col("path").alias("old"), "closing"), ["feed_id", "old"])
-             .join(types.select("feed_id", F.col("path").alias("new"), "opening"), ["feed_id", "new"])
+    overlap = F.expr("least(o.share, n.share)")
+    alike = (both.join(types.select("feed_id", F.col("path").alias("old"), "closing", F.col("n").alias("n_old")), ["feed_id", "old"])
+             .join(types.select("feed_id", F.col("path").alias("new"), "opening", F.col("n").alias("n_new")), ["feed_id", "new"])
              .where("closing = opening")
              .join(old, ["feed_id", "old"])
              .join(new, ["feed_id", "new"])
              .where("o.what = n.what and o.cell = n.cell")
-             .groupBy("feed_id", "at", "old", "new", "o.what").agg(F.sum(F.expr("least(o.share, n.share)")).alias("overlap"))
-             .groupBy("feed_id", "at", "old", "new").agg(F.max("overlap").alias("alike"))
-             .where(F.col("alike") >= ALIKE))
+             .groupBy("feed_id", "at", "old", "new").agg(F.first(F.least("n_old", "n_new")).alias("seen"), *(
+                 F.sum(F.when(F.col("o.what") == w, overlap).otherwise(0.0)).alias(w) for w in ("value", "shape", "coarse"))))
     # A group is what ends and begins in one file: as wide as a schema, not as long as the data.
     return alike.groupBy("feed_id", "at").applyInPandas(_pair_up, "feed_id long, at long, old string, new string")
 

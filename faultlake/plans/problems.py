@@ -24,6 +24,11 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return nested.broken_links(table(spark, sf, "dtc_records"), table(spark, sf, "code_records"))
 
 
+def p5_links(spark: SparkSession, sf: str) -> DataFrame:
+    report = nested.link_report(table(spark, sf, "dtc_records"), table(spark, sf, "code_records"))
+    return report.distinct().groupBy("child_kind", "variant", "link").count().withColumnRenamed("count", "n")
+
+
 def _flat(kind: str, name: str, *columns: str):
     def query(spark: SparkSession, sf: str) -> DataFrame:
         build, source = (nested.dtc_tables, "dtc_records") if kind == "dtc" else (nested.code_tables, "code_records")
@@ -43,7 +48,7 @@ def p5_shapes(spark: SparkSession, sf: str) -> DataFrame:
     return nested.shape_counts(table(spark, sf, "dtc_records"), table(spark, sf, "code_records"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_table, p2_failed_casts, p5_found, p5_shapes)} | {
+QUERIES = {f.__name__: f for f in (p2_found, p2_table, p2_failed_casts, p5_found, p5_links, p5_shapes)} | {
     "p5_sections": p5_sections, "p5_tables": p5_tables, "p5_table_rows": p5_table_rows, "p5_groups": p5_groups, "p5_images": p5_images, "p5_blocks": p5_blocks}
 
 _DTC = "d as (select * from dtc_records where record_id is not null qualify row_number() over (partition by record_id order by loaded_at) = 1)"

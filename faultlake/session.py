@@ -32,13 +32,25 @@ def scratch_dir(spark: SparkSession) -> str:
     return made
 
 
+def _staged_root(spark: SparkSession) -> str:
+    """Folder of this application's staged tables, deleted when the application ends."""
+    root = f"{scratch_dir(spark)}/staged/{spark.sparkContext.applicationId}"
+    if getattr(spark, "_faultlake_staged", None) != root:
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        spark._faultlake_staged = root
+    return root
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a Parquet table in the shared folder and read it back.
 
     Later stages start from the written table, so a lost executor costs no recomputation of what lies
     before it, and a table used twice is computed once.
     """
-    path = f"{scratch_dir(df.sparkSession)}/staged/{uuid.uuid4().hex}"
+    path = f"{_staged_root(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
