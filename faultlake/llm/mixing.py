@@ -23,6 +23,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from faultlake.session import stage
@@ -34,6 +35,11 @@ MAX_CELLS = 1_000_000
 ROUNDS, CLOSE = 200, 1e-9
 
 
+def _all_sources():
+    """The whole of a table of sources, which has a row for each source of the targets and nothing of the documents."""
+    return W.partitionBy()
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str):
     import tiktoken
@@ -59,8 +65,8 @@ def targets_of(targets: DataFrame) -> DataFrame:
     """One row per source: (source, target_share, max_repeats), shares scaled to sum 1."""
     one = (targets.where("source is not null and target_share >= 0").groupBy("source")
            .agg(F.sum("target_share").alias("target_share"), F.min(F.greatest(F.coalesce("max_repeats", F.lit(1)), F.lit(0))).alias("max_repeats")))
-    total = one.agg(F.sum("target_share").alias("_total"))
-    return one.join(F.broadcast(total)).withColumn("target_share", F.when(F.col("_total") > 0, F.col("target_share") / F.col("_total")).otherwise(0.0)).drop("_total")
+    total = F.sum("target_share").over(_all_sources())
+    return one.withColumn("target_share", F.when(total > 0, F.col("target_share") / total).otherwise(0.0))
 
 
 def measured(documents: DataFrame, targets: DataFrame, topic: str, path: str = TOKENIZER) -> DataFrame:
@@ -144,8 +150,8 @@ def shares(documents: DataFrame, targets: DataFrame, topic: str = "make", path:
     used = mixed.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.sum(F.col("n_tokens") * F.col("copies")).alias("used"), F.max("copies").alias("most_copies"))
     full = goal.join(used, "source", "left").select(
         "source", "target_share", "max_repeats", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("tokens", "used", "most_copies")))
-    sums = F.broadcast(full.agg(F.sum("tokens").alias("_all"), F.sum("used").alias("_used")))
-    return full.join(sums).select(
+    full = full.withColumn("_all", F.sum("tokens").over(_all_sources())).withColumn("_used", F.sum("used").over(_all_sources()))
+    return full.select(
         "source", "target_share", "max_repeats", "tokens", "used", "most_copies",
         F.coalesce(F.col("used") / F.nullif(F.col("_used"), F.lit(0)), F.lit(0.0)).alias("actual_share"),
         ((F.col("tokens") * F.col("max_repeats") < F.col("target_share") * F.col("_all")) | ((F.col("_all") == 0) & (F.col("target_share") > 0))).alias("short"))
