@@ -147,3 +147,48 @@ def stream(spark, sf):
     rows.write.parquet(f"{base}/in")
     ingest(spark, f"{base}/in", "report_id bigint, status string", lambda s: s.dropDuplicates(["report_id"]), f"{base}/out", f"{base}/state").awaitTermination()
     return spark.read.parquet(f"{base}/out").agg(F.count("*").alias("n"))
+
+
+@query("prj6_final_tables", f"with {_DTC} select record_id, cast(pos as integer) as pos, x.start_pdf_page as start_pdf_page, coalesce(x.end_pdf_page, x.start_pdf_page) as end_pdf_page, coalesce(x.page_refs, []) as page_refs from (select record_id, generate_subscripts(tables, 1) - 1 as pos, unnest(tables) as x from d)")
+def prj6(spark, sf):
+    t = _records(spark, sf).select("record_id", F.posexplode("tables").alias("pos", "x"))
+    return t.select("record_id", "pos", "x.start_pdf_page", F.coalesce("x.end_pdf_page", "x.start_pdf_page").alias("end_pdf_page"), F.coalesce("x.page_refs", F.array().cast("array<string>")).alias("page_refs"))
+
+
+@query("prj7_optional_fields", f"with {_DTC} select record_id, list_filter([case when title is not null then 'title' end, case when manual_type is not null then 'manual_type' end, 'record_id'], lambda k: k is not null) as present from d")
+def prj7(spark, sf):
+    """Absent optional fields are left out of the written JSON; the keys that remain are read back from the text."""
+    made = _records(spark, sf).select("record_id", F.to_json(F.struct("title", "manual_type", "record_id")).alias("j"))
+    return made.select("record_id", F.json_object_keys("j").alias("present"))
+
+
+@query("flt3_gates", f"with {_MAN}, {_DTC} select document_id from m where pdf_profile.pdf_type is distinct from 'scanned' and document_id in (select document_id from d)")
+def flt3(spark, sf):
+    m = _manuals(spark, sf).where("not (pdf_profile.pdf_type <=> 'scanned')").select("document_id")
+    return m.join(_records(spark, sf).select("document_id"), "document_id", "left_semi")
+
+
+@query("src1_manual_folder", f"with {_MAN} select distinct lower(document_id) as stem, sha256(source_file) as document_id, cast(strlen(source_file) as bigint) as length from m where source_file is not null")
+def src1(spark, sf):
+    """File names of the manuals written as small files of their own and read again as binary files with content ids."""
+    from uuid import uuid4
+
+    from faultlake.sources.files import manual_files
+
+    folder = f"{scratch_dir(spark)}/manuals-{uuid4().hex}"
+    rows = _manuals(spark, sf).where("source_file is not null").select(F.concat(F.lower("document_id"), F.lit(".pdf")).alias("name"), F.encode("source_file", "utf-8").alias("content"))
+    E.write_images(rows, folder.removeprefix("file://"))
+    return manual_files(spark, folder).select("stem", "document_id", "length")
+
+
+@query("src15_model_lookup", "select upper(model) as model, min(make) as make from vehicle_models group by 1")
+def src15(spark, sf):
+    from uuid import uuid4
+
+    from faultlake.sources.files import model_lookup
+
+    path = f"{scratch_dir(spark)}/lookup-{uuid4().hex}"
+    one = table(spark, sf, "vehicle_models").groupBy(F.upper("model").alias("model")).agg(F.min("make").alias("make"))
+    # the lookup is a list of known vehicles, one JSON object
+    one.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("model", "make")))).alias("value")).coalesce(1).write.text(path)
+    return model_lookup(spark, path).where("model is not null")

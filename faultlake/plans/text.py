@@ -260,3 +260,59 @@ def jn17(spark, sf):
 def jn18(spark, sf):
     a = table(spark, sf, "articles").dropDuplicates(["article_id"]).select("article_id", "source", F.explode("images").alias("href"))
     return a.select("article_id", T.absolute_url(F.col("source"), F.regexp_replace("href", "^https?://[^/]+", "")).alias("url"))
+
+
+@query("fn24_image_candidates", f"""with {_DEDUP} select article_id, case when article_id % 4 = 0 then 'lazy-' || article_id when article_id % 4 = 1 then 'a.jpg 300w, b.jpg 900w' when article_id % 4 = 2 then 'l.jpg' when images[1] like 'data:image/svg+xml%' then null else nullif(images[1], '') end as address from arts""")
+def fn24(spark, sf):
+    a = table(spark, sf, "articles").where("article_id is not null").dropDuplicates(["article_id"])
+    k = F.col("article_id") % 4
+    return a.select("article_id", T.image_candidate(F.when(k == 0, F.concat(F.lit("lazy-"), F.col("article_id").cast("string"))), F.lit(None).cast("string"), F.when(k == 1, "a.jpg 300w, b.jpg 900w"),
+                                                    F.when(k == 2, "s.jpg 300w, l.jpg 900w"), F.get("images", F.lit(0))).alias("address"))
+
+
+@query("src20_selected_nodes", f"with {_DEDUP} select article_id as page_id, cast(coalesce(len(tags), 0) as bigint) as n from arts where coalesce(len(tags), 0) > 0")
+def src20(spark, sf):
+    from faultlake.sources import html
+
+    return html.select(_pages(spark, sf), "div.tags-links a").groupBy("page_id").agg(F.count("*").alias("n"))
+
+
+@query("src21_index_links", f"with {_DEDUP} select article_id as page_ord, 'https://site.example/a/' || article_id as url from arts")
+def src21(spark, sf):
+    """Article links of index pages, made absolute against the site's base address."""
+    from faultlake.sources import html
+
+    p = table(spark, sf, "articles").where("article_id is not null").dropDuplicates(["article_id"]).select(F.col("article_id").alias("page_id"), F.lit("https://site.example/").alias("url"), F.concat(
+        F.lit('<a class="tpg-post-link" href="/a/'), F.col("article_id").cast("string"), F.lit('">x</a><a class="other" href="/b">y</a>')).alias("html"))
+    return html.index_links(p).select("page_ord", "url")
+
+
+@query("flt28_fetched_pages", f"with {_DEDUP} select article_id from arts where coalesce(content, '') <> ''")
+def flt28(spark, sf):
+    from faultlake.sources import web
+
+    a = table(spark, sf, "articles").where("article_id is not null").dropDuplicates(["article_id"]).withColumn("html", F.col("content"))
+    return web.fetched(a).select("article_id")
+
+
+@query("set4_category_union", f"with {_DEDUP} select article_id, cast(len(list_distinct(list_concat(coalesce(categories, []), coalesce(tags, [])))) as integer) as n from arts where len(list_filter(list_concat(coalesce(categories, []), coalesce(tags, [])), lambda x: x is null)) = 0")
+def set4(spark, sf):
+    none = F.array().cast("array<string>")
+    both = F.concat(F.coalesce("categories", none), F.coalesce("tags", none))
+    a = table(spark, sf, "articles").where("article_id is not null").dropDuplicates(["article_id"]).where(~F.exists(both, lambda x: x.isNull()))
+    return a.select("article_id", F.size(F.array_distinct(both)).alias("n"))
+
+
+@query("set7_header_footer_lines", f"with {_LINES} select doc_id, line from (select *, row_number() over (partition by doc_id order by ord) as a, row_number() over (partition by doc_id order by ord desc) as z from lines) where a <= 2 or z <= 3")
+def set7(spark, sf):
+    """First two and last three lines of each text, each place once."""
+    d = _docs(spark, sf).withColumn("l", F.split("text", "\n"))
+    n = F.size("l")
+    places = F.array_distinct(F.concat(F.sequence(F.lit(1), F.least(n, F.lit(2))), F.sequence(F.greatest(n - 2, F.lit(1)), n)))
+    return d.select("doc_id", F.explode(F.transform(places, lambda i: F.get(F.col("l"), i - 1))).alias("line"))
+
+
+@query("lim3_tails", f"with {_LINES} select doc_id, list(line order by ord)[-3:] as tail from lines where trim(line) <> '' group by doc_id")
+def lim3(spark, sf):
+    kept = F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "")
+    return _docs(spark, sf).select("doc_id", F.slice(kept, F.greatest(F.size(kept) - 2, F.lit(1)), 3).alias("tail")).where("size(tail) > 0")
