@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from faultlake.functions import text as T
 
-LOW, MEDIUM = ("blob_row_detected", "single_row", "single_column"), ("bbox_reconstruction_used", "outer_column_recovered", "bbox_clipped_by_drawings", "wide_bbox_uncorrected")
+LOW, MEDIUM = ("blob_row_detected", "single_row_table", "single_column_table"), ("bbox_reconstruction_used", "outer_column_recovered", "bbox_clipped_by_drawings", "wide_bbox_uncorrected")
 WORD_GAP, COLUMN_GAP, OVERLAP = 8.0, 5.0, 0.5
 
 
@@ -234,3 +234,38 @@ def fill_share(tables: DataFrame) -> DataFrame:
     rows = F.transform("rows", lambda r: (F.size(F.filter(r, lambda c: F.coalesce(c, F.lit("")) != "")) >= F.greatest(F.lit(1), F.floor(F.size(r) / 2))).cast("int"))
     share = F.aggregate(rows, F.lit(0), lambda a, x: a + x) / F.greatest(F.size("rows"), F.lit(1))
     return tables.withColumn("filled_share", share).withColumn("accepted", share >= 0.5)
+
+
+def repair(tables: DataFrame) -> DataFrame:
+    """Tables with outer columns recovered and rows rebuilt where that is better: rows, cleaned_rows, flags, confidence.
+
+    ``tables`` has rows, left_words and right_words (texts by row, null where the rules do not reach beyond the table), x1, page_width,
+    border_x1 (right edge of a drawn border, null without one) and rebuilt (rows from words, null without any). A right column of side
+    tabs only is not taken. A table at the page's right edge is clipped by its border or flagged. Rebuilt rows replace the others if the
+    border clipped them, or if they have more columns, at most half as many more, and half of their rows at least half filled. Tables
+    without rows and boxes of image ids are left out.
+    """
+    none = F.array().cast("array<string>")
+    flag = lambda condition, name: F.when(condition, F.array(F.lit(name))).otherwise(none)
+    first = F.get("rows", F.lit(0))
+    plain = F.transform("rows", lambda r: F.transform(r, T.normal_cell))
+    right = F.filter(F.transform(F.coalesce("right_words", none), T.trim_ws), lambda v: v != "")
+    take_right = F.col("right_words").isNotNull() & (F.size(right) > 0) & ~only_side_tabs(right)
+    wider = F.transform(plain, lambda r, i: F.concat(F.when(F.col("left_words").isNotNull(), F.array(F.coalesce(F.get("left_words", i), F.lit("")))).otherwise(none), r,
+                                                     F.when(take_right, F.array(F.coalesce(F.get("right_words", i), F.lit("")))).otherwise(none)))
+    at_edge = F.coalesce(F.col("x1") >= F.col("page_width") - 5, F.lit(False))
+    clipped = at_edge & F.coalesce(F.col("border_x1") < F.col("x1") - 5, F.lit(False))
+    made = tables.where(F.size("rows") > 0).withColumn("_wide", wider).withColumn("_clipped", clipped)
+    n_new, n_old = F.size(F.get("rebuilt", F.lit(0))), F.size(F.get("_wide", F.lit(0)))
+    good = F.size(F.filter("rebuilt", lambda r: F.size(F.filter(r, lambda c: F.coalesce(c, F.lit("")) != "")) >= F.greatest(F.lit(1), F.floor(F.size(r) / 2))))
+    better = (n_new > n_old) & (n_new <= 1.5 * n_old) & (good >= 0.5 * F.size("rebuilt"))
+    use = F.coalesce((F.size("rebuilt") > 0) & (F.col("_clipped") | better), F.lit(False))
+    blob = is_blob_start(F.col("rows"))
+    flags = F.concat(flag(F.size("rows") < 2, "single_row_table"), flag((F.size(first) > 0) & (F.size(first) < 2), "single_column_table"), flag(blob, "blob_row_detected"),
+                     flag(F.col("left_words").isNotNull() | take_right, "outer_column_recovered"), flag(F.col("_clipped"), "bbox_clipped_by_drawings"), flag(at_edge & ~F.col("_clipped"), "wide_bbox_uncorrected"),
+                     flag(use, "bbox_reconstruction_used"))
+    rows = F.when(use, F.transform("rebuilt", lambda r: F.transform(r, T.normal_cell))).otherwise(F.col("_wide"))
+    kept = made.withColumn("flags", flags).withColumn("_rows", rows).where(~is_image_box(F.col("_rows")))
+    cleaned = F.transform("_rows", lambda r, i: F.when(F.array_contains("flags", "blob_row_detected") & (i == 0), r).otherwise(F.transform(r, T.clean_cell)))
+    return kept.select(*(c for c in tables.columns if c not in ("rows", "cleaned_rows", "flags", "confidence")), F.col("_rows").alias("rows"), cleaned.alias("cleaned_rows"), "flags",
+                       confidence(F.col("flags"), F.lit(False)).alias("confidence"))

@@ -80,7 +80,7 @@ def flt18(spark, sf):
     return t.select("record_id", "pos", X.only_side_tabs(F.transform("raw_rows", lambda r: F.coalesce(F.get(r, F.size(r) - 1), F.lit("")))).alias("tabs"))
 
 
-@query("agg14_confidence", "with " + _TABLES + " select record_id, pos, case when list_has_any(coalesce(f, []), ['blob_row_detected', 'single_row', 'single_column']) then 'low' when list_has_any(coalesce(f, []), ['bbox_reconstruction_used', 'outer_column_recovered', 'bbox_clipped_by_drawings', 'wide_bbox_uncorrected']) or pos % 3 = 0 then 'medium' else 'high' end as confidence from (select record_id, pos, x.extraction.quality_flags as f from tabs)")
+@query("agg14_confidence", "with " + _TABLES + " select record_id, pos, case when list_has_any(coalesce(f, []), ['blob_row_detected', 'single_row_table', 'single_column_table']) then 'low' when list_has_any(coalesce(f, []), ['bbox_reconstruction_used', 'outer_column_recovered', 'bbox_clipped_by_drawings', 'wide_bbox_uncorrected']) or pos % 3 = 0 then 'medium' else 'high' end as confidence from (select record_id, pos, x.extraction.quality_flags as f from tabs)")
 def agg14(spark, sf):
     return _tables(spark, sf).select("record_id", "pos", X.confidence(F.coalesce("extraction.quality_flags", F.array().cast("array<string>")), F.col("pos") % 3 == 0).alias("confidence"))
 
@@ -177,3 +177,12 @@ def jn12(spark, sf):
 @query("fn29_rebuilt_tables")
 def fn29(spark, sf):
     return X.rebuild(derived(spark, sf, "words"), "page_id")
+
+
+@query("fn28_repaired_tables", "with " + _TABLES + """ select record_id, pos, case when len(rows) < 2 or len(rows[1]) = 1 or blob then 'low' when pos % 3 = 0 or pos % 2 = 0 then 'medium' else 'high' end as confidence, cast(len(rows[1]) + case when pos % 3 = 0 then 1 else 0 end as integer) as n_columns from (
+ select record_id, pos, x.raw_rows as rows, coalesce(len(x.raw_rows) > 1 and contains(x.raw_rows[1][1], chr(10)) and len(list_filter(x.raw_rows[1][2:], lambda c: coalesce(c, '') <> '')) = 0, false) as blob from tabs where len(x.raw_rows) > 0)""")
+def fn28(spark, sf):
+    t = _tables(spark, sf).where("size(raw_rows) > 0").select("record_id", "pos", F.col("raw_rows").alias("rows"))
+    t = t.withColumn("left_words", F.when(F.col("pos") % 3 == 0, F.transform("rows", lambda r: F.lit("left")))).withColumn("right_words", F.transform("rows", lambda r: F.lit("EVB")))
+    t = t.withColumn("x1", F.when(F.col("pos") % 2 == 0, 610.0).otherwise(500.0)).withColumn("page_width", F.lit(612.0)).withColumn("border_x1", F.lit(None).cast("double")).withColumn("rebuilt", F.lit(None).cast("array<array<string>>"))
+    return X.repair(t).select("record_id", "pos", "confidence", F.size(F.get("rows", F.lit(0))).alias("n_columns"))

@@ -185,3 +185,19 @@ def test_header_rules(spark):
     rows = [([["Module", ""], ["", "Pin"], ["1", "2"]], 2), ([["A", "B"], ["P0A0D", "x"], ["1", "2"]], 1), ([["A"], ["B"]], 1), ([["Mod", "Con"], ["Name", ""], ["1", ""]], 2), ([["Mod 1", "Con"], ["Name", "x"], ["1", ""]], 1), ([["A", "B"], ["TABLE", "x"], ["1", "2"]], 1)]
     df = spark.createDataFrame([(r,) for r, _ in rows], "rows array<array<string>>")
     assert [r.n for r in df.select(X.header_rows(F.col("rows")).alias("n")).collect()] == [n for _, n in rows]
+
+
+def test_repair(spark):
+    schema = "id int, rows array<array<string>>, left_words array<string>, right_words array<string>, x1 double, page_width double, border_x1 double, rebuilt array<array<string>>"
+    plain = [["A", "B"], ["de-\ntects", None]]
+    rows = [(1, plain, None, None, 500.0, 612.0, None, None), (2, plain, ["l", ""], ["EVB", ""], 500.0, 612.0, None, None), (3, plain, None, ["x y", ""], 610.0, 612.0, 590.0, [["q", "r"], ["s", ""]]),
+            (4, plain, None, None, 610.0, 612.0, None, [["a", "b", "c"], ["d", "e", ""]]), (5, [["x"]], None, None, 1.0, 9.0, None, None), (6, [["JSCIA0812GB", "."]], None, None, 1.0, 9.0, None, None),
+            (7, [["two\nlines", ""], ["a", "b"]], None, None, 1.0, 9.0, None, [["1", "2", "3", "4"], ["5", "6", "7", "8"]]), (8, [], None, None, 1.0, 9.0, None, None), (9, None, None, None, None, None, None, None)]
+    got = {r.id: r for r in X.repair(spark.createDataFrame(rows, schema)).collect()}
+    assert set(got) == {1, 2, 3, 4, 5, 7}
+    assert got[1].cleaned_rows == [["A", "B"], ["detects", ""]] and got[1].confidence == "high" and got[1].flags == []
+    assert got[2].rows[0] == ["l", "A", "B"] and got[2].flags == ["outer_column_recovered"] and got[2].confidence == "medium"
+    assert got[3].rows == [["q", "r"], ["s", ""]] and got[3].flags == ["outer_column_recovered", "bbox_clipped_by_drawings", "bbox_reconstruction_used"]
+    assert got[4].rows[0] == ["a", "b", "c"] and got[4].flags == ["wide_bbox_uncorrected", "bbox_reconstruction_used"]
+    assert got[5].flags == ["single_row_table", "single_column_table"] and got[5].confidence == "low"
+    assert got[7].cleaned_rows[0][0] == "two\nlines" and got[7].confidence == "low" and len(got[7].rows[0]) == 2
