@@ -38,14 +38,19 @@ def record_runs(starts: DataFrame, pages: DataFrame) -> DataFrame:
     """(doc, start_page, end_page): the pages a record runs on.
 
     A run goes on while the page's header names one of the record's codes, and stops before a page of another
-    section prefix or another type. Runs of different records may overlap, so this is a range join by document.
+    section prefix or another type. Runs of different records may overlap. A run never leaves the stretch of pages of
+    one type it starts in, so the join is by document and stretch. A start whose page is unknown is a run of one page.
     ``starts``: doc, start_page, codes, prefix, type; ``pages``: doc, page, header, prefix, type.
     """
-    p = pages.select("doc", "page", F.upper(F.substring("header", 1, HEADER_CHARS)).alias("_head"), F.col("prefix").alias("_prefix"), F.col("type").alias("_type"))
-    after = starts.join(p, "doc").where("page > start_page")
+    w = W.partitionBy("doc").orderBy("page")
+    changed = F.when((F.row_number().over(w) > 1) & F.lag("type").over(w).eqNullSafe(F.col("type")), 0).otherwise(1)
+    p = pages.withColumn("_c", changed).select("doc", "page", F.upper(F.substring("header", 1, HEADER_CHARS)).alias("_head"), F.col("prefix").alias("_prefix"), F.col("type").alias("_type"),
+                                               F.sum("_c").over(w.rowsBetween(W.unboundedPreceding, W.currentRow)).alias("_stretch"))
+    own = starts.join(p.select("doc", F.col("page").alias("start_page"), "_stretch", F.col("_type").alias("_own")), ["doc", "start_page"], "left")
+    after = own.where(F.col("type").eqNullSafe(F.col("_own"))).join(p, ["doc", "_stretch"]).where("page > start_page")
     named = F.exists("codes", lambda c: F.contains(F.col("_head"), F.upper(c)))
-    other = (F.col("_prefix").isNotNull() & F.col("prefix").isNotNull() & (F.col("_prefix") != F.col("prefix"))) | ~F.col("_type").eqNullSafe(F.col("type"))
-    stops = after.groupBy("doc", "start_page").agg(F.min(F.when(~F.coalesce(named, F.lit(False)) | other, F.col("page"))).alias("stop"), F.max("page").alias("last"))
+    other = F.col("_prefix").isNotNull() & F.col("prefix").isNotNull() & (F.col("_prefix") != F.col("prefix"))
+    stops = after.groupBy("doc", "start_page").agg(F.min(F.when(~F.coalesce(named, F.lit(False)) | F.coalesce(other, F.lit(False)), F.col("page"))).alias("stop"), F.max("page").alias("last"))
     return starts.join(stops, ["doc", "start_page"], "left").select(
         "doc", "start_page", F.coalesce(F.col("stop") - 1, F.col("last"), F.col("start_page")).cast("int").alias("end_page"))
 

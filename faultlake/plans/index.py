@@ -92,12 +92,16 @@ def jn2b(spark, sf):
     return I.resolve_page(*_matches(spark, sf), drop_unresolved=True)
 
 
+#: Forty orders make one index table.
+_TABLE = "cast({0} div 400000000000 as int) as table_id"
+
+
 @query("jn3_group_link_merge")
 def jn3(spark, sf):
     """Index rows of each page against its links in order; the fold has no SQL form and is tested by brute force."""
-    rows = derived(spark, sf, "dtc_index").select((F.col("seq") % 200).cast("int").alias("table_id"), F.col("seq").alias("row_no"), "code", (F.col("seq") % 3 == 0).alias("has_ref"),
+    rows = derived(spark, sf, "dtc_index").select(F.expr(_TABLE.format("seq")), F.col("seq").alias("row_no"), "code", (F.col("seq") % 3 == 0).alias("has_ref"),
                                                    F.when(F.col("seq") % 3 == 0, F.concat(F.lit("EVB-"), (F.col("seq") % 500).cast("string"))).alias("ref"))
-    links = derived(spark, sf, "links").select(F.col("page_id").alias("table_id"), F.col("mid").alias("y0"), "ord", F.concat(F.lit("evb-"), (F.col("ord") % 500).cast("string")).alias("link_ref"),
+    links = derived(spark, sf, "links").select(F.expr(_TABLE.format("ord")), F.col("mid").alias("y0"), "ord", F.concat(F.lit("evb-"), (F.col("ord") % 500).cast("string")).alias("link_ref"),
                                                (F.col("target") % 90 + 1).cast("int").alias("link_page"), F.col("target").cast("string").alias("dest"))
     foot = I.footer_map(derived(spark, sf, "dtc_index").where("page % 3 > 0"))
     return I.merge_groups_with_links(rows, links, foot)
