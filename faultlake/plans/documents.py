@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from faultlake.operators import envelope as E
-from faultlake.session import scratch_dir, table
+from faultlake.session import staged_folder, table
 
 QUERIES, SQL = {}, {}
 
@@ -88,7 +88,7 @@ def snk5(spark, sf):
 
     from faultlake.sources.files import history
 
-    path = f"{scratch_dir(spark)}/history-{uuid4().hex}"
+    path = f"{staged_folder(spark)}/history-{uuid4().hex}"
     rows = table(spark, sf, "run_reports").where("report_id is not null").select("report_id", "run_date").distinct()
     E.append_history(rows, path)
     return history(spark, path, "report_id bigint, run_date string").groupBy("run_date").agg(F.count("*").alias("n"))
@@ -99,7 +99,7 @@ def snk1(spark, sf):
     """Documents written as JSON lines and read again."""
     from uuid import uuid4
 
-    path = f"{scratch_dir(spark)}/documents-{uuid4().hex}"
+    path = f"{staged_folder(spark)}/documents-{uuid4().hex}"
     E.write_documents(_manuals(spark, sf).select("document_id", "source_file", "metadata"), path)
     return spark.read.schema("document_id string, source_file string").json(path)
 
@@ -142,7 +142,7 @@ def stream(spark, sf):
 
     from faultlake.streaming.ingest import ingest
 
-    base = f"{scratch_dir(spark)}/stream-{uuid4().hex}"
+    base = f"{staged_folder(spark)}/stream-{uuid4().hex}"
     rows = table(spark, sf, "run_reports").where("report_id is not null").select("report_id", "status")
     rows.write.parquet(f"{base}/in")
     ingest(spark, f"{base}/in", "report_id bigint, status string", lambda s: s.dropDuplicates(["report_id"]), f"{base}/out", f"{base}/state").awaitTermination()
@@ -175,7 +175,7 @@ def src1(spark, sf):
 
     from faultlake.sources.files import manual_files
 
-    folder = f"{scratch_dir(spark)}/manuals-{uuid4().hex}"
+    folder = f"{staged_folder(spark)}/manuals-{uuid4().hex}"
     rows = _manuals(spark, sf).where("source_file is not null").select(F.concat(F.lower("document_id"), F.lit(".pdf")).alias("name"), F.encode("source_file", "utf-8").alias("content"))
     E.write_images(rows, folder.removeprefix("file://"))
     return manual_files(spark, folder).select("stem", "document_id", "length")
@@ -187,7 +187,7 @@ def src15(spark, sf):
 
     from faultlake.sources.files import model_lookup
 
-    path = f"{scratch_dir(spark)}/lookup-{uuid4().hex}"
+    path = f"{staged_folder(spark)}/lookup-{uuid4().hex}"
     one = table(spark, sf, "vehicle_models").groupBy(F.upper("model").alias("model")).agg(F.min("make").alias("make"))
     # the lookup is a list of known vehicles, one JSON object
     one.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("model", "make")))).alias("value")).coalesce(1).write.text(path)

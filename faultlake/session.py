@@ -32,7 +32,7 @@ def scratch_dir(spark: SparkSession) -> str:
     return made
 
 
-def _staged_root(spark: SparkSession) -> str:
+def staged_folder(spark: SparkSession) -> str:
     """Folder of this application's staged tables, deleted when the application ends."""
     root = f"{scratch_dir(spark)}/staged/{spark.sparkContext.applicationId}"
     if getattr(spark, "_faultlake_staged", None) != root:
@@ -50,7 +50,7 @@ def stage(df: DataFrame) -> DataFrame:
     Later stages start from the written table, so a lost executor costs no recomputation of what lies
     before it, and a table used twice is computed once.
     """
-    path = f"{_staged_root(df.sparkSession)}/{uuid.uuid4().hex}"
+    path = f"{staged_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
