@@ -44,46 +44,48 @@ def spans(text: str, limit: int = LIMIT, overlap: int = OVERLAP, unit: str = "ch
     levels = [sorted({bisect_left(starts, m.end()) for m in p.finditer(text)}) for p in (_PARAGRAPH, _LINE, _SENTENCE)]
     every = sorted(set().union(*levels))
     out: list[tuple[int, int]] = []
-    here = 0  # token at which the piece starts
-    inside = 0  # characters of that token already given out, when a single token is longer than the limit
-    last = len(ends)
-    closed = 0  # token at which the piece before ended
+    begin = end = 0  # characters at which the piece begins and the piece before ended
     while True:
-        base = size[here] + (inside if unit == "chars" else 0)
-        top = bisect_right(size, base + limit) - 1
-        if top >= last:
-            out.append((starts[here] + inside, len(text)))
+        base = begin if unit == "chars" else size[bisect_left(starts, begin)]
+        top = bisect_right(size, base + limit) - 1  # the last token boundary within the limit
+        if top >= len(ends):
+            out.append((begin, len(text)))
             return out
-        if top <= max(here, closed):  # one token does not fit: cut inside it
-            cut = starts[here] + inside + limit
-            out.append((starts[here] + inside, cut))
-            back = max(cut - overlap, starts[here] + inside + 1)
-            inside, closed = back - starts[here], here
-            continue
-        least = max(closed, here, bisect_left(size, base + limit // 2))
-        cut = 0
-        for level in levels:
-            k = bisect_right(level, top)
-            if k and level[k - 1] > least:
-                cut = level[k - 1]
-                break
-        if not cut:
-            k = bisect_right(every, top)
-            cut = every[k - 1] if k and every[k - 1] > max(closed, bisect_left(size, base + overlap)) else 0
-        if not cut:  # no natural boundary: the last start of a word
-            cut = top
-            while cut > max(closed, here) + 1 and not (text[starts[cut] - 1].isspace() and not text[starts[cut]].isspace()):
-                cut -= 1
-            if size[cut] <= base + overlap:
-                cut = top
-        out.append((starts[here] + inside, starts[cut]))
-        back = bisect_left(size, size[cut] - overlap)
-        k = bisect_left(every, back)
-        if k < len(every) and every[k] < cut:  # repeat from the start of a sentence where one lies in the overlap
-            back = every[k]
-        while back < cut and text[starts[back]].isspace():
-            back += 1
-        here, inside, closed = max(back, here + 1), 0, cut
+        first = bisect_right(starts, max(begin, end))  # the first token boundary that makes progress
+        if top < first:  # one token does not fit: cut inside it
+            cut, here = begin + limit, None
+        else:
+            here = _boundary(levels, every, text, starts, size, base, limit, overlap, first, top)
+            cut = starts[here]
+        out.append((begin, cut))
+        back = cut - overlap if unit == "chars" else starts[bisect_left(size, size[here] - overlap)]
+        back = max(back, begin + 1)
+        if here is not None:
+            k = bisect_left(starts, back)
+            n = bisect_left(every, k)
+            if n < len(every) and every[n] < here:  # repeat from the start of a sentence where one lies in the overlap
+                k = every[n]
+            while k < here and text[starts[k]].isspace():
+                k += 1
+            back = starts[k]
+        begin, end = back, cut
+
+
+def _boundary(levels: list[list[int]], every: list[int], text: str, starts: list[int], size: list[int], base: int, limit: int, overlap: int, first: int, top: int) -> int:
+    """The token at which to cut, from ``first`` to ``top``: the last strong boundary of the second half, any later than the overlap, a word, a token."""
+    half = max(first, bisect_left(size, base + limit // 2))
+    for level in levels:
+        k = bisect_right(level, top)
+        if k and level[k - 1] >= half:
+            return level[k - 1]
+    beyond = max(first, bisect_right(size, base + overlap))
+    k = bisect_right(every, top)
+    if k and every[k - 1] >= beyond:
+        return every[k - 1]
+    for cut in range(top, beyond - 1, -1):
+        if text[starts[cut] - 1].isspace() and not text[starts[cut]].isspace():
+            return cut
+    return top
 
 
 def pieces_of(items: DataFrame, keys: list[str], text: str = "text", limit: int = LIMIT, overlap: int = OVERLAP, unit: str = "chars") -> DataFrame:
