@@ -220,13 +220,17 @@ def agg20(spark, sf):
     return c.where("coalesce(c.text, '') <> ''").select("article_id", "c.author", "c.text", "c.date")
 
 
-def _pages(spark, sf) -> DataFrame:
-    """Articles as small HTML pages, to run the HTML source over whole tables."""
+def _pages(spark, sf, by_line: bool = False) -> DataFrame:
+    """Articles as HTML pages with their whole content, to run the HTML source over whole tables.
+
+    The content is one paragraph, or with ``by_line`` one for each line.
+    """
     def esc(c):
         return F.replace(F.replace(F.coalesce(c, F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
     a = table(spark, sf, "articles").where("article_id is not null").dropDuplicates(["article_id"])
     tag = lambda name, values: F.array_join(F.transform(F.coalesce(values, F.array().cast("array<string>")), lambda v: F.concat(F.lit(f"<{name}>"), esc(v), F.lit(f"</{name}>"))), "")
-    html = F.concat(F.lit("<html><body><h1>"), esc(F.col("title")), F.lit('</h1><div class="futurio-content single-content"><p>'), esc(F.substring_index("content", "\n", 3)), F.lit("</p><p>Faults:<ul>"),
+    body = tag("p", F.split("content", "\n")) if by_line else F.concat(F.lit("<p>"), esc(F.col("content")), F.lit("</p>"))
+    html = F.concat(F.lit("<html><body><h1>"), esc(F.col("title")), F.lit('</h1><div class="futurio-content single-content">'), body, F.lit("<p>Faults:<ul>"),
                     tag("li", F.col("fault_codes")), F.lit("</ul><p>Part numbers:</p><ul>"), tag("li", F.col("part_numbers")), F.lit('</ul></div><div class="tags-links">'), tag("a", F.col("tags")), F.lit("</div></body></html>"))
     return a.select(F.col("article_id").alias("page_id"), F.col("source").alias("url"), html.alias("html"))
 
@@ -235,7 +239,7 @@ def _pages(spark, sf) -> DataFrame:
 def fn27(spark, sf):
     from faultlake.sources import html
 
-    return html.parse_articles(_pages(spark, sf)).select("page_id", "title", "content", "fault_codes", "part_numbers", "tags", F.size("images").alias("n_images"))
+    return html.parse_articles(_pages(spark, sf, by_line=True)).select("page_id", "title", "content", "fault_codes", "part_numbers", "tags", F.size("images").alias("n_images"))
 
 
 @query("src19_html_nodes", rf"""with {_DEDUP} select tag, sum(n) as n from (
