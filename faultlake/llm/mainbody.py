@@ -10,26 +10,31 @@ threshold gives the dense region. What the ratio cannot tell is settled by two m
 * for lines whose template (digits and months removed) recurs over the corpus, how often their neighbours are body
   lines: subheadings and closing words stand in or at the end of the body, notices and menus do not.
 
-Counts cover all pages. A recurring template has at least ``OFTEN`` occurrences and ``OFTEN_SHARE`` for each page,
-so there are at most (lines per page / OFTEN_SHARE) of them, whatever the corpus; only their hashes and verdicts are sent
-to the tasks. Null or empty content gives no lines, blank lines are never content, a page delivered again counts
+Counts cover all pages. A recurring template stands on at least ``OFTEN`` pages of one site, whatever the corpus, or on
+``OFTEN`` and ``OFTEN_SHARE`` of all pages: a sentence that a large corpus has ``OFTEN`` times by chance is none. Up to ``MAX_SHARED`` hashes and verdicts are sent to the tasks; more are joined to the pages by template
+hash, with the same result. Null or empty content gives no lines, blank lines are never content, a page delivered again counts
 once, and a page without any sentence gives its list entries and captions only.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from html.parser import HTMLParser
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from faultlake.session import stage
+
 OFTEN, OFTEN_SHARE = 4, 0.0005
+#: So many recurring templates at most are sent to every task.
+MAX_SHARED = 200_000
 SIGMA = 1.5
 #: A sentence of so many characters that stands on no other page is content wherever it stands.
 LEAST_CHARS = 30
@@ -177,38 +182,77 @@ def _pages(articles: DataFrame) -> DataFrame:
     return articles.where("article_id is not null and content is not null and content <> ''").select("article_id", "content")
 
 
+def _site(articles: DataFrame) -> Column:
+    """Hash of the host an article comes from; without a source all are one site."""
+    source = F.col("source") if "source" in articles.columns else F.lit("")
+    return F.xxhash64(F.lower(F.regexp_extract(F.coalesce(source, F.lit("")), r"^(?:[A-Za-z]+:)?(?://)?([^/?#]+)", 1)))
+
+
 def template_counts(articles: DataFrame) -> DataFrame:
-    """(mark, n): on how many pages each template stands; heading-like lines and sentences only."""
+    """(mark, n, most): on how many pages each template stands, and on how many of one site; heading-like lines and sentences only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, found = _Known(), Counter()
         for batch in batches:
-            for content in batch.column(1).to_pylist():
-                found.update({m for f, m in (known[x] for x in lines_of(content)[0] if x) if f in (SENTENCE, HEADED)})
+            for content, site in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found.update({(m, site) for f, m in (known[x] for x in lines_of(content)[0] if x) if f in (SENTENCE, HEADED)})
             if len(found) > 500_000:
                 yield _counter(found)
                 found.clear()
         if found:
             yield _counter(found)
 
-    return _pages(articles).mapInArrow(run, "mark long, n long").groupBy("mark").agg(F.sum("n").alias("n"))
+    pages = articles.withColumn("_site", _site(articles)).where("article_id is not null and content is not null and content <> ''").select("content", "_site")
+    by_site = pages.mapInArrow(run, "mark long, site long, n long").groupBy("mark", "site").agg(F.sum("n").alias("n"))
+    return by_site.groupBy("mark").agg(F.sum("n").alias("n"), F.max("n").alias("most"))
 
 
 def _counter(found: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())], names=["mark", "n"])
+    return pa.RecordBatch.from_arrays([*(pa.array([k[j] for k in found], pa.int64()) for j in range(2)), pa.array(list(found.values()), pa.int64())], names=["mark", "site", "n"])
 
 
-def verdicts(articles: DataFrame) -> dict[int, int]:
-    """Template hash -> 1 (body) or 0 (frame) of every recurring template, from its neighbours on all pages."""
-    spark = articles.sparkSession
-    least = max(OFTEN, int(OFTEN_SHARE * _pages(articles).count()))
-    frequent = {int(r[0]): 1 for r in template_counts(articles).where(F.col("n") >= least).select("mark").toLocalIterator()}
-    shared = spark.sparkContext.broadcast(frequent)
+def _page_marks(pages: DataFrame) -> DataFrame:
+    """(article_id, mark): the templates of each page; heading-like lines and sentences only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, often, found = _Known(), shared.value, {}
+        known = _Known()
         for batch in batches:
-            for content in batch.column(1).to_pylist():
+            at, marks = [], []
+            for r, content in enumerate(batch.column(1).to_pylist()):
+                found = {m for f, m in (known[x] for x in lines_of(content)[0] if x) if f in (SENTENCE, HEADED)}
+                at.extend([r] * len(found))
+                marks.extend(found)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int32())), pa.array(marks, pa.int64())], names=["article_id", "mark"])
+
+    return pages.mapInArrow(run, "article_id long, mark long")
+
+
+#: Ids, contents and verdicts by template hash of a batch of pages.
+Batches = Iterator[tuple[pa.Array, list[str], Iterable[dict[int, int]]]]
+
+
+def _each_page(articles: DataFrame, verdicts: DataFrame, run: Callable[[Batches], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``run`` over all pages with what ``verdicts`` (mark, verdict) says of their templates."""
+    pages = _pages(articles).withColumn("article_id", F.col("article_id").cast("long"))
+    if verdicts.count() <= MAX_SHARED:
+        shared = articles.sparkSession.sparkContext.broadcast({r["mark"]: r["verdict"] for r in verdicts.toLocalIterator()})
+        return pages.mapInArrow(lambda batches: run((b.column(0), b.column(1).to_pylist(), itertools.repeat(shared.value)) for b in batches), schema)
+    # A page delivered again has the verdicts of all its deliveries: a verdict holds for its template anywhere.
+    own = _page_marks(pages).join(verdicts, "mark").groupBy("article_id").agg(F.collect_set(F.struct("mark", "verdict")).alias("own"))
+    joined = pages.join(own, "article_id", "left").select("article_id", "content", "own.mark", "own.verdict")
+    return joined.mapInArrow(lambda batches: run(
+        (b.column(0), b.column(1).to_pylist(), [dict(zip(m or (), v or (), strict=True)) for m, v in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]) for b in batches), schema)
+
+
+def verdicts(articles: DataFrame) -> DataFrame:
+    """(mark, verdict): 1 (body) or 0 (frame) for every recurring template, from its neighbours on all pages; staged."""
+    least = max(OFTEN, int(OFTEN_SHARE * _pages(articles).count()))
+    frequent = stage(template_counts(articles).where((F.col("most") >= OFTEN) | (F.col("n") >= least)).select("mark", F.lit(1).alias("verdict")))
+
+    def run(batches: Batches) -> Iterator[pa.RecordBatch]:
+        known, found = _Known(), {}
+        for _, contents, often_of in batches:
+            for content, often in zip(contents, often_of):  # noqa: B905
                 lines = [known[x] for x in lines_of(content)[0] if x]
                 forms, marks = [f for f, _ in lines], [m for _, m in lines]
                 body = [False, *_bodylike(forms, marks, often), False]
@@ -218,50 +262,53 @@ def verdicts(articles: DataFrame) -> dict[int, int]:
                         c[0] += 1
                         if side := 2 * body[k] + body[k + 2]:
                             c[side] += 1
+            if len(found) > MAX_SHARED:
+                yield _neighbours(found)
+                found.clear()
         if found:
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), *(pa.array([c[j] for c in found.values()], pa.int64()) for j in range(5))],
-                                             names=["mark", "n", "next", "prev", "both", "form"])
+            yield _neighbours(found)
 
-    counted = (_pages(articles).mapInArrow(run, "mark long, n long, next long, prev long, both long, form long")
+    counted = (_each_page(articles, frequent, run, "mark long, n long, next long, prev long, both long, form long")
                .groupBy("mark").agg(*(F.sum(c).alias(c) for c in ("n", "next", "prev", "both")), F.max("form").alias("form")))
-    out = {}
-    for r in counted.toLocalIterator():
-        followed, closing = (r["both"] + r["next"]) / r["n"], (r["both"] + r["prev"]) / r["n"]
-        out[int(r["mark"])] = int(followed >= HEADING if r["form"] == HEADED else max(followed, closing) >= CLOSING)
-    return out
+    followed, closing = (F.col("both") + F.col("next")) / F.col("n"), (F.col("both") + F.col("prev")) / F.col("n")
+    body = F.when(F.col("form") == HEADED, followed >= HEADING).otherwise(F.greatest(followed, closing) >= CLOSING)
+    return stage(counted.select("mark", body.cast("int").alias("verdict")))
+
+
+def _neighbours(found: dict[int, list[int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), *(pa.array([c[j] for c in found.values()], pa.int64()) for j in range(5))],
+                                      names=["mark", "n", "next", "prev", "both", "form"])
 
 
 def main_lines(articles: DataFrame) -> DataFrame:
     """(article_id, line_no) of the lines of content that are the article's own."""
-    shared = articles.sparkSession.sparkContext.broadcast(verdicts(articles))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Batches) -> Iterator[pa.RecordBatch]:
         known = _Known()
-        for batch in batches:
+        for ids, contents, verdicts_of in batches:
             at, no = [], []
-            for r, content in enumerate(batch.column(1).to_pylist()):
-                found = body_lines(content, shared.value, known)
+            for r, (content, own) in enumerate(zip(contents, verdicts_of)):  # noqa: B905
+                found = body_lines(content, own, known)
                 at.extend([r] * len(found))
                 no.extend(found)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int32())).cast(pa.int64()), pa.array(no, pa.int32())], names=["article_id", "line_no"])
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(at, pa.int32())), pa.array(no, pa.int32())], names=["article_id", "line_no"])
 
-    return _pages(articles).mapInArrow(run, "article_id long, line_no int").distinct()
+    return _each_page(articles, verdicts(articles), run, "article_id long, line_no int").distinct()
 
 
 def main_text(articles: DataFrame) -> DataFrame:
     """(article_id, body, n_lines, n_kept): the text of each page's own lines, one row per page."""
-    shared = articles.sparkSession.sparkContext.broadcast(verdicts(articles))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Batches) -> Iterator[pa.RecordBatch]:
         known = _Known()
-        for batch in batches:
+        for ids, contents, verdicts_of in batches:
             body, lines, kept = [], [], []
-            for content in batch.column(1).to_pylist():
+            for content, own in zip(contents, verdicts_of):  # noqa: B905
                 text = lines_of(content)[0]
-                found = body_lines(content, shared.value, known)
+                found = body_lines(content, own, known)
                 body.append("\n".join(text[i - 1] for i in found))
                 lines.append(sum(map(bool, text)))
                 kept.append(len(found))
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(body, pa.string()), pa.array(lines, pa.int32()), pa.array(kept, pa.int32())], names=["article_id", "body", "n_lines", "n_kept"])
+            yield pa.RecordBatch.from_arrays([ids, pa.array(body, pa.string()), pa.array(lines, pa.int32()), pa.array(kept, pa.int32())], names=["article_id", "body", "n_lines", "n_kept"])
 
-    return _pages(articles).mapInArrow(run, "article_id long, body string, n_lines int, n_kept int").dropDuplicates(["article_id"])
+    return _each_page(articles, verdicts(articles), run, "article_id long, body string, n_lines int, n_kept int").dropDuplicates(["article_id"])
