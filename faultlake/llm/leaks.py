@@ -31,6 +31,8 @@ MAX_ITEM_WORDS = 5_000_000
 #: A passage must be at least so many words, and repeat this share of the numbers it spans.
 LEAST_WORDS, OWN_NUMBERS = 8, 0.6
 
+PASSAGES = pa.list_(pa.struct([("first_word", pa.int32()), ("last_word", pa.int32())]))
+
 _WORD = re.compile(r"[^\W_]+")
 _SENTENCE = re.compile(r"(?<=[.?!])\s+")
 
@@ -177,9 +179,9 @@ def _texts(items: DataFrame) -> dict[int, str]:
 
 
 def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", held: float = HELD) -> DataFrame:
-    """(key, item_id, held_words, item_words, first_word, last_word) of every document that holds an item.
+    """(key, item_id, held_words, item_words, passages) of every document that holds an item.
 
-    ``first_word`` and ``last_word`` bound the passages in the document's words, for removing them.
+    ``passages`` has (first_word, last_word) of each passage in the document's words, for removing it.
     """
     shared = documents.sparkSession.sparkContext.broadcast(_texts(items))
     kind = documents.schema[key].dataType.simpleString()
@@ -188,7 +190,7 @@ def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str
         index = Index(shared.value)
         known = index.vocabulary.get
         for batch in batches:
-            at, out = [], [[] for _ in range(5)]
+            at, out = [], [[] for _ in range(4)]
             for r, t in enumerate(batch.column(1).to_pylist()):
                 ids = np.array([known(x, 0) for x in words(t)], dtype=np.int64)
                 hits = index.hits(ids)
@@ -197,23 +199,25 @@ def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str
                     n, spans = index.held(ids, item)
                     if n >= held * own:
                         at.append(r)
-                        for column, x in zip(out, (item, n, own, min(s for s, _ in spans), max(e for _, e in spans)), strict=True):
+                        for column, x in zip(out, (item, n, own, [{"first_word": a, "last_word": b} for a, b in sorted(spans)]), strict=True):
                             column.append(x)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(at, pa.int32())), pa.array(out[0], pa.int64()), *(pa.array(x, pa.int32()) for x in out[1:])],
-                names=[key, "item_id", "held_words", "item_words", "first_word", "last_word"])
+                [batch.column(0).take(pa.array(at, pa.int32())), pa.array(out[0], pa.int64()), *(pa.array(x, pa.int32()) for x in out[1:3]), pa.array(out[3], PASSAGES)],
+                names=[key, "item_id", "held_words", "item_words", "passages"])
 
     plain = documents.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(key, text)
-    return plain.mapInArrow(run, f"`{key}` {kind}, item_id long, held_words int, item_words int, first_word int, last_word int")
+    return plain.mapInArrow(run, f"`{key}` {kind}, item_id long, held_words int, item_words int, passages array<struct<first_word: int, last_word: int>>")
 
 
 def without_leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, text, removed_words): every document with the leaked passages cut out of its text.
 
-    Text between the first and last word of the passages goes; documents without leaks stay as they are.
+    Text from the first to the last word of each passage goes, what stands between passages stays; documents without
+    leaks stay as they are.
     """
     found = leaks(documents, items)
-    spans = found.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("first_word", "last_word"))).alias("spans"))  # at most one for each item
+    each = found.select("doc_id", F.explode("passages").alias("passage"))
+    spans = each.groupBy("doc_id").agg(F.sort_array(F.collect_set("passage")).alias("spans"))  # at most two for each item
 
     @F.pandas_udf("struct<text: string, removed_words: int>")
     def cut(text: pd.Series, spans: pd.Series) -> pd.DataFrame:
@@ -224,12 +228,12 @@ def without_leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
                 continue
             # Lower case may change the length of a text, so places are taken from the text as it stands.
             at = [m.span() for m in _WORD.finditer(t)]
-            keep, begin, removed = [], 0, 0
+            keep, begin, removed, last = [], 0, 0, 0
             for span in own:
                 a, b = span["first_word"], min(span["last_word"], len(at))
                 if a < b and at[b - 1][1] > begin:
                     keep.append(t[begin:max(begin, at[a][0])])
-                    begin, removed = at[b - 1][1], removed + b - a
+                    begin, removed, last = at[b - 1][1], removed + b - max(a, last), b  # passages of two items may overlap
             out.append(("".join(keep) + t[begin:], removed))
         return pd.DataFrame(out, columns=["text", "removed_words"])
 

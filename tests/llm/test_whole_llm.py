@@ -2,8 +2,9 @@
 
 import random
 
+from faultlake.llm import leaks as L
 from faultlake.llm import mainbody as M
-from test_text import ARTICLE, page
+from test_text import ARTICLE, ITEMS, page
 
 NOTICE = "Readers of this small site may write to the editors at any time."
 
@@ -30,3 +31,14 @@ def test_joined_verdicts_are_the_sent_ones(spark, monkeypatch):
         got.setdefault(r.article_id, set()).add(r.line_no)
     assert got == {i: own for i, (_, own) in made.items()}
     assert {tuple(r) for r in M.main_text(df).collect()} == sent
+
+
+def test_text_between_two_passages_stays(spark):
+    words = ITEMS[1][15:].split()
+    own = " ".join(f"own{'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10 % 10]}" for k in range(100))
+    text = f"{own} {' '.join(words[:18])} {own} {' '.join(words[-18:])} {own}"
+    df = spark.createDataFrame([(1, text), (2, own)], "doc_id long, text string")
+    items = spark.createDataFrame(list(ITEMS.items()), "item_id long, text string")
+    clean = {r.doc_id: r for r in L.without_leaks(df, items).collect()}
+    assert clean[1].text.count(own) == 3 and "D39" not in clean[1].text and "K12" not in clean[1].text and clean[2].text == own
+    assert clean[1].removed_words == len(L.words(text)) - len(L.words(clean[1].text)) and 30 <= clean[1].removed_words <= 44
