@@ -1,27 +1,27 @@
 """Main content of web pages without their frame (problem 6).
 
-A page's text is streamed through the standard library's HTML parser: each line has the length of its text and
-its number of elements (tags met on it; on a line without markup, the line itself and each separator between
-entries of a menu). The ratio of the two is smoothed over the lines by a Gaussian, and a two-cluster
-threshold gives the dense region. What the ratio cannot tell is settled by two more measures:
-
-* the form of a line: a sentence, a list entry with a code or part number, a caption, a chain of menu or path
-  entries, a teaser cut off by an ellipsis, a heading-like line;
-* for lines whose template (digits and months removed) recurs over the corpus, how often their neighbours are body
-  lines: subheadings and closing words stand in or at the end of the body, notices and menus do not.
-
-Counts cover all pages. A recurring template stands on at least ``OFTEN`` pages of one site, whatever the corpus, or on
-``OFTEN`` and ``OFTEN_SHARE`` of all pages: a sentence that a large corpus has ``OFTEN`` times by chance is none. Up to ``MAX_SHARED`` hashes and verdicts are sent to the tasks; more are joined to the pages by template
-hash, with the same result. Null or empty content gives no lines, blank lines are never content, a page delivered again counts
-once, and a page without any sentence gives its list entries and captions only.
+A page is streamed through the standard library's HTML parser, line by line: each line has the signs of its text outside
+links and its number of tags. Pages stored as text have one element a line and no tags left, so the tags a line implies
+are taken (``form_of``): entries between separators, titles of other pages and teasers cut off by an ellipsis are links; sentences,
+list entries and captions are text of one element. The line's *ratio* is log(1 + text / tags); text that recurs over a site's
+pages is the site's, not the page's, and has ratio 0. A Gaussian smooths the ratios over the lines, and a two-cluster
+threshold of the smoothed ratios of all pages (``Cut``) says which places are dense:
+
+* a line with text of its own is content if it is dense itself or lies in a dense region;
+* a recurring line has no text of its own, so the ratio round it decides, smoothed from the lines before and from those after it and averaged over
+  all its pages: a sentence must touch a dense side, a title must lie in a dense place and open a region (the ratio rises after it by ``RISE``).
+  Notices, menus and sharing lines lie in sparse places, and after labels of advertising inside the text nothing rises.
+
+Counts cover all pages, a page delivered again once. A line recurs if its template (digits and months removed) stands on at least ``OFTEN``
+pages and a share ``SITE_SHARE`` of the pages of one site, or ``CORPUS_SHARE`` of all pages. Each page is parsed once and staged as its lines' numbers,
+kinds, ratios and template hashes; what follows is array work on these. Up to ``MAX_SHARED`` hashes and verdicts are sent to the tasks; more are joined
+to the pages by template hash, with the same result. Null or empty content gives no lines, and blank lines are never content.
 """
 
 from __future__ import annotations
 
-import itertools
 import re
-from collections import Counter
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
 import numpy as np
@@ -30,48 +30,48 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultlake.session import stage
+from faultlake.session import checked_broadcast, stage
 
-OFTEN, OFTEN_SHARE = 4, 0.0005
+OFTEN, SITE_SHARE, CORPUS_SHARE = 4, 0.005, 0.0005
 #: So many recurring templates at most are sent to every task.
 MAX_SHARED = 200_000
-SIGMA = 1.5
-#: A sentence of so many characters that stands on no other page is content wherever it stands.
-LEAST_CHARS = 30
-#: Shares of neighbours from which a recurring line is body.
-HEADING, CLOSING = 0.75, 0.4
-
-# Labels of advertising, and abbreviations that open a caption.
-ADS = frozenset("ad|ads|advertisement|advertising|sponsored|partner content|promoted|anzeige|werbung|publicité|annonce|publicidad|anuncio|patrocinado|sponsorisé|gesponsert".split("|"))
+#: Width of the Gaussian in lines, and how much the ratio rises after a title that opens a region.
+SIGMA, RISE = 1.5, 0.5
+REACH = int(3 * SIGMA)
+#: A ratio of 25.5 is a line of 10^11 signs; cells of the histogram that the threshold is taken from are 0.1 wide.
+CELLS, WIDTH = 256, 0.1
+
+# What opens a caption, and names of months.
 CAPTION = re.compile(r"(?:Fig(?:ure|\.)?|Abb(?:ildung|\.)?|Pic(?:ture)?|Photo|Foto|Bild|Image|Imagen)\s*\d+\s*[:.–-]", re.I)
 MONTHS = re.compile(r"\b(?:January|February|March|April|May|June|July|August|September|October|November|December|Jan|Feb|Mar|Apr|Jun|Jul|Aug|Sep|Oct|Nov|Dec)\b")
 CODE = re.compile(r"[-•*–·\d.)\s]*(?:[PBCU][0-9A-F]{4}\b|[A-Z]\d{4,9}-[A-Z0-9]+\b)")
 COUNTED = re.compile(r"\(\d+\)$")
 MENU = re.compile(r"\S {2,}\S.*\S {2,}\S")
-LINKS = re.compile(r" [|·/»>] |\s{2,}")
-END = tuple(".?!\"»”:;)")
 
 SENTENCE, ENTRY, CAPTIONED, CHAIN, TEASER, HEADED = range(6)
+LINKS = (CHAIN, TEASER, HEADED)
+#: A non-blank line: its number, form, ratio and template hash (0: not looked at for recurrence).
+LINE = np.dtype([("no", np.int32), ("form", np.int8), ("ratio", np.float32), ("mark", np.int64)])
 
 
 class _Lines(HTMLParser):
-    """Text and tags by line; used only where a page still has markup."""
+    """Text, signs outside links and tags by line; used only where a page still has markup."""
 
     def __init__(self, n: int) -> None:
         super().__init__(convert_charrefs=True)
-        self.text, self.tags, self.skip = [""] * n, [0] * n, 0
-
-    def _count(self, tag: str) -> None:
-        self.tags[self.getpos()[0] - 1] += 1
+        self.text, self.signs, self.tags, self.skip, self.link = [""] * n, [0] * n, [0] * n, 0, 0
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        self._count(tag)
+        self.tags[self.getpos()[0] - 1] += 1
         self.skip += tag in ("script", "style")
+        self.link += tag == "a"
 
     def handle_endtag(self, tag: str) -> None:
-        self._count(tag)
+        self.tags[self.getpos()[0] - 1] += 1
         if tag in ("script", "style") and self.skip:
             self.skip -= 1
+        if tag == "a" and self.link:
+            self.link -= 1
 
     def handle_data(self, data: str) -> None:
         if not self.skip:
@@ -79,20 +79,7 @@ class _Lines(HTMLParser):
             for k, part in enumerate(data.split("\n")):
                 if at + k < len(self.text):
                     self.text[at + k] += part
-
-
-def lines_of(content: str) -> tuple[list[str], list[int]]:
-    """Stripped text of each line, and its number of elements."""
-    raw = content.split("\n")
-    if "<" in content and re.search(r"</?[a-zA-Z]", content):
-        parser = _Lines(len(raw))
-        try:
-            parser.feed(content)
-            parser.close()
-        except (AssertionError, ValueError):
-            return [x.strip() for x in raw], [1] * len(raw)
-        return [x.strip() for x in parser.text], [max(1, t) for t in parser.tags]
-    return [x.strip() for x in raw], [1] * len(raw)
+                    self.signs[at + k] += 0 if self.link else len(part.strip())
 
 
 def form_of(line: str) -> int:
@@ -116,70 +103,32 @@ def template_of(line: str) -> str:
 
 
 class _Known(dict):
-    """line -> (form, template hash), kept for the lines of a task."""
+    """line -> (form, signs of text outside links, template hash), kept for the lines of a task."""
 
-    def __missing__(self, line: str) -> tuple[int, int]:
+    def __missing__(self, line: str) -> tuple[int, int, int]:
         if len(self) > 200_000:
             self.clear()
-        found = self[line] = (form_of(line), xxhash.xxh3_64_intdigest(template_of(line)) - (1 << 63))
+        form = form_of(line)
+        mark = xxhash.xxh3_64_intdigest(template_of(line)) - (1 << 63) if form in (SENTENCE, HEADED) else 0
+        found = self[line] = (form, 0 if form in LINKS else len(line), mark)
         return found
 
 
-def _bodylike(forms: list[int], marks: list[int], frequent: dict) -> list[bool]:
-    return [f in (ENTRY, CAPTIONED) or (f == SENTENCE and m not in frequent) for f, m in zip(forms, marks, strict=True)]
-
-
-def smoothed(lengths: np.ndarray, elements: np.ndarray) -> tuple[np.ndarray, float]:
-    """Text-to-element ratio after Gaussian smoothing, and the threshold between its two clusters."""
-    ratio = np.log1p(lengths / elements)
-    reach = int(3 * SIGMA)
-    kernel = np.exp(-0.5 * (np.arange(-reach, reach + 1) / SIGMA) ** 2)
-    smooth = np.convolve(np.pad(ratio, reach, mode="edge"), kernel / kernel.sum(), mode="valid")
-    low, high = float(smooth.min()), float(smooth.max())
-    for _ in range(10):
-        cut = (low + high) / 2
-        above = smooth > cut
-        if above.all() or not above.any():
-            break
-        new = float(smooth[~above].mean()), float(smooth[above].mean())
-        if abs(new[0] - low) + abs(new[1] - high) < 1e-6:
-            break
-        low, high = new
-    return smooth, (low + high) / 2
-
-
-def body_lines(content: str | None, verdicts: dict[int, int], known: _Known | None = None) -> list[int]:
-    """Numbers (from 1) of the lines that are the page's own. ``verdicts``: template hash -> 1 body, 0 frame."""
-    if not content or not content.strip():
-        return []
-    known = _Known() if known is None else known
-    text, tags = lines_of(content)
-    at = [i for i, x in enumerate(text) if x]
-    if not at:
-        return []
-    forms, marks = zip(*(known[text[i]] for i in at), strict=True)
-    smooth, cut = smoothed(np.array([len(text[i]) for i in at]), np.array([max(tags[i], 1 + (len(LINKS.findall(text[i])) if f == CHAIN else 0)) for i, f in zip(at, forms, strict=True)]))
-    own = []
-    for k, (f, m) in enumerate(zip(forms, marks, strict=True)):
-        verdict = verdicts.get(m)
-        if f in (ENTRY, CAPTIONED):
-            own.append(True)
-        elif f in (CHAIN, TEASER) or verdict == 0 or text[at[k]].strip("-–—*[]() .:").lower() in ADS:
-            own.append(False)
-        elif f == SENTENCE and verdict is None:  # a sentence of its own: dense, or in the dense region
-            own.append(bool(smooth[k] > cut or len(text[at[k]]) >= LEAST_CHARS))
-        else:
-            own.append(None if verdict == 1 else False)
-    for k, x in enumerate(own):  # recurring body lines count next to body lines
-        if x is None:
-            before = next((own[j] for j in range(k - 1, -1, -1) if own[j] is not None), False)
-            after = next((own[j] for j in range(k + 1, len(own)) if own[j] is not None), False)
-            own[k] = bool(before or after)
-    return [i + 1 for i, x in zip(at, own, strict=True) if x]
-
-
-def _pages(articles: DataFrame) -> DataFrame:
-    return articles.where("article_id is not null and content is not null and content <> ''").select("article_id", "content")
+def lines_of(content: str, known: _Known) -> tuple[list[str], list[tuple[int, int, float, int]]]:
+    """The stripped text of every line, and (number, form, text per tag, mark) of those that are not blank."""
+    raw = content.split("\n")
+    if "<" in content and re.search(r"</?[a-zA-Z]", content):
+        parser = _Lines(len(raw))
+        try:
+            parser.feed(content)
+            parser.close()
+            text = [x.strip() for x in parser.text]
+            # Real tags say what is a link; the form tells sentences from titles.
+            return text, [(i, known[x][0], parser.signs[i - 1] / max(1, parser.tags[i - 1]), known[x][2]) for i, x in enumerate(text, 1) if x]
+        except (AssertionError, ValueError):
+            pass
+    text = [x.strip() for x in raw]
+    return text, [(i, (k := known[x])[0], float(k[1]), k[2]) for i, x in enumerate(text, 1) if x]
 
 
 def _site(articles: DataFrame) -> Column:
@@ -188,127 +137,198 @@ def _site(articles: DataFrame) -> Column:
     return F.xxhash64(F.lower(F.regexp_extract(F.coalesce(source, F.lit("")), r"^(?:[A-Za-z]+:)?(?://)?([^/?#]+)", 1)))
 
 
-def template_counts(articles: DataFrame) -> DataFrame:
-    """(mark, n, most): on how many pages each template stands, and on how many of one site; heading-like lines and sentences only."""
+def parsed(articles: DataFrame, keep_text: bool = False) -> DataFrame:
+    """(article_id, site, lines) of every page with text, staged, each page once; with ``keep_text`` the lines' text as well."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, found = _Known(), Counter()
+        known = _Known()
         for batch in batches:
-            for content, site in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found.update({(m, site) for f, m in (known[x] for x in lines_of(content)[0] if x) if f in (SENTENCE, HEADED)})
-            if len(found) > 500_000:
-                yield _counter(found)
-                found.clear()
-        if found:
-            yield _counter(found)
+            rows, texts = [], []
+            for content in batch.column(2).to_pylist():
+                text, lines = lines_of(content, known)
+                found = np.array(lines, dtype=LINE)
+                found["ratio"] = np.log1p(found["ratio"])
+                rows.append(found.tobytes())
+                texts.append(text)
+            columns = [batch.column(0), batch.column(1), pa.array(rows, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.list_(pa.string()))] if keep_text else columns, names=names)
 
-    pages = articles.withColumn("_site", _site(articles)).where("article_id is not null and content is not null and content <> ''").select("content", "_site")
-    by_site = pages.mapInArrow(run, "mark long, site long, n long").groupBy("mark", "site").agg(F.sum("n").alias("n"))
-    return by_site.groupBy("mark").agg(F.sum("n").alias("n"), F.max("n").alias("most"))
+    names = ["article_id", "site", "lines", "text"][: 3 + keep_text]
+    schema = "article_id long, site long, lines binary" + (", text array<string>" if keep_text else "")
+    pages = articles.where("article_id is not null and content is not null and content <> ''").select(F.col("article_id").cast("long"), _site(articles).alias("site"), "content")
+    return stage(pages.mapInArrow(run, schema).dropDuplicates(["article_id"]))
 
 
-def _counter(found: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([*(pa.array([k[j] for k in found], pa.int64()) for j in range(2)), pa.array(list(found.values()), pa.int64())], names=["mark", "site", "n"])
+def _decoded(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All lines of a batch of pages, and the number of lines of each page."""
+    rows = column.to_pylist()
+    return np.frombuffer(b"".join(rows), dtype=LINE), np.array([len(x) // LINE.itemsize for x in rows], dtype=np.int64)
 
 
-def _page_marks(pages: DataFrame) -> DataFrame:
-    """(article_id, mark): the templates of each page; heading-like lines and sentences only."""
+def page_marks(pages: DataFrame) -> DataFrame:
+    """(article_id, site, mark): the templates of each page, each once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Known()
         for batch in batches:
-            at, marks = [], []
-            for r, content in enumerate(batch.column(1).to_pylist()):
-                found = {m for f, m in (known[x] for x in lines_of(content)[0] if x) if f in (SENTENCE, HEADED)}
-                at.extend([r] * len(found))
-                marks.extend(found)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int32())), pa.array(marks, pa.int64())], names=["article_id", "mark"])
-
-    return pages.mapInArrow(run, "article_id long, mark long")
-
-
-#: Ids, contents and verdicts by template hash of a batch of pages.
-Batches = Iterator[tuple[pa.Array, list[str], Iterable[dict[int, int]]]]
-
-
-def _each_page(articles: DataFrame, verdicts: DataFrame, run: Callable[[Batches], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``run`` over all pages with what ``verdicts`` (mark, verdict) says of their templates."""
-    pages = _pages(articles).withColumn("article_id", F.col("article_id").cast("long"))
-    if verdicts.count() <= MAX_SHARED:
-        shared = articles.sparkSession.sparkContext.broadcast({r["mark"]: r["verdict"] for r in verdicts.toLocalIterator()})
-        return pages.mapInArrow(lambda batches: run((b.column(0), b.column(1).to_pylist(), itertools.repeat(shared.value)) for b in batches), schema)
-    # A page delivered again has the verdicts of all its deliveries: a verdict holds for its template anywhere.
-    own = _page_marks(pages).join(verdicts, "mark").groupBy("article_id").agg(F.collect_set(F.struct("mark", "verdict")).alias("own"))
-    joined = pages.join(own, "article_id", "left").select("article_id", "content", "own.mark", "own.verdict")
-    return joined.mapInArrow(lambda batches: run(
-        (b.column(0), b.column(1).to_pylist(), [dict(zip(m or (), v or (), strict=True)) for m, v in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]) for b in batches), schema)
-
-
-def verdicts(articles: DataFrame) -> DataFrame:
-    """(mark, verdict): 1 (body) or 0 (frame) for every recurring template, from its neighbours on all pages; staged."""
-    least = max(OFTEN, int(OFTEN_SHARE * _pages(articles).count()))
-    frequent = stage(template_counts(articles).where((F.col("most") >= OFTEN) | (F.col("n") >= least)).select("mark", F.lit(1).alias("verdict")))
-
-    def run(batches: Batches) -> Iterator[pa.RecordBatch]:
-        known, found = _Known(), {}
-        for _, contents, often_of in batches:
-            for content, often in zip(contents, often_of):  # noqa: B905
-                lines = [known[x] for x in lines_of(content)[0] if x]
-                forms, marks = [f for f, _ in lines], [m for _, m in lines]
-                body = [False, *_bodylike(forms, marks, often), False]
-                for k, (f, m) in enumerate(lines):
-                    if m in often and f in (SENTENCE, HEADED):
-                        c = found.setdefault(m, [0, 0, 0, 0, f])
-                        c[0] += 1
-                        if side := 2 * body[k] + body[k + 2]:
-                            c[side] += 1
-            if len(found) > MAX_SHARED:
-                yield _neighbours(found)
-                found.clear()
-        if found:
-            yield _neighbours(found)
-
-    counted = (_each_page(articles, frequent, run, "mark long, n long, next long, prev long, both long, form long")
-               .groupBy("mark").agg(*(F.sum(c).alias(c) for c in ("n", "next", "prev", "both")), F.max("form").alias("form")))
-    followed, closing = (F.col("both") + F.col("next")) / F.col("n"), (F.col("both") + F.col("prev")) / F.col("n")
-    body = F.when(F.col("form") == HEADED, followed >= HEADING).otherwise(F.greatest(followed, closing) >= CLOSING)
-    return stage(counted.select("mark", body.cast("int").alias("verdict")))
-
-
-def _neighbours(found: dict[int, list[int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), *(pa.array([c[j] for c in found.values()], pa.int64()) for j in range(5))],
-                                      names=["mark", "n", "next", "prev", "both", "form"])
+            lines, sizes = _decoded(batch.column(2))
+            found = np.stack([np.repeat(np.arange(len(sizes)), sizes), lines["mark"]])[:, lines["mark"] != 0]
+            at, marks = np.unique(found, axis=1) if found.size else found
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at)), pa.array(marks)], names=["article_id", "site", "mark"])
+
+    return pages.select("article_id", "site", "lines").mapInArrow(run, "article_id long, site long, mark long")
+
+
+def recurring(pages: DataFrame) -> DataFrame:
+    """(mark): templates that recur on the pages of a site, or of all sites; staged."""
+    sites = pages.groupBy("site").agg(F.count("*").alias("pages"))
+    total = pages.count()
+    by_site = page_marks(pages).groupBy("mark", "site").agg(F.count("*").alias("n"))
+    of_site = by_site.join(checked_broadcast(sites, MAX_SHARED), "site").withColumn("here", F.col("n") >= F.greatest(F.lit(OFTEN), F.col("pages") * SITE_SHARE))
+    counted = of_site.groupBy("mark").agg(F.sum("n").alias("n"), F.max("here").alias("here"))
+    return stage(counted.where(F.col("here") | (F.col("n") >= max(OFTEN, CORPUS_SHARE * total))).select("mark"))
+
+
+#: Marks and verdicts for a batch of pages: sorted marks and what is said of each.
+Known = tuple[np.ndarray, np.ndarray]
+
+
+def _look_up(marks: np.ndarray, known: Known) -> np.ndarray:
+    """What ``known`` says of each mark, -1 where nothing."""
+    keys, said = known
+    if not len(keys):
+        return np.full(len(marks), -1)
+    place = np.minimum(np.searchsorted(keys, marks), len(keys) - 1)
+    return np.where(keys[place] == marks, said[place], -1)
+
+
+def smoothed(ratio: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Gaussian-smoothed ratio at each line, and the same from the lines before it and after it alone; pages do not touch."""
+    place = np.arange(len(ratio)) + np.repeat(REACH * (np.arange(len(sizes)) + 1), sizes)
+    padded = np.zeros(len(ratio) + REACH * (len(sizes) + 1))
+    padded[place] = ratio
+    one = np.exp(-0.5 * (np.arange(1, REACH + 1) / SIGMA) ** 2)
+    both = np.concatenate([one[::-1], [1.0], one])
+    after = np.convolve(padded, np.concatenate([one[::-1], np.zeros(REACH + 1)]) / one.sum(), mode="same")[place]
+    before = np.convolve(padded, np.concatenate([np.zeros(REACH + 1), one]) / one.sum(), mode="same")[place]
+    return np.convolve(padded, both / both.sum(), mode="same")[place], before, after
+
+
+def two_clusters(counts: np.ndarray) -> float:
+    """The threshold between the two clusters of a histogram of smoothed ratios."""
+    x = (np.arange(len(counts)) + 0.5) * WIDTH
+    filled = np.flatnonzero(counts)
+    if not len(filled):
+        return 0.0
+    low, high = x[filled[0]], x[filled[-1]]
+    for _ in range(100):
+        above = x > (low + high) / 2
+        if not counts[above].sum() or not counts[~above].sum():
+            break
+        new = (x * counts)[~above].sum() / counts[~above].sum(), (x * counts)[above].sum() / counts[above].sum()
+        if abs(new[0] - low) + abs(new[1] - high) < 1e-9:
+            break
+        low, high = new
+    return float(low + high) / 2
+
+
+def _each_batch(pages: DataFrame, said: DataFrame, run: Callable[[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray], pa.RecordBatch | None], schema: str, text: bool = False) -> DataFrame:
+    """``run`` over all batches of pages (lines, lines of each page, what ``said`` (mark, verdict) says of each line)."""
+    if said.count() <= MAX_SHARED:
+        rows = sorted((r["mark"], r["verdict"]) for r in said.toLocalIterator())
+        shared = pages.sparkSession.sparkContext.broadcast((np.array([m for m, _ in rows], np.int64), np.array([v for _, v in rows], np.int64)))
+
+        def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                lines, sizes = _decoded(batch.column("lines"))
+                if (found := run(batch, lines, sizes, _look_up(lines["mark"], shared.value))) is not None:
+                    yield found
+
+        return pages.mapInArrow(plain, schema)
+    own = page_marks(pages).join(said, "mark").groupBy("article_id").agg(F.collect_list(F.struct("mark", "verdict")).alias("own"))
+    joined = pages.join(own, "article_id", "left").select(*pages.columns, F.col("own.mark").alias("marks"), F.col("own.verdict").alias("verdicts"))
+
+    def with_own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines, sizes = _decoded(batch.column("lines"))
+            out, begin = np.full(len(lines), -1), 0
+            for n, marks, verdicts in zip(sizes.tolist(), batch.column("marks").to_pylist(), batch.column("verdicts").to_pylist(), strict=True):
+                own = dict(zip(marks or (), verdicts or (), strict=True))
+                out[begin:begin + n] = [own.get(m, -1) for m in lines["mark"][begin:begin + n].tolist()]
+                begin += n
+            if (found := run(batch, lines, sizes, out)) is not None:
+                yield found
+
+    return joined.mapInArrow(with_own, schema)
+
+
+def _own_ratio(lines: np.ndarray, said: np.ndarray) -> np.ndarray:
+    """Ratios with recurring lines as text of the site."""
+    return np.where(said >= 0, 0.0, lines["ratio"])
+
+
+def verdicts(pages: DataFrame) -> tuple[DataFrame, float]:
+    """(mark, verdict) 1 (body) or 0 (frame) for every recurring template, staged, and the threshold of dense places."""
+    often = recurring(pages)
+
+    def run(batch: pa.RecordBatch, lines: np.ndarray, sizes: np.ndarray, said: np.ndarray) -> pa.RecordBatch | None:
+        if not len(lines):
+            return None
+        here, before, after = smoothed(_own_ratio(lines, said), sizes)
+        cells = [np.bincount(np.minimum(x / WIDTH, CELLS - 1).astype(int), minlength=CELLS) for x in (here, np.maximum(before, after))]
+        at = np.flatnonzero(said >= 0)
+        marks, place = np.unique(lines["mark"][at], return_inverse=True)
+        of = lambda x: np.bincount(place, weights=x[at], minlength=len(marks))
+        title = np.zeros(len(marks))
+        np.maximum.at(title, place, lines["form"][at] == HEADED)
+        rest = np.zeros(2 * CELLS)
+        columns = [np.repeat(np.arange(3, dtype=np.int32), [len(marks), CELLS, CELLS]), np.concatenate([marks, np.arange(CELLS), np.arange(CELLS)]), np.concatenate([np.bincount(place, minlength=len(marks)), *cells]),
+                   np.concatenate([of(before), rest]), np.concatenate([of(after), rest]), np.concatenate([title, rest]).astype(np.int32)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["what", "mark", "n", "before", "after", "title"])
+
+    sums = stage(_each_batch(pages, often.withColumn("verdict", F.lit(1)), run, "what int, mark long, n long, before double, after double, title int")
+                 .groupBy("what", "mark").agg(F.sum("n").alias("n"), F.sum("before").alias("before"), F.sum("after").alias("after"), F.max("title").alias("title")))
+    counts = np.zeros((2, CELLS))
+    for r in sums.where("what > 0").collect():  # twice CELLS rows
+        counts[r["what"] - 1, r["mark"]] = r["n"]
+    cut, edge = two_clusters(counts[0]), two_clusters(counts[1])
+    title = ((F.col("before") + F.col("after")) / 2 > cut * F.col("n")) & (F.col("after") - F.col("before") > RISE * F.col("n"))
+    body = F.when(F.col("title") == 1, title).otherwise(F.greatest("before", "after") > edge * F.col("n"))
+    return stage(sums.where("what = 0").select("mark", body.cast("int").alias("verdict"))), cut
+
+
+def own_lines(lines: np.ndarray, sizes: np.ndarray, said: np.ndarray, cut: float) -> np.ndarray:
+    """Which lines are the pages' own, by the smoothed ratio."""
+    ratio = _own_ratio(lines, said)
+    here, before, after = smoothed(ratio, sizes)
+    return np.where(said >= 0, (said == 1) & (np.maximum(before, after) > cut / 4), (ratio > 0) & (np.maximum(ratio, here) > cut))
 
 
 def main_lines(articles: DataFrame) -> DataFrame:
     """(article_id, line_no) of the lines of content that are the article's own."""
+    pages = parsed(articles)
+    said, cut = verdicts(pages)
 
-    def run(batches: Batches) -> Iterator[pa.RecordBatch]:
-        known = _Known()
-        for ids, contents, verdicts_of in batches:
-            at, no = [], []
-            for r, (content, own) in enumerate(zip(contents, verdicts_of)):  # noqa: B905
-                found = body_lines(content, own, known)
-                at.extend([r] * len(found))
-                no.extend(found)
-            yield pa.RecordBatch.from_arrays([ids.take(pa.array(at, pa.int32())), pa.array(no, pa.int32())], names=["article_id", "line_no"])
+    def run(batch: pa.RecordBatch, lines: np.ndarray, sizes: np.ndarray, found: np.ndarray) -> pa.RecordBatch:
+        own = np.flatnonzero(own_lines(lines, sizes, found, cut)) if len(lines) else np.zeros(0, int)
+        at = np.repeat(np.arange(len(sizes)), sizes)[own]
+        return pa.RecordBatch.from_arrays([batch.column("article_id").take(pa.array(at)), pa.array(lines["no"][own])], names=["article_id", "line_no"])
 
-    return _each_page(articles, verdicts(articles), run, "article_id long, line_no int").distinct()
+    return _each_batch(pages, said, run, "article_id long, line_no int")
 
 
 def main_text(articles: DataFrame) -> DataFrame:
     """(article_id, body, n_lines, n_kept): the text of each page's own lines, one row per page."""
-
-    def run(batches: Batches) -> Iterator[pa.RecordBatch]:
-        known = _Known()
-        for ids, contents, verdicts_of in batches:
-            body, lines, kept = [], [], []
-            for content, own in zip(contents, verdicts_of):  # noqa: B905
-                text = lines_of(content)[0]
-                found = body_lines(content, own, known)
-                body.append("\n".join(text[i - 1] for i in found))
-                lines.append(sum(map(bool, text)))
-                kept.append(len(found))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(body, pa.string()), pa.array(lines, pa.int32()), pa.array(kept, pa.int32())], names=["article_id", "body", "n_lines", "n_kept"])
-
-    return _each_page(articles, verdicts(articles), run, "article_id long, body string, n_lines int, n_kept int").dropDuplicates(["article_id"])
+    pages = parsed(articles, keep_text=True)
+    said, cut = verdicts(pages.drop("text"))
+
+    def run(batch: pa.RecordBatch, lines: np.ndarray, sizes: np.ndarray, found: np.ndarray) -> pa.RecordBatch:
+        own = own_lines(lines, sizes, found, cut) if len(lines) else np.zeros(0, bool)
+        body, kept, begin = [], [], 0
+        for n, text in zip(sizes.tolist(), batch.column("text").to_pylist(), strict=True):
+            numbers = lines["no"][begin:begin + n][own[begin:begin + n]].tolist()
+            body.append("\n".join(text[i - 1] for i in numbers))
+            kept.append(len(numbers))
+            begin += n
+        return pa.RecordBatch.from_arrays([batch.column("article_id"), pa.array(body, pa.string()), pa.array(sizes.astype(np.int32)), pa.array(kept, pa.int32())], names=["article_id", "body", "n_lines", "n_kept"])
+
+    return _each_batch(pages, said, run, "article_id long, body string, n_lines int, n_kept int")

@@ -38,10 +38,44 @@ def test_main_lines(spark):
     assert M.main_lines(df.limit(0)).count() == 0
 
 
+def scores(got, made):
+    """Recall and precision of the found lines."""
+    found, true = {(r.article_id, r.line_no) for r in got}, {(i, n) for i, (_, own) in made.items() for n in own}
+    return len(found & true) / len(true), len(found & true) / max(1, len(found))
+
+
+def test_the_ratio_decides(spark, monkeypatch):
+    """With the threshold moved so that no place is dense nothing is found."""
+    rng = random.Random(4)
+    made = {i: page(i, rng) for i in range(60)}
+    df = spark.createDataFrame([(i, t) for i, (t, _) in made.items()], ARTICLE)
+    assert scores(M.main_lines(df).collect(), made) == (1, 1)
+    monkeypatch.setattr(M, "two_clusters", lambda counts: 99.0)
+    assert scores(M.main_lines(df).collect(), made)[0] < 0.9
+
+
+def test_flat_ratios_lose_recurring_lines(spark, monkeypatch):
+    """Without smoothing over neighbours no subheading is found."""
+    rng = random.Random(4)
+    made = {i: page(i, rng) for i in range(60)}
+    monkeypatch.setattr(M, "smoothed", lambda ratio, sizes: (ratio, ratio, ratio))
+    assert scores(M.main_lines(spark.createDataFrame([(i, t) for i, (t, _) in made.items()], ARTICLE)).collect(), made)[0] < 0.9
+
+
 def test_markup_is_read_by_line():
-    text, tags = M.lines_of("<p>One <b>bold</b> line.</p>\n<script>x</script>\nplain")
-    assert text == ["One bold line.", "", "plain"] and tags[0] == 4
-    assert M.body_lines("<div>\n" + "x" * 50 + ".\n</div>", {}) == [2]
+    text, lines = M.lines_of("<p>One <b>bold</b> line.</p>\n<script>x</script>\nplain\n<a href='x'>A link of some length</a>", M._Known())
+    assert text == ["One bold line.", "", "plain", "A link of some length"]
+    assert [(no, ratio) for no, _, ratio, _ in lines] == [(1, 3.0), (3, 5.0), (4, 0.0)]
+    assert M.lines_of("plain and simple.\n\nHome | Shop | Cart", M._Known())[1] == [(1, M.SENTENCE, 17.0, M._Known()["plain and simple."][2]), (3, M.CHAIN, 0.0, 0)]
+
+
+def test_pages_with_markup(spark):
+    menu = "<div><a href='/'>Home</a> <a href='/s'>Shop</a> <a href='/c'>Contact us</a></div>"
+    rows = [(i, "\n".join([menu, menu, f"<p>The {chr(97 + i % 26)}{i} pump of this car was found dry, so it was changed.</p>", f"<p>After {i} days the second pump was dry as well.</p>", menu, menu])) for i in range(40)]
+    got = {}
+    for r in M.main_lines(spark.createDataFrame(rows, ARTICLE)).collect():
+        got.setdefault(r.article_id, set()).add(r.line_no)
+    assert got == {i: {3, 4} for i in range(40)}
 
 
 ITEMS = {1: "Read the case. Suppose 66 cells at 3.2 volts feed lead D39-32 through the secondary encoder, losing 740 A every 57 seconds. Which single part explains 723 mA at K12-44 and what reading would prove you wrong?",
