@@ -181,10 +181,59 @@ def test_subjects_of_the_labelled_sample(spark):
     assert np.mean([mine[d] == s for d, s in held.items()]) >= 0.9
 
 
+def sentences(texts, exam):
+    ids = S.Ids()
+    grams = S.windows(np.array([ids.add(w) for w in exam.split()]))
+    found = S.Texts(texts, ids, np.sort(grams))
+    ends = np.cumsum(found.lengths)
+    return [(int(found.documents[k]), found.words[ends[k] - found.lengths[k]:ends[k]]) for k in np.flatnonzero(found.own)]
+
+
 def test_exam_windows():
-    exam = S.Exam(["one two three four five six seven"])
-    assert S.own_sentences("Before it all began. ONE two three, four five six seven. After it all ended.", exam) == [["before", "it", "all", "began"], ["after", "it", "all", "ended"]]
-    assert S.own_sentences(None, exam) == [] and S.own_sentences("Too short.", exam) == []
+    exam = "one two three four five six seven"
+    got = sentences(["Before it all began. ONE two three, four five six seven. After it all ended.", None, "Too short.", "", "Own words here."], exam)
+    assert got == [(0, ["before", "it", "all", "began"]), (0, ["after", "it", "all", "ended"]), (4, ["own", "words", "here"])]
+    # a few changed words between two windows belong to the passage, a long stretch does not
+    assert sentences(["one two three four five x y six seven z. One two three four five."], exam) == []
+    assert len(sentences(["one two three four five. " + "own words of the text. " * 4 + "three four five six seven."], exam)) == 4
+
+
+def random_votes(rng, n, accuracy, k=3):
+    truth = rng.integers(0, k, n)
+    votes = np.stack([np.where(rng.random(n) < a, truth, rng.integers(0, k, n)) for a in accuracy], axis=1)
+    votes[rng.random(votes.shape) < 0.2] = -1
+    return truth, votes
+
+
+def test_the_latent_model_learns_accuracies():
+    rng = np.random.default_rng(5)
+    truth, votes = random_votes(rng, 20_000, (0.9, 0.8, 0.6, 0.3, 0.0))
+    kinds, n = np.unique(votes, axis=0, return_counts=True)
+    latent = S.Latent(3)
+    latent.learn(kinds, n.astype(float))
+    assert np.allclose(latent.alpha, (0.9, 0.8, 0.6, 0.3, 0.0), atol=0.06)
+    learned = (latent.posterior(votes).argmax(axis=1) == truth).mean()
+    assert learned > 0.92 and learned > (S.Latent(3).posterior(votes).argmax(axis=1) == truth).mean()
+
+
+def test_the_latent_model_decides(spark, monkeypatch):
+    """Without its accuracies the posterior is the prior, and the subjects are lost."""
+    rng = random.Random(7)
+    rows, labels = [], []
+    for i in range(200):
+        own = rng.choice([1, 2, 3])
+        rows.append((i, " ".join(sentence(rng, own) for _ in range(5)), "en", "a", "o", None))
+        labels.append((i, own, "ann", dt.datetime(2024, 1, 1)))
+    frames = (docs(spark, rows), spark.createDataFrame(labels[:100], "doc_id long, subject_id int, annotator string, labelled_at timestamp"),
+              spark.createDataFrame([(k, str(k), None) for k in (1, 2, 3)], "subject_id int, subject string, description string"), spark.createDataFrame([(1, "x")], "item_id long, text string"))
+
+    def recall():
+        got = {(r.doc_id, r.subject_id) for r in S.document_subjects(*frames).collect()}
+        return np.mean([(i, s) in got for i, s, *_ in labels[100:]])
+
+    assert recall() >= 0.97
+    monkeypatch.setattr(S.Latent, "learn", lambda self, votes, n, rounds=50: setattr(self, "alpha", np.zeros(len(S.FUNCTIONS))))
+    assert recall() < 0.9
 
 
 def test_too_many_entries(spark, monkeypatch):
