@@ -81,7 +81,8 @@ def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
 class Texts:
     """Own sentences of a batch of texts as flat arrays: word ids, and the document and section of each sentence."""
 
-    def __init__(self, texts: list[str | None], ids: Ids, exam: np.ndarray) -> None:
+    def __init__(self, texts: list[str | None], ids: Ids, exam: np.ndarray, exam_words: int) -> None:
+        """``exam``: hashes of the windows of the items, whose words have the numbers 1 to ``exam_words``."""
         words: list[str] = []
         lengths, documents, sections = [], [], []
         section = 0
@@ -101,7 +102,9 @@ class Texts:
         own = self.lengths >= LEAST_WORDS
         if len(self.ids) and len(exam):
             of = self.documents[self.sentence]
-            hits = np.flatnonzero(among(windows(self.ids), exam) >= 0)
+            known = np.cumsum(np.concatenate([[0], (self.ids > 0) & (self.ids <= exam_words)]))
+            hits = np.flatnonzero(known[EXAM:] - known[:-EXAM] == EXAM)
+            hits = hits[among(windows(self.ids)[hits], exam) >= 0]
             hits = hits[of[hits] == of[hits + EXAM - 1]]
             if len(hits):  # a gap of up to EXAM_GAP words between two windows belongs to the passage
                 end = hits + EXAM
@@ -186,8 +189,8 @@ def summed(sentence: np.ndarray, feature: np.ndarray, weights: np.ndarray, n: in
     """Sums of weights (n sentences x subjects) over the distinct features of each sentence."""
     out = np.zeros((n, weights.shape[1]), dtype=np.float32)
     if len(feature):
-        pairs = np.unique(sentence * len(weights) + feature)
-        at, feature = np.divmod(pairs, len(weights))
+        pairs = np.sort(sentence * len(weights) + feature)
+        at, feature = np.divmod(pairs[np.diff(pairs, prepend=-1) > 0], len(weights))
         starts = np.flatnonzero(np.diff(at, prepend=-1))
         out[at[starts]] = np.add.reduceat(weights[feature], starts, axis=0)
     return out
@@ -262,10 +265,15 @@ class Model:
         k = len(subjects)
         grams = [windows(np.array([self.ids.add(x) for x in _WORD.findall((t or "").lower())], dtype=np.int64)) for t in exam]
         self.exam = np.unique(np.concatenate(grams)) if grams else np.zeros(0, np.uint64)
+        self.exam_words = len(self.ids)
         labels = [[place[s] for s in own if s in place] for own in sample["labels"]]
         self.by_address, self.by_source = (self._majority(sample[c], labels) for c in ("origin", "source"))
         self.lexicon = Lexicon.learn([(s, y) for s, y in zip(self.own_sentences(sample["text"].tolist()), labels, strict=True) if y], k)
         self.of_words, self.phrases, self.of_phrases = self.lexicon.tables(self.ids)
+        # which word ids have a weight of their own, and which open and close phrases
+        self.speaks, self.opens, self.closes = self.of_words.any(axis=1), *np.zeros((2, len(self.of_words)), dtype=bool)
+        first, last = np.divmod(self.phrases, len(self.of_words))
+        self.opens[first], self.closes[last] = True, True
         self.latent, self.cut = Latent(k), SHARE
 
     @staticmethod
@@ -278,7 +286,7 @@ class Model:
 
     def own_sentences(self, texts: list[str | None]) -> list[list[list[str]]]:
         """Words of each sentence that is the document's own, by document."""
-        found = Texts(texts, self.ids, self.exam)
+        found = Texts(texts, self.ids, self.exam, self.exam_words)
         ends = np.cumsum(found.lengths)
         out: list[list[list[str]]] = [[] for _ in texts]
         for s in np.flatnonzero(found.own):
@@ -287,15 +295,14 @@ class Model:
 
     def votes(self, texts: list[str | None], origins: list[str | None], sources: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Votes (own sentences x functions), and the document of each sentence."""
-        found = Texts(texts, self.ids, self.exam)
+        found = Texts(texts, self.ids, self.exam, self.exam_words)
         n = len(found.lengths)
-        known = np.flatnonzero(found.ids > 0)
+        known = np.flatnonzero(self.speaks[found.ids])
         words = summed(found.sentence[known], found.ids[known], self.of_words, n)
-        inside = found.sentence[1:] == found.sentence[:-1]
-        key = found.ids[:-1] * np.int64(len(self.of_words)) + found.ids[1:]
-        place = among(key, self.phrases)
-        hit = np.flatnonzero(inside & (place >= 0) & (found.ids[:-1] > 0) & (found.ids[1:] > 0))
-        phrases = summed(found.sentence[:-1][hit], place[hit], self.of_phrases, n)
+        pair = np.flatnonzero(self.opens[found.ids[:-1]] & self.closes[found.ids[1:]] & (found.sentence[1:] == found.sentence[:-1]))
+        place = among(found.ids[pair] * np.int64(len(self.of_words)) + found.ids[pair + 1], self.phrases)
+        pair, place = pair[place >= 0], place[place >= 0]
+        phrases = summed(found.sentence[pair], place, self.of_phrases, n)
         own = np.flatnonzero(found.own)
         documents, sections, both = found.documents[own], found.sections[own], vote((words + phrases)[own])
         before, after = np.full(len(own), -1, np.int16), np.full(len(own), -1, np.int16)
@@ -416,7 +423,8 @@ def document_subjects(documents: DataFrame, labels: DataFrame, subjects: DataFra
     counted = patterns(found).toPandas().sort_values(list(FUNCTIONS))
     model.latent.learn(counted[list(FUNCTIONS)].to_numpy(), counted["n"].to_numpy(dtype=float))
     model.fit_cut(sample)
-    model.ids, model.exam, model.lexicon, model.of_words, model.phrases, model.of_phrases = Ids(), None, None, None, None, None  # not needed in the tasks any more
+    for name in ("ids", "exam", "lexicon", "of_words", "phrases", "of_phrases", "speaks", "opens", "closes"):  # not needed in the tasks any more
+        delattr(model, name)
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -184,7 +184,7 @@ def test_subjects_of_the_labelled_sample(spark):
 def sentences(texts, exam):
     ids = S.Ids()
     grams = S.windows(np.array([ids.add(w) for w in exam.split()]))
-    found = S.Texts(texts, ids, np.sort(grams))
+    found = S.Texts(texts, ids, np.sort(grams), len(ids))
     ends = np.cumsum(found.lengths)
     return [(int(found.documents[k]), found.words[ends[k] - found.lengths[k]:ends[k]]) for k in np.flatnonzero(found.own)]
 
