@@ -118,3 +118,20 @@ def test_broken_links(spark):
     assert variants == {"text", "table", "image", "mixed", "empty"}
     assert N.broken_links(dtc.limit(0), code.limit(0)).count() == 0
     assert N.shape_counts(dtc, code).count() > 0
+
+
+def test_unrelated_values_of_a_long_feed_are_no_rename(spark):
+    """Two fields of many different values each: hundreds of files must not make them look alike."""
+    rng = random.Random(4)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    rows = [(1, i, i, json.dumps({"k": 1, "title": f"{word(5)} {word(7)}, {word(3)}"} if i < 200 else {"k": 1, "stamp": f"{word(2).upper()}/{rng.randint(1, 9)}"})) for i in range(400)]
+    assert found(spark, rows) == [(1, 200, "added", "stamp", ""), (1, 200, "removed", "title", "")]
+    same = [(1, i, i, json.dumps({"k": 1, ("model" if i < 200 else "car"): rng.choice(["Lyra 2", "Tern", "C-One"])})) for i in range(400)]
+    assert found(spark, same) == [(1, 200, "renamed", "model", "car")]
+
+
+def test_chains_of_renames_have_one_column(spark):
+    names = ["make", "maker", "vehicle_make", "make_name", "car_make"]
+    rows = [(1, i, i, json.dumps({"k": i, names[i // 4]: ["Lyra", "Tern"][i % 2]})) for i in range(20)]
+    t = S.steady_table(files(spark, rows)).collect()
+    assert len(t) == 20 and sorted(set(t[0].asDict())) == ["feed_id", "file_id", "idx", "k", "make", "n_fields"] and {r.make for r in t} == {"Lyra", "Tern"}
