@@ -21,7 +21,6 @@ import math
 import re
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -129,7 +128,7 @@ def coarse(jtype: int, value: str, form: str) -> str:
 
 
 def path_maps(files: DataFrame) -> DataFrame:
-    """One row per readable file: (feed_id, file_id, written_at, items: path, number of the JSON type, text of the value), staged."""
+    """One row per readable file as delivered: (feed_id, file_id, written_at, items: path, number of the JSON type, text of the value), staged."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,14 +149,15 @@ def path_maps(files: DataFrame) -> DataFrame:
     keyed = files.where("feed_id is not null and file_id is not null and written_at is not null").select(
         F.col("feed_id").cast("long"), F.col("file_id").cast("long"), F.col("written_at").cast("timestamp_ntz").alias("written_at"), "payload")
     # An object without fields has no place in the order either: it has nothing that could change.
-    return stage(keyed.mapInArrow(run, FILE_SCHEMA).where("size(items) > 0").dropDuplicates(["feed_id", "file_id"]))
+    return stage(keyed.mapInArrow(run, FILE_SCHEMA).where("size(items) > 0"))
 
 
 def ordered_files(files: DataFrame) -> DataFrame:
     """``path_maps`` with ``idx``, the place of the file among the readable files of its feed, staged."""
     maps = path_maps(files)
-    order = global_ordinal(maps.select("feed_id", "file_id", "written_at"), "feed_id", ["written_at", "file_id"], "idx")
-    return stage(maps.drop("written_at").join(order.select("feed_id", "file_id", "idx"), ["feed_id", "file_id"]))
+    once = maps.groupBy("feed_id", "file_id").agg(F.min("written_at").alias("written_at"))
+    order = global_ordinal(once, "feed_id", ["written_at", "file_id"], "idx").select("feed_id", "file_id", "idx")
+    return stage(maps.drop("written_at").join(order, ["feed_id", "file_id"]).dropDuplicates(["feed_id", "file_id"]))
 
 
 def _values(ordered: DataFrame, only: DataFrame | None = None, value: bool = False) -> DataFrame:
@@ -210,24 +210,25 @@ def name_likeness(a: str, b: str) -> float:
     return hits / max(1, len(x) + len(y))
 
 
-def _pair_up(pairs: pd.DataFrame) -> pd.DataFrame:
+def _pair_up(pairs: list[dict]) -> list[tuple[str, str]]:
     """Greedy one-to-one matching of the ended and begun paths of one file, most alike first.
 
     A pair counts if its values overlap by ALIKE, its forms nearly always, or, where the names share a word, its forms
     by a share that grows with the number of values seen (a few values say little about a distribution).
     """
     rows = []
-    for r in pairs.itertuples(index=False):
-        name, least = name_likeness(r.old, r.new), ALIKE * r.seen / (r.seen + 3)
-        if r.value >= ALIKE or r.shape >= CERTAIN or (name > 0 and max(r.shape, r.value, COARSE * r.coarse) >= least):
-            rows.append((-(max(r.value, r.shape, COARSE * r.coarse) + 0.3 * name), r.old, r.new))
+    for r in pairs:
+        name, least = name_likeness(r["old"], r["new"]), ALIKE * r["seen"] / (r["seen"] + 3)
+        best = max(r["shape"], r["value"], COARSE * r["coarse"])
+        if r["value"] >= ALIKE or r["shape"] >= CERTAIN or (name > 0 and best >= least):
+            rows.append((-(best + 0.3 * name), r["old"], r["new"]))
     old, new, out = set(), set(), []
     for _, a, b in sorted(rows):
         if a not in old and b not in new:
             old.add(a)
             new.add(b)
-            out.append((pairs["feed_id"].iloc[0], pairs["at"].iloc[0], a, b))
-    return pd.DataFrame(out, columns=["feed_id", "at", "old", "new"])
+            out.append((a, b))
+    return out
 
 
 def _renamed(ordered: DataFrame, both: DataFrame) -> DataFrame:
@@ -252,7 +253,15 @@ def _renamed(ordered: DataFrame, both: DataFrame) -> DataFrame:
              .groupBy("feed_id", "at", "old", "new").agg(F.min(F.least("n_old", "n_new")).alias("seen"), *(
                  F.sum(F.when(F.col("what") == i, overlap).otherwise(0.0)).alias(w) for i, w in enumerate(("value", "shape", "coarse")))))
     # A group is what ends and begins in one file: as wide as a schema, not as long as the data.
-    return alike.groupBy("feed_id", "at").applyInPandas(_pair_up, "feed_id long, at long, old string, new string")
+    groups = alike.groupBy("feed_id", "at").agg(F.collect_list(F.struct("old", "new", "seen", "value", "shape", "coarse")).alias("pairs"))
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(i, a, b) for i, pairs in enumerate(batch.column(2).to_pylist()) for a, b in _pair_up(pairs)]
+            rows = batch.take(pa.array([i for i, _, _ in found], pa.int32()))
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), *(pa.array([f[k] for f in found], pa.string()) for k in (1, 2))], names=["feed_id", "at", "old", "new"])
+
+    return groups.mapInArrow(match, "feed_id long, at long, old string, new string")
 
 
 def _changes(ordered: DataFrame) -> DataFrame:
