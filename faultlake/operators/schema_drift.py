@@ -160,11 +160,13 @@ def ordered_files(files: DataFrame) -> DataFrame:
     return stage(maps.drop("written_at").join(order, ["feed_id", "file_id"]).dropDuplicates(["feed_id", "file_id"]))
 
 
-def _values(ordered: DataFrame, only: DataFrame | None = None, value: bool = False) -> DataFrame:
-    """(feed_id, file_id, idx, path, jtype[, value]) of all fields, or of those of ``only`` (feed_id, path)."""
-    kept = F.transform("items", lambda x: F.struct(x["path"].alias("path"), x["jtype"].alias("jtype"), *([x["value"].alias("value")] if value else [])))
-    found = ordered.select("feed_id", "file_id", "idx", F.explode(kept).alias("x")).select("feed_id", "file_id", "idx", "x.*")
-    return found if only is None else found.join(checked_broadcast(only, MAX_SENT), ["feed_id", "path"])
+def _values(ordered: DataFrame, only: DataFrame, value: bool = False) -> DataFrame:
+    """(feed_id, file_id, idx, path, jtype[, value]) of the fields ``only`` (feed_id, path); a feed's paths are one array, as wide as its schemas."""
+    wanted = only.groupBy("feed_id").agg(F.collect_set("path").alias("wanted"))
+    joined = ordered.join(checked_broadcast(wanted, MAX_SENT), "feed_id")
+    kept = F.filter("items", lambda x: F.array_contains("wanted", x["path"]) & (x["jtype"] > 0))
+    found = F.transform(kept, lambda x: F.struct(x["path"].alias("path"), x["jtype"].alias("jtype"), *([x["value"].alias("value")] if value else [])))
+    return joined.select("feed_id", "file_id", "idx", F.explode(found).alias("x")).select("feed_id", "file_id", "idx", "x.*")
 
 
 def _spans(ordered: DataFrame) -> DataFrame:
@@ -172,9 +174,10 @@ def _spans(ordered: DataFrame) -> DataFrame:
 
     Place and type are one number, so that the aggregate keeps to plain numbers and combines before the shuffle.
     """
-    typed = F.when(F.col("jtype") > 0, F.col("idx") * 8 + F.col("jtype"))
+    values = ordered.select("feed_id", "idx", F.explode("items").alias("x")).select("feed_id", "idx", "x.path", "x.jtype")
     kind = F.when(F.col("jtype") > 0, F.col("jtype"))
-    spans = _values(ordered).groupBy("feed_id", "path").agg(
+    typed = F.when(F.col("jtype") > 0, F.col("idx") * 8 + F.col("jtype"))
+    spans = values.groupBy("feed_id", "path").agg(
         F.min("idx").alias("first"), F.max("idx").alias("last"), F.count("*").alias("n"), F.count(kind).alias("n_values"),
         F.min(typed).alias("opening"), F.max(typed).alias("closing"), F.min(kind).alias("least"), F.max(kind).alias("greatest"))
     spans = spans.withColumn("opening", F.col("opening") % 8).withColumn("closing", F.col("closing") % 8)
@@ -188,7 +191,7 @@ def _retyped(ordered: DataFrame, spans: DataFrame) -> DataFrame:
     files, and across blocks through each block's last type, so no feed is one window.
     """
     several = spans.where("least <> greatest").select("feed_id", "path")
-    typed = stage(_values(ordered, several).where("jtype > 0").withColumn("block", F.expr(f"idx div {BLOCK}")))
+    typed = stage(_values(ordered, several).withColumn("block", F.expr(f"idx div {BLOCK}")))
     blocks = typed.groupBy("feed_id", "path", "block").agg((F.max(F.col("idx") * 8 + F.col("jtype")) % 8).alias("closing"))
     blocks = blocks.select("feed_id", "path", "block", F.lag("closing").over(W.partitionBy("feed_id", "path").orderBy("block")).alias("opening"))
     inside = W.partitionBy("feed_id", "path", "block").orderBy("idx")
@@ -244,7 +247,7 @@ def _renamed(ordered: DataFrame, both: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), what], names=["feed_id", "path", "what"])
 
     wanted = both.select("feed_id", F.col("old").alias("path")).union(both.select("feed_id", "new")).distinct()
-    real = _values(ordered, wanted, value=True).where("jtype > 0").select("feed_id", "path", "jtype", "value").mapInArrow(run, "feed_id long, path string, what array<string>")
+    real = _values(ordered, wanted, value=True).select("feed_id", "path", "jtype", "value").mapInArrow(run, "feed_id long, path string, what array<string>")
     counts = stage(real.select("feed_id", "path", F.posexplode("what").alias("what", "x")).groupBy("feed_id", "path", "what", F.xxhash64("x").alias("h")).agg(F.count("*").alias("c")))
     old = counts.select("feed_id", F.col("path").alias("old"), "what", "h", F.col("c").alias("c_old"))
     new = counts.select("feed_id", F.col("path").alias("new"), "what", "h", F.col("c").alias("c_new"))
