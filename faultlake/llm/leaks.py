@@ -1,21 +1,22 @@
 """Evaluation texts leaking into training text (problem 7).
 
-The items' normalised n-grams (five words) form a hash set that is broadcast behind a check of its size;
-every document's token windows are scanned against it. Documents with hits on an n-gram that belongs to one
-item only are verified by local alignment of words: a passage is an alignment in order that bears a few
+The items' normalised n-grams (five words; all words of shorter items) form a hash set that is broadcast; every document's token windows are
+scanned against it. In each segment of an item the n-grams that belong to the fewest items are looked for: those of its own, or, where a stretch stands in other items
+too, those it shares with them. Documents with hits are verified by local alignment of words: a passage is an alignment in order that bears a few
 changed words, and it counts for an item only if it repeats the item's own numbers. Up to two passages
 together must hold ``HELD`` of the item's words. The opening instruction (leading sentences that other items
 share) is not counted.
 
 Words are runs of letters and digits in lower case, so case, punctuation, markup and line breaks do not
 matter. Null or empty texts hold nothing; an item without words of its own matches nothing; two items with
-the same words both come out. All items go to every task, so ``MAX_ITEM_WORDS`` bounds them (ValueError).
+the same words both come out, and so does an item that is part of another if a document holds that part. Items go to the tasks in blocks of up to
+``BLOCK_WORDS`` words, each of which is one pass over the documents, so their number has no limit.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,94 +25,128 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultlake.session import spread
-
 N, HELD = 5, 0.4
-MAX_ITEM_WORDS = 5_000_000
-#: A passage must be at least so many words, and repeat this share of the numbers it spans.
+BLOCK_WORDS = 5_000_000
+#: A passage must be at least so many words (fewer for items of which that is more than HELD), and repeat this share of the numbers it spans.
 LEAST_WORDS, OWN_NUMBERS = 8, 0.6
+#: Every so many n-grams of an item, or a quarter of what must be held, those of the fewest items are looked for.
+SEGMENT = 5
+#: Text is aligned in stretches of so many words, or eight times the item's.
+STRETCH = 8192
+GAP = 0.8
 
 PASSAGES = pa.list_(pa.struct([("first_word", pa.int32()), ("last_word", pa.int32())]))
 
 _WORD = re.compile(r"[^\W_]+")
-_SENTENCE = re.compile(r"(?<=[.?!])\s+")
+_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
-def case_words(texts: dict[int, str]) -> dict[int, list[str]]:
-    """The words of each item without its opening instruction."""
-    parts = {i: _SENTENCE.split((t or "").strip()) for i, t in texts.items()}
-    shared = Counter(s for p in parts.values() for s in set(p))
-    out = {}
-    for i, p in parts.items():
-        k = 0
-        while k < len(p) - 1 and shared[p[k]] > 1:
-            k += 1
-        out[i] = words(" ".join(p[k:]))
-    return out
+def case_texts(items: DataFrame) -> DataFrame:
+    """(item_id, text): each item without its opening instruction, the leading sentences that other items have too; its last sentence stays."""
+    rows = items.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), F.trim("text").alias("text")).dropDuplicates(["item_id"])
+    parts = rows.select("item_id", F.posexplode(F.split("text", r"(?<=[.?!])\s+")).alias("k", "sentence"), F.size(F.split("text", r"(?<=[.?!])\s+")).alias("n"))
+    shared = parts.groupBy("sentence").agg(F.countDistinct("item_id").alias("owners"))
+    own = parts.join(shared, "sentence").withColumn("opens", (F.col("owners") > 1) & (F.col("k") < F.col("n") - 1))
+    first = own.groupBy("item_id").agg(F.min(F.when(~F.col("opens"), F.col("k"))).alias("first"))
+    kept = own.join(first, "item_id").where("k >= first")
+    # one item's sentences
+    return kept.groupBy("item_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "sentence"))), lambda x: x["sentence"]), " ").alias("text"))
 
 
-class Index:
-    """Vocabulary, n-gram hashes and words of all items."""
+def grams(ids: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of all windows of ``n`` words."""
+    if len(ids) < n:
+        return np.zeros(0, dtype=np.uint64)
+    h = np.full(len(ids) - n + 1, n, dtype=np.uint64)
+    for k in range(n):
+        h = (h ^ ids[k:len(ids) - n + 1 + k].astype(np.uint64)) * _MULTIPLIER
+        h ^= h >> np.uint64(29)
+    return h
+
+
+class Vocabulary(dict):
+    """word -> number from 1 on, 0 for words of no item."""
 
-    MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+    def __missing__(self, word: str) -> int:
+        return 0
+
+
+class Index:
+    """Vocabulary, n-gram hashes with their owners, and words of a block of items."""
 
     def __init__(self, texts: dict[int, str]) -> None:
-        own = case_words(texts)
-        self.vocabulary: dict[str, int] = {}
-        for w in own.values():
-            for x in w:
-                self.vocabulary.setdefault(x, len(self.vocabulary) + 1)
-        self.items = {i: np.array([self.vocabulary[x] for x in w], dtype=np.int64) for i, w in own.items()}
+        self.vocabulary = Vocabulary()
+        self.items: dict[int, np.ndarray] = {}
+        for i, text in texts.items():
+            own = words(text)
+            if own:
+                self.items[i] = np.array([self.vocabulary.setdefault(x, len(self.vocabulary) + 1) for x in own], dtype=np.int64)
         self.number = np.zeros(len(self.vocabulary) + 1, dtype=bool)
         for x, k in self.vocabulary.items():
             self.number[k] = any(c.isdigit() for c in x)
-        grams: dict[int, set[int]] = {}
-        for i, ids in self.items.items():
-            for h in self.grams(ids).tolist():
-                grams.setdefault(h, set()).add(i)
-        same = Counter(tuple(ids.tolist()) for ids in self.items.values())
-        # n-grams of one item's words only (or of items with the very same words) name their items
-        self.owners = {h: sorted(o) for h, o in grams.items() if len({tuple(self.items[i].tolist()) for i in o}) == 1}
-        self.hashes = np.array(sorted(self.owners), dtype=np.uint64)
-        self.copies = max(same.values(), default=0)
-
-    def grams(self, ids: np.ndarray) -> np.ndarray:
-        if len(ids) < N:
-            return np.zeros(0, dtype=np.uint64)
-        h = np.zeros(len(ids) - N + 1, dtype=np.uint64)
-        for k in range(N):
-            h = (h ^ ids[k:len(ids) - N + 1 + k].astype(np.uint64)) * self.MULTIPLIER
-            h ^= h >> np.uint64(29)
-        return h
-
-    def hits(self, ids: np.ndarray) -> dict[int, int]:
-        """item -> number of windows of a document that are n-grams of this item only."""
-        h = self.grams(ids)
-        if not len(h) or not len(self.hashes):
-            return {}
-        place = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        found = h[self.hashes[place] == h]
-        out: Counter[int] = Counter()
-        for x in found.tolist():
-            out.update(self.owners[x])
-        return out
+        runs = {i: grams(ids, min(N, len(ids))).tolist() for i, ids in self.items.items()}
+        owners: dict[int, set[int]] = defaultdict(set)
+        for i, own in runs.items():
+            for h in own:
+                owners[h].add(i)
+        # items with the very same words count as one owner
+        same = {i: ids.tobytes() for i, ids in self.items.items()}
+        count = {h: len({same[i] for i in o}) for h, o in owners.items()}
+        found: dict[int, set[int]] = defaultdict(set)
+        for i, own in runs.items():
+            size = max(SEGMENT, int(np.ceil(HELD * len(own) / 4)))
+            for k in range(0, len(own), size):
+                segment = own[k:k + size]
+                fewest = min(count[h] for h in segment)
+                for h in segment:
+                    if count[h] == fewest:
+                        found[h].add(i)
+        kept = {h: sorted(o) for h, o in sorted(found.items())}
+        self.hashes = np.array(list(kept), dtype=np.uint64)
+        self.owners = list(kept.values())
+        self.lengths = sorted({min(N, len(ids)) for ids in self.items.values()})
+
+    def hits(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of windows that are n-grams of the index, and the places of these in ``owners``."""
+        at, of = [], []
+        for n in self.lengths:
+            h = grams(ids, n)
+            if len(h):
+                # only windows of known words are looked up
+                known = np.cumsum(np.concatenate([[0], ids > 0]))
+                some = np.flatnonzero(known[n:] - known[:-n] == n)
+                place = np.minimum(np.searchsorted(self.hashes, h[some]), len(self.hashes) - 1)
+                good = self.hashes[place] == h[some]
+                at.append(some[good])
+                of.append(place[good])
+        return (np.concatenate(at), np.concatenate(of)) if at else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+    def possible(self, known: np.ndarray, item: int, held: float) -> bool:
+        """Whether two stretches of ``item`` whose numbers are mostly among the ``known`` words of a document could be enough; never too strict."""
+        own = self.items[item]
+        here, number = np.isin(own, known), self.number[own]
+        if here.sum() < held * len(own):
+            return False
+        if len(own) > 1000:  # the table of all stretches would be large
+            return True
+        words, numbers, found = (np.concatenate([[0], np.cumsum(x)]) for x in (here, number, number & here))
+        good = found[None, :] - found[:, None] >= OWN_NUMBERS * (numbers[None, :] - numbers[:, None])
+        return bool(2 * np.max((words[None, :] - words[:, None]) * good) >= held * len(own))
 
     def held(self, ids: np.ndarray, item: int) -> tuple[int, list[tuple[int, int]]]:
         """Words of ``item`` that a document holds in one or two passages, and the passages' token spans."""
-        own = self.items[item].copy()
-        text = ids.copy()
+        own, text = self.items[item].copy(), ids.copy()
+        least = min(LEAST_WORDS, max(1, int(np.ceil(HELD * len(own)))))
         total, spans, item_spans = 0, [], []
-        for _ in range(4):  # an alignment that repeats no numbers is masked and does not count as one of the two
+        while len(spans) < 2:  # an alignment that repeats no numbers is masked and does not count as one of the two
             found = align(own, text, self.number)
-            if found is None:
+            if found is None or len(found[0]) < least:
                 break
             pairs, (a, b), (c, d) = found
-            if len(pairs) < LEAST_WORDS:
-                break
             numbers = [k for k in range(a, b) if self.number[own[k]]]
             matched = {k for k, _ in pairs}
             good = not numbers or sum(k in matched for k in numbers) >= OWN_NUMBERS * len(numbers)
@@ -121,36 +156,57 @@ class Index:
                 item_spans.append((a, b))
                 own[a:b] = -1  # matches nothing any more
             text[c:d] = -2
-            if len(spans) == 2:
-                break
         return total, spans
 
 
-def align(own: np.ndarray, text: np.ndarray, number: np.ndarray) -> tuple[list[tuple[int, int]], tuple[int, int], tuple[int, int]] | None:
+Alignment = tuple[list[tuple[int, int]], tuple[int, int], tuple[int, int]]
+
+
+def align(own: np.ndarray, text: np.ndarray, number: np.ndarray) -> Alignment | None:
     """Best local alignment: matched (own, text) places, the span in ``own``, the span in ``text``.
 
+    The text is taken in stretches that overlap by more than an alignment can span (each word of the item adds at most 2 and each gap
+    costs GAP), so memory is bounded by the item, not by the document, and the best one is always inside a stretch. Stretches that hold no word of the item are passed over.
+    """
+    reach = int(len(own) * (1 + 2 / GAP)) + 2
+    size = max(STRETCH, 2 * reach)
+    known = np.isin(text, own[own > 0])
+    best, top = None, 0.0
+    for begin in range(0, max(1, len(text) - reach), size - reach):
+        if not known[begin:begin + size].any():
+            continue
+        found, score = _align(own, text[begin:begin + size], number)
+        if found is not None and score > top:
+            pairs, span, (c, d) = found
+            best, top = ([(i, j + begin) for i, j in pairs], span, (c + begin, d + begin)), score
+    return best
+
+
+def _align(own: np.ndarray, text: np.ndarray, number: np.ndarray) -> tuple[Alignment | None, float]:
+    """The best local alignment of one stretch and its score.
+
     Rows are vectorised over the text; a gap in the text is opened from the best cell to the left by a
     running maximum, so the cost is one pass of array operations for each word of the item.
     """
-    gap = 0.8
     n, m = len(own), len(text)
     is_number = np.zeros(n, dtype=bool)
     valid = own > 0
     is_number[valid] = number[own[valid]]
     score = np.zeros((n + 1, m + 1))
-    slope = gap * np.arange(m + 1)
+    slope = GAP * np.arange(m + 1)
     for i in range(1, n + 1):
         same = text == own[i - 1]
         plus, minus = (2.0, 1.5) if is_number[i - 1] else (1.0, 0.9)
         row = np.zeros(m + 1)
-        row[1:] = np.maximum(score[i - 1, :-1] + np.where(same, plus, -minus), score[i - 1, 1:] - gap)
+        row[1:] = np.maximum(score[i - 1, :-1] + np.where(same, plus, -minus), score[i - 1, 1:] - GAP)
         np.maximum(row, 0, out=row)
         row = np.maximum(row, np.maximum.accumulate(row + slope) - slope)
         score[i] = row
     end = int(np.argmax(score))
     i, j = divmod(end, m + 1)
-    if score[i, j] <= 0:
-        return None
+    top = float(score[i, j])
+    if top <= 0:
+        return None, 0.0
     last = (i, j)
     pairs = []
     while i and j and score[i, j] > 1e-9:
@@ -160,22 +216,29 @@ def align(own: np.ndarray, text: np.ndarray, number: np.ndarray) -> tuple[list[t
             if same:
                 pairs.append((i - 1, j - 1))
             i, j = i - 1, j - 1
-        elif abs(score[i, j] - (score[i - 1, j] - gap)) < 1e-6:
+        elif abs(score[i, j] - (score[i - 1, j] - GAP)) < 1e-6:
             i -= 1
         else:
             j -= 1
     if not pairs:
-        return None
+        return None, 0.0
     pairs.reverse()
-    return pairs, (pairs[0][0], last[0]), (pairs[0][1], last[1])
+    return (pairs, (pairs[0][0], last[0]), (pairs[0][1], last[1])), top
 
 
-def _texts(items: DataFrame) -> dict[int, str]:
-    rows = items.where("item_id is not null and text is not null").select("item_id", "text")
-    size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    if size > 10 * MAX_ITEM_WORDS:
-        raise ValueError("the evaluation items are too many to be sent to every task; split them into sets")
-    return {int(r[0]): r[1] for r in rows.toLocalIterator()}
+def _blocks(items: DataFrame) -> Iterator[dict[int, str]]:
+    """The items' case texts in blocks of up to BLOCK_WORDS words (one item at least)."""
+    block: dict[int, str] = {}
+    size = 0
+    for r in case_texts(items).orderBy("item_id").toLocalIterator():
+        n = len(words(r["text"]))
+        if block and size + n > BLOCK_WORDS:
+            yield block
+            block, size = {}, 0
+        block[r["item_id"]] = r["text"]
+        size += n
+    if block:
+        yield block
 
 
 def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", held: float = HELD) -> DataFrame:
@@ -183,18 +246,30 @@ def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str
 
     ``passages`` has (first_word, last_word) of each passage in the document's words, for removing it.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(_texts(items))
     kind = documents.schema[key].dataType.simpleString()
+    schema = f"`{key}` {kind}, item_id long, held_words int, item_words int, passages array<struct<first_word: int, last_word: int>>"
+    plain = documents.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(key, text)
+    out = documents.sparkSession.createDataFrame([], schema)
+    for block in _blocks(items):
+        out = out.union(_leaks_of(plain, Index(block), key, schema, held))
+    return out
+
+
+def _leaks_of(documents: DataFrame, index: Index, key: str, schema: str, held: float) -> DataFrame:
+    shared = documents.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(shared.value)
-        known = index.vocabulary.get
+        index = shared.value
         for batch in batches:
             at, out = [], [[] for _ in range(4)]
             for r, t in enumerate(batch.column(1).to_pylist()):
-                ids = np.array([known(x, 0) for x in words(t)], dtype=np.int64)
-                hits = index.hits(ids)
-                for item in sorted(hits):
+                found = words(t)
+                ids = np.fromiter(map(index.vocabulary.__getitem__, found), np.int64, len(found))
+                hits = set(index.hits(ids)[1].tolist())
+                known = np.unique(ids) if hits else ids
+                for item in sorted({i for k in hits for i in index.owners[k]}):
+                    if not index.possible(known, item, held):
+                        continue
                     own = len(index.items[item])
                     n, spans = index.held(ids, item)
                     if n >= held * own:
@@ -205,8 +280,7 @@ def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str
                 [batch.column(0).take(pa.array(at, pa.int32())), pa.array(out[0], pa.int64()), *(pa.array(x, pa.int32()) for x in out[1:3]), pa.array(out[3], PASSAGES)],
                 names=[key, "item_id", "held_words", "item_words", "passages"])
 
-    plain = documents.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(key, text)
-    return plain.mapInArrow(run, f"`{key}` {kind}, item_id long, held_words int, item_words int, passages array<struct<first_word: int, last_word: int>>")
+    return documents.mapInArrow(run, schema)
 
 
 def without_leaks(documents: DataFrame, items: DataFrame) -> DataFrame:

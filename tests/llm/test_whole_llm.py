@@ -42,3 +42,62 @@ def test_text_between_two_passages_stays(spark):
     clean = {r.doc_id: r for r in L.without_leaks(df, items).collect()}
     assert clean[1].text.count(own) == 3 and "D39" not in clean[1].text and "K12" not in clean[1].text and clean[2].text == own
     assert clean[1].removed_words == len(L.words(text)) - len(L.words(clean[1].text)) and 30 <= clean[1].removed_words <= 44
+
+
+def leaked(spark, docs, items):
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    return {(r.doc_id, r.item_id): r.held_words for r in L.leaks(df, spark.createDataFrame(list(items.items()), "item_id long, text string")).collect()}
+
+
+NOISE = "the car was parked behind the mill and nobody looked at it for a week "
+
+
+def test_items_that_are_part_of_others_are_found(spark):
+    whole = "Suppose 66 cells at 3.2 volts feed lead D39-32 through the secondary encoder, losing 740 A every 57 seconds while 12 fans of type K12-44 stand still near the depot"
+    part = " ".join(whole.split()[:14])
+    got = leaked(spark, [(1, NOISE + part + " " + NOISE), (2, NOISE + whole), (3, NOISE)], {1: whole, 2: part, 3: part})
+    assert set(got) == {(1, 1), (1, 2), (1, 3), (2, 1), (2, 2), (2, 3)} and got[1, 2] == len(L.words(part))
+
+
+def test_short_items_are_found(spark):
+    items = {1: "Bleed cylinder 7 before valve 12 opens.", 2: "Torque 44 first."}
+    got = leaked(spark, [(1, NOISE + "bleed CYLINDER 7, before valve 12 " + NOISE), (2, NOISE + "torque 44 first " + NOISE), (3, "torque first 44 bleed valve 12")], items)
+    assert set(got) == {(1, 1), (2, 2)}
+
+
+def test_look_alikes_do_not_hide_a_passage(spark):
+    """Six passages of the same wording with other numbers stand before the real one."""
+    real = ITEMS[1][15:]
+    other = lambda k: "".join(str((int(c) + k) % 10) if c.isdigit() else c for c in real)
+    text = NOISE.join([*(other(k) for k in range(1, 7)), " ".join(w if i % 10 else "changed" for i, w in enumerate(real.split()))])
+    assert (1, 1) in leaked(spark, [(1, text)], ITEMS)
+
+
+def test_very_long_texts_are_aligned_in_stretches(spark):
+    words = ITEMS[1][15:].split()
+    text = NOISE * 8000 + " ".join(words[:20]) + " " + NOISE * 8000 + " ".join(words[20:]) + NOISE * 8000
+    got = leaked(spark, [(1, text)], ITEMS)
+    assert got[1, 1] >= len(L.words(" ".join(words))) - 4
+
+
+def test_stretches_give_the_alignment_of_the_whole(monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    number = np.zeros(41, dtype=bool)
+    number[30:] = True
+    for _ in range(20):
+        own = rng.integers(1, 41, 12)
+        text = rng.integers(0, 41, 400)
+        at = rng.integers(0, 380)
+        text[at:at + 9] = own[2:11]
+        whole = L._align(own, text, number)
+        monkeypatch.setattr(L, "STRETCH", 16)
+        assert L.align(own, text, number) == whole[0]
+
+
+def test_blocks_of_items_give_the_same_leaks(spark, monkeypatch):
+    docs = [(k, NOISE + ITEMS[1 + k % 2][15:] + NOISE) for k in range(4)]
+    once = leaked(spark, docs, ITEMS)
+    monkeypatch.setattr(L, "BLOCK_WORDS", 10)
+    assert leaked(spark, docs, ITEMS) == once and set(once) == {(0, 1), (1, 2), (2, 1), (3, 2)}
