@@ -2,11 +2,12 @@
 
 A multi-pattern automaton over canonical names and aliases finds the makes and models mentioned in the two
 fields, whichever field they stand in; the longest non-overlapping mention wins. What is left goes to
-token-set similarity within the models of the make, or within all models where no make is known. Digits
-must agree exactly, so neighbours like "Courier 1" and "Courier 2" are never confused.
+token-set similarity within the models of the make, or within all models where no make is known: a name is the set of its
+pairs of near letters, two sets are as alike as twice what they share is of both sizes, and an index from tokens to names finds those that share any.
+Digits must agree exactly, so neighbours like "Courier 1" and "Courier 2" are never confused.
 
-The canonical list is small by nature; it is sent to the tasks behind a check of its size (``MAX_ENTRIES``)
-and a longer list raises ValueError. Rows with both fields null give no result; a value naming nothing, or a
+Each distinct pair of values is matched once and joined back to its rows. A canonical list of more than ``MAX_ENTRIES`` names is refused (ValueError): its
+automaton is built in every task. Rows with both fields null give no result; a value naming nothing, or a
 model of several makes without its make, gives 0. Values are never dropped.
 """
 
@@ -14,20 +15,28 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import ahocorasick
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from faultlake.session import checked_broadcast, stage
+
 MAX_ENTRIES = 200_000
+#: Up to so many distinct pairs of values are sent to the tasks; more are joined by shuffle.
+MAX_SENT = 200_000
 
 # Cyrillic and Greek letters that look like Latin ones.
 LOOKALIKES = str.maketrans("АВСЕНІЈКМОРЅТХУавсеніјкморѕтхуΑΒΕΖΗΙΚΜΝΟΡΤΥΧο", "ABCEHIJKMOPSTXYabcehijkmopstxyABEZHIKMNOPTYXo")
-#: An edit distance of up to so many signs is a slip, by the length of the name.
-SLIPS = ((4, 0), (5, 1), (7, 2), (99, 3))
+#: Least similarity of names: within the models of a known make or among makes, and among all models.
+SIMILAR, SIMILAR_ALL = 0.5, 0.6
+#: Names of up to so many letters have too few tokens to be compared; all must agree.
+SHORT = 4
 
 
 def normal(value: str | None) -> str:
@@ -45,28 +54,6 @@ def _misread(word: str) -> str:
     return re.sub(r"(?<=[a-z])[01]{1,2}(?=[a-z])", lambda m: m[0].replace("0", "o").replace("1", "l"), word)
 
 
-def distance(a: str, b: str, most: int) -> int:
-    """Edits (with swaps of neighbours) between ``a`` and ``b``, or most + 1."""
-    if abs(len(a) - len(b)) > most:
-        return most + 1
-    two, one = [], list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        row = [i]
-        for j, y in enumerate(b, 1):
-            d = min(one[j] + 1, row[-1] + 1, one[j - 1] + (x != y))
-            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
-                d = min(d, two[j - 2] + 1)
-            row.append(d)
-        if min(row) > most:
-            return most + 1
-        two, one = one, row
-    return one[-1]
-
-
-def _slips(name: str) -> int:
-    return next(n for most, n in SLIPS if len(name) <= most or most == 99)
-
-
 def _letters(text: str) -> str:
     return re.sub(r"[^a-z]", "", text)
 
@@ -75,19 +62,53 @@ def _digits(text: str) -> str:
     return re.sub(r"\D+", " ", text).strip()
 
 
+def tokens(letters: str) -> frozenset[str]:
+    """Pairs of letters next to each other or one apart, the ends counting as letters, so that a swap or slip leaves most of them."""
+    marked = f"^{letters}$"
+    return frozenset(marked[i] + marked[j] for i in range(len(marked)) for j in (i + 1, i + 2) if j < len(marked)) if letters else frozenset()
+
+
+class Names:
+    """An index from tokens to names, by a key that must agree exactly."""
+
+    def __init__(self) -> None:
+        self.names: list[tuple[object, int]] = []
+        self.holding: dict[tuple[object, str], list[int]] = {}
+
+    def add(self, key: object, letters: str, meant: object) -> None:
+        own = tokens(letters)
+        self.names.append((meant, len(own)))
+        for token in own:
+            self.holding.setdefault((key, token), []).append(len(self.names) - 1)
+
+    def alike(self, key: object, letters: str) -> list[tuple[float, int, object]]:
+        """(similarity, tokens shared less tokens missing, what is meant) of all names under ``key`` that share a token with ``letters``."""
+        own = tokens(letters)
+        shared = Counter(chain.from_iterable(self.holding.get((key, token), ()) for token in own))
+        return [(2 * n / (len(own) + self.names[i][1]), 2 * n - self.names[i][1], self.names[i][0]) for i, n in shared.items()]
+
+
 class Matcher:
     """The automaton and the similarity search over one list of (model_id, make, model)."""
 
     def __init__(self, entries: list[tuple[int, str, str]]) -> None:
         self.by_make: dict[str, list[tuple[int, str]]] = {}
         self.by_model: dict[str, list[tuple[int, str]]] = {}
+        self.makes, self.models = Names(), Names()
+        self.sizes: set[int] = set()
         aliases: dict[str, set[tuple[str, str]]] = {}
         for number, make, model in entries:
             a, b = normal(make), normal(model)
             if not b:
                 continue
+            if a not in self.by_make:
+                self.makes.add(None, _letters(a), a)
             self.by_make.setdefault(a, []).append((number, b))
             self.by_model.setdefault(b, []).append((number, a))
+            if len(_letters(b)) > 2:
+                for key in ((a, _digits(b)), _digits(b)):
+                    self.models.add(key, _letters(b), (number, a, len(_letters(b))))
+                self.sizes.add(len(b.split()))
             for kind, name in (("make", a), ("model", b)):
                 if name:
                     for alias in {name, name.replace(" ", "")}:
@@ -115,37 +136,31 @@ class Matcher:
         """The make a text is a slip or a shortening of."""
         if not text:
             return None
-        compact, best = text.replace(" ", ""), []
-        for make in self.by_make:
-            name = make.replace(" ", "")
-            most = _slips(name)
-            for given in {compact, *(w for w in [" ".join(text.split()[:k]).replace(" ", "") for k in range(1, 4)] if len(w) > 3)}:
-                if (d := distance(given, name, most)) <= most:
-                    best.append((d, make))
+        compact, words = _letters(text), text.split()
+        tries = {compact, *(w for w in (_letters("".join(words[:k])) for k in range(1, 4)) if len(w) > 3)}
+        best = [(n, m) for t in tries for n, _, m in self.makes.alike(None, t) if n >= SIMILAR_ALL]
         if not best and len(compact) >= 3:
-            best = [(0, m) for m in self.by_make if m.replace(" ", "").startswith(compact)]
-        best.sort()
-        return best[0][1] if best and (len({m for d, m in best if d == best[0][0]}) == 1) else None
+            best = [(0, m) for m in self.by_make if _letters(m).startswith(compact)]
+        top = max((n for n, _ in best), default=0)
+        meant = {m for n, m in best if n == top}
+        return meant.pop() if len(meant) == 1 else None
 
     def closest(self, text: str, makes: list[str] | None) -> list[tuple[int, str]]:
-        """Entries most alike to ``text`` by its words: equal digits, few slips in the letters."""
+        """Entries most alike to ``text`` by its tokens, with equal digits: (model_id, make); several only where they are equally alike."""
         words = text.split()
-        found: list[tuple[int, int, tuple[int, str]]] = []
-        for make in makes if makes is not None else self.by_make:
-            for number, model in self.by_make.get(make, ()):
-                letters, digits = _letters(model), _digits(model)
-                most = _slips(letters)
-                n = len(model.split())
-                tries = {text.replace(" ", "")}
-                for size in {n, n + 1, max(1, n - 1)}:  # the words of the name may be split, joined or moved among others
-                    tries.update("".join(words[i:i + size]) for i in range(len(words) - size + 1))
-                if n > 1 and len(words) <= 6:
-                    tries.add("".join(w for w in words if any(distance(w, m, 2) <= min(2, max(0, len(m) - 3)) for m in model.split())))
-                best = min((d for t in tries if t and _digits(t) == digits and len(letters) > 2 and (d := distance(_letters(t), letters, most)) <= most), default=None)
-                if best is not None:
-                    found.append((best, -len(model), (number, make)))
-        found.sort()
-        return [f[2] for f in found if f[:2] == found[0][:2]]
+        tries = {text}
+        for size in {m for n in self.sizes for m in (n - 1, n, n + 1) if m > 0}:  # the words of the name may be split, joined or stand among others
+            tries.update(" ".join(words[i:i + size]) for i in range(len(words) - size + 1))
+        least = SIMILAR_ALL if makes is None else SIMILAR
+        found: dict[tuple[int, str], tuple[int, float]] = {}
+        for t in tries:
+            letters, digits = _letters(t), _digits(t.replace(" ", ""))
+            for key in [digits] if makes is None else [(m, digits) for m in makes]:
+                for n, gain, (number, make, size) in self.models.alike(key, letters):
+                    if n >= (1 if size <= SHORT else least):
+                        found[number, make] = max(found.get((number, make), (-1000, 0.0)), (gain, n))
+        top = max(found.values(), default=None)
+        return sorted(e for e, n in found.items() if n == top)
 
     @lru_cache(maxsize=100_000)  # noqa: B019
     def find(self, make: str | None, model: str | None) -> int:
@@ -178,7 +193,10 @@ class Matcher:
 
 
 def match_models(rows: DataFrame, make: str, model: str, entries: DataFrame) -> DataFrame:
-    """``rows`` with ``model_id``. ``make`` and ``model`` are column expressions of ``rows``."""
+    """``rows`` with ``model_id``. ``make`` and ``model`` are column expressions of ``rows``.
+
+    Distinct pairs of values are matched and joined back, by broadcast where they are few; a pair that a third of all rows have is one row of the smaller side.
+    """
     listed = [(int(r[0]), r[1] or "", r[2] or "") for r in entries.where("model_id is not null and model is not null").select("model_id", "make", "model").limit(MAX_ENTRIES + 1).collect()]
     if len(listed) > MAX_ENTRIES:
         raise ValueError("the canonical list is too long to be sent to the tasks")
@@ -190,7 +208,11 @@ def match_models(rows: DataFrame, make: str, model: str, entries: DataFrame) ->
         for a, b in batches:
             yield pd.Series([matcher.find(x, y) for x, y in zip(a, b, strict=True)], dtype="int32")
 
-    return rows.withColumn("model_id", found(F.expr(make).cast("string"), F.expr(model).cast("string")))
+    keyed = rows.withColumns({"_make": F.expr(make).cast("string"), "_model": F.expr(model).cast("string")})
+    pairs = keyed.groupBy("_make", "_model").agg(F.lit(1).alias("_n"))
+    matched = stage(pairs.select("_make", "_model", found("_make", "_model").alias("model_id")))
+    small = matched.select(F.col("_make").alias("_a"), F.col("_model").alias("_b"), "model_id")
+    return keyed.join(checked_broadcast(small, MAX_SENT), F.col("_make").eqNullSafe(F.col("_a")) & F.col("_model").eqNullSafe(F.col("_b"))).select(*rows.columns, "model_id")
 
 
 def manual_models(manuals: DataFrame, entries: DataFrame) -> DataFrame:

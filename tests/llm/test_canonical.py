@@ -22,3 +22,25 @@ def test_tables(spark):
     assert [tuple(r) for r in C.unmatched(manuals, entries).collect()] == [("Celtro", "Zwirnrad", 1)]
     assert {r.model_id for r in C.manual_models(manuals, entries.limit(0)).collect()} == {0}
     assert C.manual_models(manuals.limit(0), entries).count() == 0
+
+
+def test_slips_in_a_long_list():
+    import random
+    import time
+
+    rng = random.Random(2)
+    entries = [(k, f"Make {''.join(rng.choice('abcdefghijklmnopqrstuvwxyz') for _ in range(6))}", "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9))) for k in range(20_000)]
+    matcher = C.Matcher(entries)
+    began = time.time()
+    for number, make, model in rng.sample(entries, 50):
+        i = rng.randrange(1, 8)
+        assert matcher.find(make, model[:i] + model[i] + model[i:]) == number  # a doubled letter
+        assert matcher.find(None, model[:i] + model[i] + model[i:]) == number
+    assert time.time() - began < 50  # half a second a value, where each name of the list is compared it takes seconds
+
+
+def test_values_of_a_third_of_all_rows(spark):
+    entries = spark.createDataFrame([(1, "Celtro", "Bastionne"), (2, "Velorra", "Brindille")], "model_id int, make string, model string")
+    rows = [(f"d{k}", ("Celtro", "Batsionne")) if k % 3 else (f"d{k}", (None, "Birndille")) for k in range(300)] + [("e", (None, None)), ("f", None), (None, ("Celtro", "x")), ("g", ("Celtro", None))]
+    got = {r.document_id: r.model_id for r in C.manual_models(spark.createDataFrame(rows + rows[:9], "document_id string, vehicle struct<make:string,model:string>"), entries).collect()}
+    assert got == {**{f"d{k}": 1 if k % 3 else 2 for k in range(300)}, "g": 0}
