@@ -12,7 +12,7 @@ two records of similarity J share a block with probability 1 - (1 - J**ROWS)**BA
 settled by an aggregate, larger ones by an R-tree in the block; a block of more than ``BLOCK`` records is cut into parts
 and joined part by part, so no task holds more than two parts. Blocks are never cut short.
 
-Records with the same set are one node of the search, so copies cost nothing there; pairs are written for them only in
+Records with the same set are merged before any block is made, so a text with millions of copies is one member of its blocks; pairs of copies are written only in
 ``similar_records``. Null or empty texts and texts of fewer than three words have no runs and are no case. Rows
 without an id are left out, and a record delivered again counts once.
 """
@@ -228,18 +228,18 @@ def _cell_pairs(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def candidates(found: DataFrame) -> DataFrame:
-    """(a, b): pairs of marks that share a block and that the bound does not rule out; ``found`` as of ``signatures``, staged."""
+    """(a, b): pairs of marks that share a block and that the bound does not rule out; ``found`` as of ``signatures`` with each mark once, staged."""
     blocks = found.select("mark", F.explode("keys").alias("block"))
     counted = stage(blocks.groupBy("block").agg(F.count("*").alias("n"), F.min("mark").alias("a"), F.max("mark").alias("b"), F.bit_xor("mark").alias("x")).where("a <> b"))
     third = F.col("x").bitwiseXOR(F.col("a")).bitwiseXOR(F.col("b"))
     three = counted.where("n = 3").select("a", third.alias("c"), "b")
     few = (counted.where("n = 2").select("a", "b").union(three.select("a", "b")).union(three.select("a", "c")).union(three.select("c", "b"))
            .where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    points = found.select("mark", "size", "point").dropDuplicates(["mark"])
+    points = found.select("mark", "size", "point")
     few = _bounded(few, points)
     # Larger blocks: their members' points in cells of about CELL rows; a block beyond BLOCK rows in pairs of parts.
     large = counted.where("n > 3").select("block", "n")
-    members = stage(blocks.join(checked_broadcast(large, MAX_BROADCAST), "block").distinct())
+    members = stage(blocks.join(checked_broadcast(large, MAX_BROADCAST), "block"))
     if members.limit(1).count() == 0:
         return few
     parts = F.ceil(F.col("n") / BLOCK).cast("int")
@@ -316,7 +316,8 @@ def code_texts(records: DataFrame) -> DataFrame:
 def similar_marks(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Staged: (mark, record_id) of all records with runs, and the similar pairs of marks (a, b, similarity)."""
     found = stage(signatures(records))
-    pairs = stage(verified(records, found, candidates(found)))
+    once = stage(found.select("mark", "size", "keys", "point").dropDuplicates(["mark"]))
+    pairs = stage(verified(records, found, candidates(once)))
     return found.select("mark", "record_id").distinct(), pairs
 
 

@@ -104,3 +104,19 @@ def test_components(spark):
     want = {x: find(x) for x in parent}
     got = {r["mark"]: r["class"] for r in N.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
     assert got == want
+
+
+def test_a_text_of_many_copies_is_one_member_of_its_blocks(spark, monkeypatch):
+    rng = random.Random(9)
+    base = [f"b{k}" for k in range(60)]
+    edits = [" ".join([*base[:k], f"e{k}", *base[k + 1:]]) for k in range(5, 15)]
+    texts = [" ".join(base), *edits, *(t for _, t in corpus(rng, n=30, copies=0))]
+    few = spark.createDataFrame([(f"r{i:03d}", t) for i, t in enumerate(texts)], "record_id string, text string")
+    many = few.union(spark.range(30_000).selectExpr("concat('z', id) as record_id", f"'{texts[0]}' as text"))
+    members, original = [], N.candidates
+    monkeypatch.setattr(N, "candidates", lambda found: members.append(found.count()) or original(found))
+    small = {r.record_id: r for r in N.record_classes(few).collect()}
+    large = {r.record_id: r for r in N.record_classes(many).collect()}
+    assert members == [len(texts)] * 2 and len(large) == len(texts) + 30_000
+    assert {i: (large[i].class_id, large[i].n_links) for i in small} == {i: (r.class_id, r.n_links) for i, r in small.items()}
+    assert large["z7"].class_id == "r000" and large["z7"].n_links == small["r000"].n_links
