@@ -7,20 +7,26 @@ inside the row of the record, so no join or shuffle is needed, and only the fiel
 
 Objects of one array may have different shapes. A bottom-up tree automaton gives each value a state
 (``tree_state``): a leaf is absent or filled, an array has the set of its members' states, an object the
-states of its filled fields. The states route each block to a typed subtype table (text, table, image or
-mixed) that shares the supertype's keys and parent links.
+states of its filled fields. Two kinds of fields have transitions of their own: a grid of cells is ``grid`` or ``ragged``, and an id that
+refers to a sibling takes the state of its link. The state of an object is all that routes it: its variant names the
+typed subtype table it goes to, its link state goes with the keys that all variants of a kind share (``members``), and the report of broken links is read from these.
 
+Arrays inside an object become child tables of their own (page refs, rows, flags, warnings, markers), so no field is lost.
 A record delivered again counts once. Null records and arrays give no rows; null members of an array keep
 their place and count as objects without any field; a null id or page ref is no link. Ids compare exactly.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RECORD_KEYS = ["record_id", "document_id"]
+STRINGS = "array<string>"
 
 
 def once(records: DataFrame, key: str = "record_id") -> DataFrame:
@@ -28,10 +34,18 @@ def once(records: DataFrame, key: str = "record_id") -> DataFrame:
     return records.where(F.col(key).isNotNull()).dropDuplicates([key])
 
 
-def tree_state(value: Column, kind: T.DataType) -> Column:
-    """The automaton's state of ``value``: '' for absent, '1' for a filled leaf, '[..]' and '{..}' above."""
+Rules = dict[str, Callable[[Column], Column]]
+
+
+def tree_state(value: Column, kind: T.DataType, rules: Rules | None = None, path: str = "") -> Column:
+    """The automaton's state of ``value``: '' for absent, '1' for a filled leaf, '[..]' and '{..}' above.
+
+    ``rules`` has the transitions of fields that have their own, by dotted path.
+    """
+    if rules and path in rules:
+        return F.coalesce(rules[path](value), F.lit(""))
     if isinstance(kind, T.StructType):
-        parts = [F.when(F.length(s := tree_state(value[f.name], f.dataType)) > 0, F.concat(F.lit(f.name + ":"), s)) for f in kind.fields]
+        parts = [F.when(F.length(s := tree_state(value[f.name], f.dataType, rules, f"{path}.{f.name}".strip("."))) > 0, F.concat(F.lit(f.name + ":"), s)) for f in kind.fields]
         inner = F.array_join(F.array_compact(F.array(*parts)), ",")
         return F.when(value.isNull() | (inner == ""), F.lit("")).otherwise(F.concat(F.lit("{"), inner, F.lit("}")))
     if isinstance(kind, T.ArrayType):
@@ -42,6 +56,19 @@ def tree_state(value: Column, kind: T.DataType) -> Column:
     return F.when(value.isNull(), F.lit("")).otherwise(F.lit("1"))
 
 
+def grid_state(rows: Column) -> Column:
+    """grid if all rows are equally wide, ragged if not, '' where no cell is filled; a null row has no width."""
+    filled = F.exists(rows, lambda r: F.exists(r, lambda c: F.coalesce(c, F.lit("")) != ""))
+    wide = F.array_distinct(F.transform(rows, lambda r: F.coalesce(F.size(r), F.lit(-1))))
+    return F.when(F.coalesce(filled, F.lit(False)), F.when(F.size(wide) == 1, "grid").otherwise("ragged")).otherwise("")
+
+
+def list_state(values: Column) -> Column:
+    """many, single or '' by the members that are not null."""
+    n = F.size(F.filter(values, lambda x: x.isNotNull()))
+    return F.when(F.coalesce(n, F.lit(0)) > 1, "many").when(n == 1, "single").otherwise("")
+
+
 def link_state(target: Column, ids: Column) -> Column:
     """How often ``target`` is among ``ids``, as ok, none, missing or ambiguous."""
     n = F.size(F.filter(F.coalesce(ids, F.array().cast("array<string>")), lambda x: x == target))
@@ -69,41 +96,82 @@ def _children(records: DataFrame, array: str, **links: Column) -> DataFrame:
     return rows.select(*RECORD_KEYS, (F.col("_pos") + 1).alias("pos"), "_row.item.*", *(f"_row.{n}" for n in links))
 
 
-def _linked(kind: str, states: Column, variants: Column) -> Column:
-    """Link states and variants by place as (child_kind, variant, child_pos, link); no place for absent arrays."""
-    return F.transform(F.coalesce(states, F.array().cast("array<string>")), lambda s, i: F.struct(
-        F.lit(kind).alias("child_kind"), F.get(variants, i).alias("variant"), (i + 1).alias("child_pos"), s.alias("link")))
+def _struct(*names: str) -> T.StructType:
+    """The part of an object that its state is made of."""
+    out = T.StructType()
+    for name in names:
+        first, _, rest = name.partition(".")
+        out = out.add(first, _struct(rest) if rest else T.StringType())
+    return out
 
 
-def _filled(part: Column, kind: T.DataType, name: str) -> Column:
-    return F.when(F.length(tree_state(part, kind)) > 0, name).otherwise("empty")
+class Kind:
+    """Objects of one array: what their state is made of, and how it routes them.
 
+    ``variants`` are tried in order: the first whose pattern the state holds is the object's, the last takes the rest.
+    """
 
-def dtc_links(records: DataFrame) -> DataFrame:
-    """(record_id, child_kind, variant, child_pos, link) of every table, image and group."""
+    def __init__(self, array: str, fields: T.StructType, rules: Rules, variants: tuple[tuple[str, str], ...], link: str) -> None:
+        self.array, self.fields, self.rules, self.variants, self.link = array, fields, rules, variants, link
+
+    def state(self, item: Column) -> Column:
+        return tree_state(item, self.fields, self.rules)
+
+    def states(self) -> Column:
+        return F.transform(self.array, self.state)
+
+    def variant_of(self, state: Column) -> Column:
+        *some, (rest, _) = self.variants
+        return reduce(lambda out, v: F.when(state.rlike(v[1]), v[0]).otherwise(out), reversed(some), F.lit(rest))
+
+    def link_of(self, state: Column) -> Column:
+        """The state of the link, none where the field is absent."""
+        found = F.regexp_extract(state, rf"\b{self.link}:(\w+)", 1)
+        return F.when(found == "", "none").otherwise(found)
+
+
+def dtc_kinds() -> dict[str, Kind]:
+    """The kinds of objects in dtc_records; links are to ids of the same record."""
     sections, tables = F.col("sections.section_id"), F.col("tables.table_id")
-    text, texts = T.StringType(), T.ArrayType(T.StringType())
-    kinds = F.concat(
-        _linked("table", F.transform("tables.section_id", lambda t: link_state(t, sections)), F.transform("tables.table_id", lambda x: _filled(x, text, "table"))),
-        _linked("image", F.transform("images.section_id", lambda t: link_state(t, sections)), F.transform("images.image_id", lambda x: _filled(x, text, "image"))),
-        _linked("group", F.transform("table_groups.source_table_ids", lambda t: links_state(t, tables)), F.transform("table_groups.source_table_ids", lambda x: _filled(x, texts, "group"))))
-    return records.select("record_id", F.explode(kinds).alias("c")).select("record_id", "c.*")
+    to_section = {"section_id": lambda t: F.when(t.isNotNull(), link_state(t, sections))}
+    return {
+        "section": Kind("sections", _struct("heading", "cleaned_text", "type_markers_detected"), {"type_markers_detected": list_state},
+                        (("typed", "type_markers_detected:"), ("text", "cleaned_text:"), ("heading", "heading:"), ("empty", "")), "no_link"),
+        "table": Kind("tables", _struct("table_id", "section_id", "raw_rows"), to_section | {"raw_rows": grid_state}, (("grid", "raw_rows:grid"), ("ragged", "raw_rows:ragged"), ("empty", "")), "section_id"),
+        "image": Kind("images", _struct("section_id", "image_path", "caption"), to_section, (("captioned", "caption:"), ("plain", "image_path:"), ("empty", "")), "section_id"),
+        # the second reading of the ids tells how many there are
+        "group": Kind("table_groups", _struct("source_table_ids", "group_id"), {"source_table_ids": lambda t: F.when(list_state(t) != "", F.concat(links_state(t, tables), F.lit("_"), list_state(t)))},
+                      (("many", "source_table_ids:[a-z]+_many"), ("single", "source_table_ids:[a-z]+_single"), ("empty", "")), "source_table_ids"),
+    }
 
 
-def code_links(records: DataFrame) -> DataFrame:
-    """(record_id, child_kind, variant, child_pos, link) of every block by its subtype, its page refs against its record's."""
-    states = F.transform("content_blocks.location.page_refs", lambda t: among_state(t, F.col("location.page_refs")))
-    kinds = _linked("block", states, F.transform("content_blocks", block_variant))
-    return records.select("record_id", F.explode(kinds).alias("c")).select("record_id", "c.*")
+def code_kinds() -> dict[str, Kind]:
+    """The kinds of objects in code_records; a block's page refs are to be among its record's."""
+    refs = F.col("location.page_refs")
+    fields = T.StructType().add("text", T.StringType()).add("raw_rows", T.StringType()).add("image_ref", _struct("image_id").add("path", T.StringType()).add("caption", T.StringType())).add("location", _struct("page_refs"))
+    two = "(?:text:.*raw_rows:)|(?:text:.*image_ref:)|(?:raw_rows:.*image_ref:)"
+    return {"block": Kind("content_blocks", fields, {"raw_rows": grid_state, "location.page_refs": lambda t: F.when(among_state(t, refs) != "none", among_state(t, refs))},
+                          (("mixed", two), ("text", "text:"), ("table", "raw_rows:"), ("image", "image_ref:"), ("empty", "")), "page_refs")}
+
+
+def members(records: DataFrame, kinds: dict[str, Kind]) -> DataFrame:
+    """(record_id, child_kind, variant, child_pos, link): what the objects of all variant tables share, read from their states."""
+    out = None
+    for name, kind in kinds.items():
+        part = records.select("record_id", F.posexplode(kind.states()).alias("_pos", "state"))
+        link = F.regexp_extract(kind.link_of(F.col("state")), "^[a-z]+", 0)
+        part = part.select("record_id", F.lit(name).alias("child_kind"), kind.variant_of(F.col("state")).alias("variant"), (F.col("_pos") + 1).cast("int").alias("child_pos"), link.alias("link"))
+        out = part if out is None else out.union(part)
+    return out
 
 
 def link_report(dtc_records: DataFrame, code_records: DataFrame) -> DataFrame:
-    """(record_id, child_kind, variant, child_pos, link): the parent links of the rows of all variant tables.
+    """(record_id, child_kind, variant, child_pos, link): the keys and links of all variant tables whose objects have links.
 
     A record delivered again has the same links; its rows come out once.
     """
-    found = dtc_links(dtc_records).union(code_links(code_records)).where("record_id is not null")
-    return found.select("record_id", "child_kind", "variant", F.col("child_pos").cast("int").alias("child_pos"), "link")
+    linked = {n: k for n, k in dtc_kinds().items() if n != "section"}
+    return members(dtc_records, linked).union(members(code_records, code_kinds())).where("record_id is not null")
 
 
 def broken_links(dtc_records: DataFrame, code_records: DataFrame) -> DataFrame:
@@ -115,59 +183,87 @@ def broken_links(dtc_records: DataFrame, code_records: DataFrame) -> DataFrame:
     return broken.select("record_id", "child_kind", "child_pos").distinct()
 
 
+def _routed(records: DataFrame, name: str, kind: Kind) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """All objects of a kind with variant and link, and the same by variant."""
+    rows = _children(records, kind.array, state=kind.states())
+    rows = rows.withColumn("variant", kind.variant_of(F.col("state"))).withColumn("link", F.regexp_extract(kind.link_of(F.col("state")), "^[a-z]+", 0))
+    return rows, {f"{name}_{v}": rows.where(F.col("variant") == v) for v, _ in kind.variants}
+
+
+def _elements(rows: DataFrame, array: str, keys: list[str], name: str) -> DataFrame:
+    """A child table of the members of an array of leaves, with their 1-based places."""
+    found = rows.select(*keys, F.posexplode(array).alias("_no", name))
+    return found.select(*keys, (F.col("_no") + 1).alias("no"), name)
+
+
+def _parts(name: str, fields: tuple[str, ...]) -> list[Column]:
+    return [F.col(f"{name}.{f}").alias(f"{name}_{f}") for f in fields]
+
+
 def dtc_tables(records: DataFrame) -> dict[str, DataFrame]:
-    """The flat tables of dtc_records: record, section, table, table_row, table_group, group_table, image, page_ref."""
+    """The flat tables of dtc_records.
+
+    record, record_code, record_note, record_warning, page_ref; section, table, table_group, image and their variants (``section_typed`` and so on);
+    section_marker, table_row, table_page_ref, table_flag, group_table.
+    """
     records = once(records)
-    sections, tables = F.col("sections.section_id"), F.col("tables.table_id")
+    kinds = dtc_kinds()
     scalars = [f.name for f in records.schema.fields if not isinstance(f.dataType, T.ArrayType | T.StructType)]
-    table = _children(records, "tables", section_link=F.transform("tables.section_id", lambda t: link_state(t, sections)))
-    group = _children(records, "table_groups", tables_link=F.transform("table_groups.source_table_ids", lambda t: links_state(t, tables)))
     out = {
-        "record": records.select(*scalars, "codes", "notes", *(F.col(f"location.{c}").alias(c) for c in ("start_pdf_page", "end_pdf_page", "section_code")),
-                                 *(F.col(f"extraction.{c}").alias(f"extraction_{c}") for c in ("status", "ocr_used", "page_ref_confidence", "warnings"))),
-        "section": _children(records, "sections"),
-        "table": table.select(*(c for c in table.columns if c not in ("raw_rows", "page_refs", "extraction")), *(F.col(f"extraction.{c}").alias(f"extraction_{c}") for c in ("confidence", "quality_flags", "header_rows_hint", "partial"))),
-        "table_row": table.select(*RECORD_KEYS, F.col("pos").alias("table_pos"), "table_id", F.posexplode("raw_rows").alias("row_no", "cells")),
-        "table_group": group.drop("source_table_ids"),
-        "group_table": group.select(*RECORD_KEYS, F.col("pos").alias("group_pos"), "group_id", F.posexplode("source_table_ids").alias("ref_no", "table_id")),
-        "image": _children(records, "images", section_link=F.transform("images.section_id", lambda t: link_state(t, sections))),
+        "record": records.select(*scalars, *(F.col(f"location.{c}").alias(c) for c in ("start_pdf_page", "end_pdf_page", "section_code")), *_parts("extraction", ("status", "ocr_used", "page_ref_confidence"))),
+        "record_code": _elements(records, "codes", RECORD_KEYS, "code"),
+        "record_note": _elements(records, "notes", RECORD_KEYS, "note"),
+        "record_warning": _elements(records, "extraction.warnings", RECORD_KEYS, "warning"),
         "page_ref": records.select(*RECORD_KEYS, F.posexplode("location.page_refs").alias("ref_no", "page_ref")),
     }
+    shape = {
+        "section": ["section_id", "heading", "role", "oem_content_id", "cleaned_text", "page_start", "page_end", "has_type_variants"],
+        "table": ["table_id", "section_id", F.col("link").alias("section_link"), "heading_nearby", "role", "start_pdf_page", "end_pdf_page", *_parts("extraction", ("confidence", "header_rows_hint", "partial"))],
+        "image": ["image_id", "section_id", F.col("link").alias("section_link"), "pdf_page", "page_ref", "image_path", "caption", "role"],
+        "group": ["group_id", "section_id", F.col("link").alias("tables_link")],
+    }
+    for name, kind in kinds.items():
+        rows, by_variant = _routed(records, name, kind)
+        columns = [*RECORD_KEYS, "pos", "variant", *shape[name]]
+        out["table_group" if name == "group" else name] = rows.select(*columns)
+        out |= {n: r.select(*columns) for n, r in by_variant.items()}
+        if name == "section":
+            out["section_marker"] = _elements(rows, "type_markers_detected", [*RECORD_KEYS, "pos", "section_id"], "marker")
+        elif name == "table":
+            keys = [*RECORD_KEYS, "pos", "table_id"]
+            out["table_row"] = rows.select(*RECORD_KEYS, F.col("pos").alias("table_pos"), "table_id", "variant", F.posexplode("raw_rows").alias("row_no", "cells"))
+            out["table_page_ref"] = _elements(rows, "page_refs", keys, "page_ref")
+            out["table_flag"] = _elements(rows, "extraction.quality_flags", keys, "flag")
+        elif name == "group":
+            out["group_table"] = rows.select(*RECORD_KEYS, F.col("pos").alias("group_pos"), "group_id", F.posexplode("source_table_ids").alias("ref_no", "table_id"))
     return out
 
 
-BLOCK_VARIANTS = ("text", "table", "image", "mixed", "empty")
-
-
-def block_variant(block: Column) -> Column:
-    """The subtype of a block by the states of its typed parts."""
-    text, rows, image = (F.length(x) > 0 for x in (
-        tree_state(block["text"], T.StringType()), F.regexp_replace(tree_state(block["raw_rows"], T.ArrayType(T.ArrayType(T.StringType()))), r"[\[\]|]", ""),
-        F.when(block["image_ref"].isNull(), F.lit("")).otherwise(F.concat_ws("", block["image_ref"]["image_id"], block["image_ref"]["path"], block["image_ref"]["caption"]))))
-    n = text.cast("int") + rows.cast("int") + image.cast("int")
-    return F.when(n > 1, "mixed").when(text, "text").when(rows, "table").when(image, "image").otherwise("empty")
-
-
 def code_tables(records: DataFrame) -> dict[str, DataFrame]:
-    """The flat tables of code_records: record, identifier, page_ref, block (supertype), its four typed subtypes, table_row and block_page_ref."""
+    """The flat tables of code_records.
+
+    record, record_warning, identifier, page_ref; block (supertype) and its subtypes block_text, block_table, block_image, block_mixed and block_empty;
+    table_row, block_page_ref, block_warning, block_flag and block_extraction_warning.
+    """
     records = once(records)
-    refs = F.col("location.page_refs")
-    block = _children(records, "content_blocks",
-                      page_link=F.transform("content_blocks.location.page_refs", lambda t: among_state(t, refs)),
-                      variant=F.transform("content_blocks", block_variant))
+    block, by_variant = _routed(records, "block", code_kinds()["block"])
     keys = [*RECORD_KEYS, "pos", "block_id"]
-    common = [*keys, "block_type", "heading", "role", "variant", "page_link"]
-    kept = {"text": ["text"], "table": [F.col("table_quality.status").alias("quality"), F.col("table_quality.confidence").alias("confidence")],
-            "image": ["image_ref.image_id", "image_ref.path", "image_ref.caption", "image_ref.pdf_page"], "mixed": ["text", "image_ref.image_id"]}
+    common = [*keys, "block_type", "heading", "role", "variant", F.col("link").alias("page_link"), *_parts("location", ("start_pdf_page", "end_pdf_page")), *_parts("extraction", ("status",))]
+    quality, image = _parts("table_quality", ("status", "confidence")), ["image_ref.image_id", "image_ref.path", "image_ref.caption", "image_ref.pdf_page"]
+    kept = {"text": ["text"], "table": quality, "image": image, "mixed": ["text", *quality, *image], "empty": []}
     return {
-        "record": records.select(*RECORD_KEYS, "record_type", "title", *(F.col(f"location.{c}").alias(c) for c in ("start_pdf_page", "end_pdf_page", "section_ref")),
-                                 F.col("extraction.status").alias("status"), F.col("extraction.confidence").alias("confidence")),
+        "record": records.select(*(f.name for f in records.schema.fields if not isinstance(f.dataType, T.ArrayType | T.StructType)), *(F.col(f"location.{c}").alias(c) for c in ("start_pdf_page", "end_pdf_page", "section_ref")),
+                                 *_parts("extraction", ("status", "confidence", "ocr_used"))),
+        "record_warning": _elements(records, "extraction.warnings", RECORD_KEYS, "warning"),
         "identifier": _children(records, "identifiers"),
         "page_ref": records.select(*RECORD_KEYS, F.posexplode("location.page_refs").alias("ref_no", "page_ref")),
-        "block": block.select(*common, F.col("location.start_pdf_page").alias("start_pdf_page"), F.col("location.end_pdf_page").alias("end_pdf_page"), F.col("extraction.status").alias("status")),
-        **{f"block_{v}": block.where(F.col("variant") == v).select(*common, *c) for v, c in kept.items()},
+        "block": block.select(*common),
+        **{n: r.select(*common, *kept[n.removeprefix("block_")]) for n, r in by_variant.items()},
         "table_row": block.select(*keys, F.posexplode("raw_rows").alias("row_no", "cells")),
         "block_page_ref": block.select(*keys, F.posexplode("location.page_refs").alias("ref_no", "page_ref")),
+        "block_warning": _elements(block, "table_quality.warnings", keys, "warning"),
+        "block_flag": _elements(block, "table_quality.flags", keys, "flag"),
+        "block_extraction_warning": _elements(block, "extraction.warnings", keys, "warning"),
     }
 
 

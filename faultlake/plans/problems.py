@@ -48,8 +48,43 @@ def p5_shapes(spark: SparkSession, sf: str) -> DataFrame:
     return nested.shape_counts(table(spark, sf, "dtc_records"), table(spark, sf, "code_records"))
 
 
+#: Queries of flat tables: source, table and columns.
+FLAT = {
+    "p5_records": ("dtc", "record", "record_id", "document_id", "record_type", "title", "start_pdf_page", "end_pdf_page", "section_code", "extraction_status", "extraction_page_ref_confidence"),
+    "p5_record_codes": ("dtc", "record_code", "record_id", "no", "code"),
+    "p5_record_warnings": ("dtc", "record_warning", "record_id", "no", "warning"),
+    "p5_record_page_refs": ("dtc", "page_ref", "record_id", "ref_no", "page_ref"),
+    "p5_sections_typed": ("dtc", "section_typed", "record_id", "pos", "section_id", "heading", "has_type_variants"),
+    "p5_sections_text": ("dtc", "section_text", "record_id", "pos", "section_id", "heading", "cleaned_text"),
+    "p5_section_markers": ("dtc", "section_marker", "record_id", "pos", "no", "marker"),
+    "p5_tables_grid": ("dtc", "table_grid", "record_id", "pos", "table_id", "section_link", "extraction_confidence", "extraction_partial"),
+    "p5_tables_ragged": ("dtc", "table_ragged", "record_id", "pos", "table_id", "section_link", "extraction_header_rows_hint"),
+    "p5_tables_empty": ("dtc", "table_empty", "record_id", "pos", "table_id", "section_link"),
+    "p5_table_page_refs": ("dtc", "table_page_ref", "record_id", "pos", "no", "page_ref"),
+    "p5_table_flags": ("dtc", "table_flag", "record_id", "pos", "no", "flag"),
+    "p5_group_tables": ("dtc", "group_table", "record_id", "group_pos", "ref_no", "table_id"),
+    "p5_groups_many": ("dtc", "group_many", "record_id", "pos", "group_id", "tables_link"),
+    "p5_images_captioned": ("dtc", "image_captioned", "record_id", "pos", "image_id", "caption", "section_link"),
+    "p5_images_plain": ("dtc", "image_plain", "record_id", "pos", "image_id", "image_path", "section_link"),
+    "p5_code_records": ("code", "record", "record_id", "document_id", "record_type", "title", "start_pdf_page", "section_ref", "extraction_status", "extraction_ocr_used"),
+    "p5_code_warnings": ("code", "record_warning", "record_id", "no", "warning"),
+    "p5_identifiers": ("code", "identifier", "record_id", "pos", "type", "value", "confidence"),
+    "p5_code_page_refs": ("code", "page_ref", "record_id", "ref_no", "page_ref"),
+    "p5_blocks_text": ("code", "block_text", "record_id", "pos", "block_id", "page_link", "text"),
+    "p5_blocks_table": ("code", "block_table", "record_id", "pos", "block_id", "page_link", "table_quality_status", "table_quality_confidence"),
+    "p5_blocks_image": ("code", "block_image", "record_id", "pos", "block_id", "image_id", "path", "caption", "pdf_page"),
+    "p5_blocks_mixed": ("code", "block_mixed", "record_id", "pos", "block_id", "text", "image_id", "path", "caption", "table_quality_status"),
+    "p5_blocks_empty": ("code", "block_empty", "record_id", "pos", "block_id", "extraction_status"),
+    "p5_block_rows": ("code", "table_row", "record_id", "pos", "row_no", "size(cells) as n_cells"),
+    "p5_block_page_refs": ("code", "block_page_ref", "record_id", "pos", "ref_no", "page_ref"),
+    "p5_block_warnings": ("code", "block_warning", "record_id", "pos", "no", "warning"),
+    "p5_block_flags": ("code", "block_flag", "record_id", "pos", "no", "flag"),
+    "p5_block_extraction_warnings": ("code", "block_extraction_warning", "record_id", "pos", "no", "warning"),
+}
+
 QUERIES = {f.__name__: f for f in (p2_found, p2_table, p2_failed_casts, p5_found, p5_links, p5_shapes)} | {
-    "p5_sections": p5_sections, "p5_tables": p5_tables, "p5_table_rows": p5_table_rows, "p5_groups": p5_groups, "p5_images": p5_images, "p5_blocks": p5_blocks}
+    "p5_sections": p5_sections, "p5_tables": p5_tables, "p5_table_rows": p5_table_rows, "p5_groups": p5_groups, "p5_images": p5_images, "p5_blocks": p5_blocks} | {
+    name: _flat(*spec) for name, spec in FLAT.items()}
 
 _DTC = "d as (select * from dtc_records where record_id is not null qualify row_number() over (partition by record_id order by loaded_at) = 1)"
 _CODE = "c as (select * from code_records where record_id is not null qualify row_number() over (partition by record_id order by loaded_at) = 1)"
@@ -90,3 +125,67 @@ SQL = {
  case when coalesce(x.text, '') <> '' then 1 else 0 end as t, case when coalesce(len(list_filter(flatten(x.raw_rows), lambda v: coalesce(v, '') <> '')), 0) > 0 then 1 else 0 end as r,
  case when coalesce(x.image_ref.image_id, '') || coalesce(x.image_ref.path, '') || coalesce(x.image_ref.caption, '') <> '' then 1 else 0 end as i from {_child('c', 'content_blocks')})""",
 }
+
+
+def _list(cte: str, array: str, name: str, number: str = "no", start: int = 1) -> str:
+    """Members of an array of a record with their places."""
+    return f"select record_id, cast(generate_subscripts({array}, 1) - {1 - start} as integer) as {number}, unnest({array}) as {name} from {cte}"
+
+
+def _inner(cte: str, array: str, path: str, name: str, number: str = "no", start: int = 1, pos: str = "pos") -> str:
+    """Members of an array of a child object with the places of both."""
+    return f"select record_id, cast(pos as integer) as {pos}, cast(generate_subscripts(a, 1) - {1 - start} as integer) as {number}, unnest(a) as {name} from (select record_id, pos, x.{path} as a from {_child(cte, array)})"
+
+
+_LINK = _state(_n("sections", "section_id", "x.section_id"), "x.section_id")
+_GRID = """case when coalesce(len(list_filter(flatten(x.raw_rows), lambda v: coalesce(v, '') <> '')), 0) = 0 then 'empty'
+ when len(list_distinct(list_transform(x.raw_rows, lambda r: coalesce(len(r), -1)))) = 1 then 'grid' else 'ragged' end"""
+_SECTION_KIND = """case when len(list_filter(x.type_markers_detected, lambda m: m is not null)) > 0 then 'typed' when coalesce(x.cleaned_text, '') <> '' then 'text' when coalesce(x.heading, '') <> '' then 'heading' else 'empty' end"""
+_IMAGE_KIND = "case when coalesce(x.caption, '') <> '' then 'captioned' when coalesce(x.image_path, '') <> '' then 'plain' else 'empty' end"
+_BLOCK_KIND = f"""(select *, {_VARIANT} as variant from (select *, case when coalesce(x.text, '') <> '' then 1 else 0 end as t, case when coalesce(len(list_filter(flatten(x.raw_rows), lambda v: coalesce(v, '') <> '')), 0) > 0 then 1 else 0 end as r,
+ case when coalesce(x.image_ref.image_id, '') || coalesce(x.image_ref.path, '') || coalesce(x.image_ref.caption, '') <> '' then 1 else 0 end as i from {_child('c', 'content_blocks')}))"""
+_POS = "record_id, cast(pos as integer) as pos"
+
+
+def _block(variant: str, columns: str) -> str:
+    return f"with {_CODE} select {_POS}, x.block_id as block_id, {columns} from {_BLOCK_KIND} where variant = '{variant}'"
+
+
+_IMAGE = "x.image_ref.image_id as image_id, x.image_ref.path as path, x.image_ref.caption as caption"
+SQL |= {
+    "p5_records": f"with {_DTC} select record_id, document_id, record_type, title, location.start_pdf_page as start_pdf_page, location.end_pdf_page as end_pdf_page, location.section_code as section_code, extraction.status as extraction_status, extraction.page_ref_confidence as extraction_page_ref_confidence from d",
+    "p5_record_codes": f"with {_DTC} {_list('d', 'codes', 'code')}",
+    "p5_record_warnings": f"with {_DTC} {_list('d', 'extraction.warnings', 'warning')}",
+    "p5_record_page_refs": f"with {_DTC} {_list('d', 'location.page_refs', 'page_ref', 'ref_no', 0)}",
+    "p5_sections_typed": f"with {_DTC} select {_POS}, x.section_id as section_id, x.heading as heading, x.has_type_variants as has_type_variants from {_child('d', 'sections')} where {_SECTION_KIND} = 'typed'",
+    "p5_sections_text": f"with {_DTC} select {_POS}, x.section_id as section_id, x.heading as heading, x.cleaned_text as cleaned_text from {_child('d', 'sections')} where {_SECTION_KIND} = 'text'",
+    "p5_section_markers": f"with {_DTC} {_inner('d', 'sections', 'type_markers_detected', 'marker')}",
+    "p5_tables_grid": f"with {_DTC} select {_POS}, x.table_id as table_id, {_LINK} as section_link, x.extraction.confidence as extraction_confidence, x.extraction.partial as extraction_partial from {_child('d', 'tables')} where {_GRID} = 'grid'",
+    "p5_tables_ragged": f"with {_DTC} select {_POS}, x.table_id as table_id, {_LINK} as section_link, x.extraction.header_rows_hint as extraction_header_rows_hint from {_child('d', 'tables')} where {_GRID} = 'ragged'",
+    "p5_tables_empty": f"with {_DTC} select {_POS}, x.table_id as table_id, {_LINK} as section_link from {_child('d', 'tables')} where {_GRID} = 'empty'",
+    "p5_table_page_refs": f"with {_DTC} {_inner('d', 'tables', 'page_refs', 'page_ref')}",
+    "p5_table_flags": f"with {_DTC} {_inner('d', 'tables', 'extraction.quality_flags', 'flag')}",
+    "p5_group_tables": f"with {_DTC} {_inner('d', 'table_groups', 'source_table_ids', 'table_id', 'ref_no', 0, 'group_pos')}",
+    "p5_groups_many": f"with {_DTC} select {_POS}, x.group_id as group_id, {_GROUP_STATE} as tables_link from {_child('d', 'table_groups')} where len(list_filter(x.source_table_ids, lambda q: q is not null)) > 1",
+    "p5_images_captioned": f"with {_DTC} select {_POS}, x.image_id as image_id, x.caption as caption, {_LINK} as section_link from {_child('d', 'images')} where {_IMAGE_KIND} = 'captioned'",
+    "p5_images_plain": f"with {_DTC} select {_POS}, x.image_id as image_id, x.image_path as image_path, {_LINK} as section_link from {_child('d', 'images')} where {_IMAGE_KIND} = 'plain'",
+    "p5_code_records": f"with {_CODE} select record_id, document_id, record_type, title, location.start_pdf_page as start_pdf_page, location.section_ref as section_ref, extraction.status as extraction_status, extraction.ocr_used as extraction_ocr_used from c",
+    "p5_code_warnings": f"with {_CODE} {_list('c', 'extraction.warnings', 'warning')}",
+    "p5_identifiers": f"with {_CODE} select {_POS}, x.type as type, x.value as value, x.confidence as confidence from {_child('c', 'identifiers')}",
+    "p5_code_page_refs": f"with {_CODE} {_list('c', 'location.page_refs', 'page_ref', 'ref_no', 0)}",
+    "p5_blocks_text": _block("text", f"{_BLOCK_STATE} as page_link, x.text as text"),
+    "p5_blocks_table": _block("table", f"{_BLOCK_STATE} as page_link, x.table_quality.status as table_quality_status, x.table_quality.confidence as table_quality_confidence"),
+    "p5_blocks_image": _block("image", f"{_IMAGE}, x.image_ref.pdf_page as pdf_page"),
+    "p5_blocks_mixed": _block("mixed", f"x.text as text, {_IMAGE}, x.table_quality.status as table_quality_status"),
+    "p5_blocks_empty": _block("empty", "x.extraction.status as extraction_status"),
+    "p5_block_rows": f"with {_CODE} select record_id, pos, row_no, cast(len(r) as integer) as n_cells from ({_inner('c', 'content_blocks', 'raw_rows', 'r', 'row_no', 0)})",
+    "p5_block_page_refs": f"with {_CODE} {_inner('c', 'content_blocks', 'location.page_refs', 'page_ref', 'ref_no', 0)}",
+    "p5_block_warnings": f"with {_CODE} {_inner('c', 'content_blocks', 'table_quality.warnings', 'warning')}",
+    "p5_block_flags": f"with {_CODE} {_inner('c', 'content_blocks', 'table_quality.flags', 'flag')}",
+    "p5_block_extraction_warnings": f"with {_CODE} {_inner('c', 'content_blocks', 'extraction.warnings', 'warning')}",
+    # every kind of object by variant and link, from the same restatements
+    "p5_links": f"""with {_DTC}, {_CODE} select child_kind, variant, link, count(*) as n from (
+ select 'table' as child_kind, {_GRID} as variant, {_LINK} as link from {_child('d', 'tables')} union all select 'image', {_IMAGE_KIND}, {_LINK} from {_child('d', 'images')}
+ union all select 'group', case when coalesce(len(list_filter(x.source_table_ids, lambda q: q is not null)), 0) > 1 then 'many' when len(list_filter(x.source_table_ids, lambda q: q is not null)) = 1 then 'single' else 'empty' end, {_GROUP_STATE} from {_child('d', 'table_groups')}
+ union all select 'block', variant, {_BLOCK_STATE} from {_BLOCK_KIND}) group by 1, 2, 3""",
+}

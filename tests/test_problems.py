@@ -112,7 +112,10 @@ def test_broken_links(spark):
     got = sorted(tuple(r) for r in N.broken_links(dtc, code).collect())
     assert got == [("c1", "block", 2), ("c2", "block", 1), ("r1", "group", 2), ("r1", "group", 3), ("r1", "image", 2), ("r1", "table", 2), ("r1", "table", 4), ("r3", "table", 1)]
     flat = {n: t.count() for n, t in N.dtc_tables(dtc).items()}
-    assert flat == {"record": 3, "section": 5, "table": 6, "table_row": 10, "table_group": 5, "group_table": 5, "image": 2, "page_ref": 1}
+    wanted = {"record": 3, "section": 5, "table": 6, "table_row": 10, "table_group": 5, "group_table": 5, "image": 2, "page_ref": 1}
+    assert {n: flat[n] for n in wanted} == wanted
+    for kind, whole in (("section", "section"), ("table", "table"), ("image", "image"), ("group", "table_group")):  # each object is in one variant table
+        assert sum(flat[f"{kind}_{v}"] for v, _ in N.dtc_kinds()[kind].variants) == flat[whole]
     assert {n: t.count() for n, t in N.code_tables(code).items()}["block"] == 7
     variants = {r.variant for r in N.code_tables(spark.createDataFrame([("c", "d", None, None, None, None, [block([], "t"), block([], None, [["x"]]), block([], None, [[""], None], ("i", None, None, 1)), block([], "t", [["x"]]), block([], "")], None)], CODE))["block"].collect()}
     assert variants == {"text", "table", "image", "mixed", "empty"}
