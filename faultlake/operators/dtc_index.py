@@ -2,7 +2,8 @@
 
 Joins are by document or page plus a band, so Spark uses hash or sort-merge joins with the band as the
 residual; order-dependent rules run as folds over arrays sorted by an explicit ordinal, one array for each table of a page.
-Ties are always broken by the ordinal. Codes without a page are left out.
+Ties are always broken by the ordinal. Codes without a page are left out. A reference or page means one of its own manual: tables
+of several manuals have a ``doc`` column, which is part of every key; tables of one manual may leave it out.
 """
 
 from __future__ import annotations
@@ -24,6 +25,11 @@ STRICT_HEADINGS = tuple(h for h in HEADINGS if h not in AMBIGUOUS)
 ROW_BAND, LINK_BAND, BLOCK_GAP, LINE_BAND = 4.0, 20.0, 40.0, 3.0
 
 
+def _doc(table: DataFrame) -> list[str]:
+    """The manual as part of a key, where the table has several."""
+    return ["doc"] if "doc" in table.columns else []
+
+
 def mentions_index(text: Column, headings: tuple[str, ...] = HEADINGS) -> Column:
     """Cheap test before anything else is read from a page."""
     low = F.lower(text)
@@ -121,22 +127,25 @@ def resolve_page(matches: DataFrame, footer_map: DataFrame, drop_unresolved: boo
     exact. Where the map fails too, the mismatched link is kept unless ``drop_unresolved``.
     """
     mismatch = F.col("ref").isNotNull() & F.col("link_ref").isNotNull() & (F.upper("ref") != F.upper("link_ref"))
-    joined = matches.join(footer_map.select(F.col("page_ref").alias("ref"), F.col("page").alias("_mapped")), "ref", "left")
+    doc = _doc(matches)
+    joined = matches.join(footer_map.select(*doc, F.col("page_ref").alias("ref"), F.col("page").alias("_mapped")), [*doc, "ref"], "left")
     page = F.when(F.col("link_page").isNull(), F.col("_mapped")).when(mismatch, F.coalesce("_mapped", F.lit(None).cast("int") if drop_unresolved else F.col("link_page"))).otherwise(F.col("link_page"))
     return joined.select(*matches.columns, page.alias("page"))
 
 
 def merge_groups_with_links(rows: DataFrame, links: DataFrame, footer_map: DataFrame) -> DataFrame:
-    """Rows of an index table with the pages of their reference groups: (table_id, row_no, code, page, ref).
+    """Rows of an index table with the pages of their reference groups: ([doc,] table_id, row_no, code, page, ref).
 
     A row with a reference opens a group and takes the next unused link; links that lead to the same place are
     used up with it. A link whose printed reference differs is left for the group that owns it, and the group goes to the
     footer map. Rows without reference inherit page and reference. One ordered fold for each table over its own rows and links.
     """
-    mapped = rows.join(footer_map.select(F.col("page_ref").alias("ref"), F.col("page").alias("mapped")), "ref", "left")
-    r = mapped.groupBy("table_id").agg(F.array_sort(F.collect_list(F.struct("row_no", "code", "has_ref", "ref", "mapped"))).alias("rows"))
-    k = links.groupBy("table_id").agg(F.array_sort(F.collect_list(F.struct("y0", "ord", "link_ref", "link_page", "dest"))).alias("links"))
-    both = r.join(k, "table_id", "left").withColumn("links", F.coalesce("links", F.array().cast(k.schema["links"].dataType)))
+    doc = _doc(rows)
+    key = [*doc, "table_id"]
+    mapped = rows.join(footer_map.select(*doc, F.col("page_ref").alias("ref"), F.col("page").alias("mapped")), [*doc, "ref"], "left")
+    r = mapped.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("row_no", "code", "has_ref", "ref", "mapped"))).alias("rows"))
+    k = links.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("y0", "ord", "link_ref", "link_page", "dest"))).alias("links"))
+    both = r.join(k, key, "left").withColumn("links", F.coalesce("links", F.array().cast(k.schema["links"].dataType)))
     state = F.struct(F.lit(0).alias("next"), F.lit(None).cast("int").alias("page"), F.lit(None).cast("string").alias("ref"),
                      F.array().cast("array<struct<row_no:bigint,code:string,page:int,ref:string>>").alias("out"))
 
@@ -156,8 +165,8 @@ def merge_groups_with_links(rows: DataFrame, links: DataFrame, footer_map: DataF
         row = F.struct(x["row_no"].cast("bigint").alias("row_no"), x["code"].alias("code"), page.alias("page"), ref.alias("ref"))
         return F.struct(after.alias("next"), page.alias("page"), ref.alias("ref"), F.concat(s["out"], F.array(row)).alias("out"))
 
-    done = both.select("table_id", F.aggregate("rows", state, step, lambda s: s["out"]).alias("out"))
-    return done.select("table_id", F.explode("out").alias("o")).select("table_id", "o.*").where("page is not null")
+    done = both.select(*key, F.aggregate("rows", state, step, lambda s: s["out"]).alias("out"))
+    return done.select(*key, F.explode("out").alias("o")).select(*key, "o.*").where("page is not null")
 
 
 def carry_reference(rows: DataFrame, group: str, order: str) -> DataFrame:
@@ -202,24 +211,30 @@ def index_runs(pages: DataFrame) -> DataFrame:
 
 
 def codes_by_page(index: DataFrame) -> DataFrame:
-    """(page, codes, page_ref): distinct codes in index order and the first claimed reference of each page."""
-    first = index.groupBy("page", "code").agg(F.min("seq").alias("seq"))
-    codes = first.groupBy("page").agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", "code"))), lambda x: x["code"]).alias("codes"))
-    refs = index.groupBy("page").agg(F.min_by(F.col("page_ref"), F.when(F.col("page_ref").isNotNull(), F.col("seq"))).alias("page_ref"))
-    return codes.join(refs, "page")
+    """([doc,] page, codes, page_ref): distinct codes in index order and the first claimed reference of each page."""
+    key = [*_doc(index), "page"]
+    first = index.groupBy(*key, "code").agg(F.min("seq").alias("seq"))
+    codes = first.groupBy(*key).agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", "code"))), lambda x: x["code"]).alias("codes"))
+    refs = index.groupBy(*key).agg(F.min_by(F.col("page_ref"), F.when(F.col("page_ref").isNotNull(), F.col("seq"))).alias("page_ref"))
+    return codes.join(refs, key)
 
 
 def pages_by_code(index: DataFrame) -> DataFrame:
-    """(code, pages, page_refs, title): distinct pages in order with their references, title of the first mention."""
-    once = index.groupBy("code", "page").agg(F.min(F.struct("seq", "page_ref")).alias("f"))
-    lists = once.groupBy("code").agg(F.array_sort(F.collect_list(F.struct(F.col("f.seq").alias("seq"), "page", F.col("f.page_ref").alias("page_ref")))).alias("x"))
-    titles = index.groupBy("code").agg(F.min_by("title", "seq").alias("title"))
-    return lists.join(titles, "code").select("code", F.transform("x", lambda p: p["page"]).alias("pages"), F.transform("x", lambda p: p["page_ref"]).alias("page_refs"), "title")
+    """([doc,] code, pages, page_refs, title): distinct pages in order with their references, title of the first mention."""
+    key = [*_doc(index), "code"]
+    once = index.groupBy(*key, "page").agg(F.min(F.struct("seq", "page_ref")).alias("f"), F.min(F.struct("seq", "title")).alias("t"))
+    lists = once.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(F.col("f.seq").alias("seq"), "page", F.col("f.page_ref").alias("page_ref")))).alias("x"), F.min("t").alias("t"))
+    return lists.select(*key, F.transform("x", lambda p: p["page"]).alias("pages"), F.transform("x", lambda p: p["page_ref"]).alias("page_refs"), F.col("t.title").alias("title"))
+
+
+def union_of_pages(index: DataFrame) -> DataFrame:
+    """([doc,] code, page, seq): what the index pages list, a repeated code and page once, at its first place."""
+    return index.groupBy(*_doc(index), "code", "page").agg(F.min("seq").alias("seq"))
 
 
 def footer_map(pages: DataFrame) -> DataFrame:
-    """(page_ref, page): the last page that prints a reference."""
-    return pages.where("page_ref is not null").groupBy("page_ref").agg(F.max("page").alias("page"))
+    """([doc,] page_ref, page): the last page that prints a reference."""
+    return pages.where("page_ref is not null").groupBy(*_doc(pages), "page_ref").agg(F.max("page").alias("page"))
 
 
 def bookmark_pages(toc: DataFrame, doc: str = "doc") -> DataFrame:

@@ -75,8 +75,8 @@ def is_blob_row(row: Column) -> Column:
 
 
 def is_image_box(rows: Column) -> Column:
-    """Nothing but image ids, dots and empty cells, and at least one id."""
-    cells = F.transform(F.flatten(rows), lambda c: T.trim_ws(F.coalesce(c, F.lit(""))))
+    """Nothing but image ids, dots and empty cells, and at least one id; null rows hold nothing."""
+    cells = F.transform(F.flatten(F.filter(rows, lambda r: r.isNotNull())), lambda c: T.trim_ws(F.coalesce(c, F.lit(""))))
     return F.forall(cells, lambda c: c.isin("", ".") | c.rlike(T.IMAGE_ID)) & F.exists(cells, lambda c: c.rlike(T.IMAGE_ID))
 
 
@@ -230,8 +230,9 @@ def rebuild(words: DataFrame, group: str) -> DataFrame:
 
 
 def fill_share(tables: DataFrame) -> DataFrame:
-    """Tables with ``filled_share``, the share of rows at least half filled, and ``accepted`` (half of the rows or more)."""
-    rows = F.transform("rows", lambda r: (F.size(F.filter(r, lambda c: F.coalesce(c, F.lit("")) != "")) >= F.greatest(F.lit(1), F.floor(F.size(r) / 2))).cast("int"))
+    """Tables with ``filled_share``, the share of rows at least half filled (null and empty rows are not), and ``accepted`` (half of the rows or more)."""
+    filled = lambda r: F.coalesce(F.size(F.filter(r, lambda c: F.coalesce(c, F.lit("")) != "")) >= F.greatest(F.lit(1), F.floor(F.size(r) / 2)), F.lit(False))
+    rows = F.transform("rows", lambda r: filled(r).cast("int"))
     share = F.aggregate(rows, F.lit(0), lambda a, x: a + x) / F.greatest(F.size("rows"), F.lit(1))
     return tables.withColumn("filled_share", share).withColumn("accepted", share >= 0.5)
 

@@ -1,4 +1,7 @@
-"""Relations derived from the test tables, in SQL that Spark and DuckDB both run; they feed the operators of manuals."""
+"""Relations derived from whole test tables, in SQL that Spark and DuckDB both run; they feed the operators of manuals.
+
+Keys grow with the data: 500 orders make a manual, 15 a page with its words, links and codes, 100 a table of cells.
+"""
 
 from __future__ import annotations
 
@@ -9,41 +12,55 @@ from faultlake.session import table
 #: Lines of an order are not unique by number alone.
 KEY = "((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey % 100000) * 10000 + l_suppkey % 10000"
 HEX = "lpad(hex(l_partkey), 4, '0')"
+#: Spark's text and DuckDB's where the two differ.
+DIALECT = (
+    (HEX, "printf('%04X', l_partkey)"),
+    (" div ", " // "),
+    ("posexplode(split(text, '[ \\n]+')) as (ord, text)", "unnest(string_split_regex(text, '[ \\n]+')) as text, generate_subscripts(string_split_regex(text, '[ \\n]+'), 1) - 1 as ord"),
+)
+MANUAL, PAGE = "cast(l_orderkey div 500 as int)", "cast(l_orderkey div 15 as int)"
 DERIVED = {
-    "dtc_index": f"""select {KEY} as seq, substr('PBCU', cast(l_partkey % 4 as int) + 1, 1) || {HEX} as code,
+    "dtc_index": f"""select {MANUAL} as doc, {KEY} as seq, substr('PBCU', cast(l_partkey % 4 as int) + 1, 1) || {HEX} as code,
  cast(l_orderkey % 500 + 1 as int) as page, case when l_orderkey % 5 > 0 then 'EVB-' || cast(l_orderkey % 500 + 1 as varchar(9)) end as page_ref, p_name as title
  from {{lineitem}} join {{part}} on l_partkey = p_partkey""",
     "pages_seq": """select doc, cast(page as int) as page, case when o_orderkey % 37 = 0 then 'TYPE ' || cast(o_orderkey % 3 as varchar(9)) end as type_heading,
- substr('ABCDE', cast(page / 40 as int) % 5 + 1, 1) || 'VB' as prefix, o_orderkey % 29 = 0 as has_heading, o_orderkey % 4 > 0 as has_codes,
- case when o_orderkey % 7 > 0 then substr('ABCDE', cast(page / 40 as int) % 5 + 1, 1) || 'VB-' || cast(page as varchar(9)) else 'no label' end as footer,
+ substr('ABCDE', cast(page div 40 as int) % 5 + 1, 1) || 'VB' as prefix, o_orderkey % 29 = 0 as has_heading, o_orderkey % 4 > 0 as has_codes,
+ case when o_orderkey % 7 > 0 then substr('ABCDE', cast(page div 40 as int) % 5 + 1, 1) || 'VB-' || cast(page as varchar(9)) else 'no label' end as footer,
  'Header P' || cast(o_orderkey % 9 as varchar(9)) || 'A0D of ' || o_orderpriority as header, o_orderpriority as text
- from (select *, cast(o_custkey % 20 as int) as doc, row_number() over (partition by o_custkey % 20 order by o_orderkey) as page from {orders}) x""",
-    "cells": """select cast(l_orderkey % 50 as int) as tbl, cast(l_linenumber % 4 as int) as col,
- cast(row_number() over (partition by l_orderkey % 50, l_linenumber % 4 order by l_orderkey, l_linenumber, l_partkey, l_suppkey) as int) as row,
+ from (select *, cast(o_orderkey div 500 as int) as doc, row_number() over (partition by o_orderkey div 500 order by o_orderkey) as page from {orders}) x""",
+    "cells": """select cast(l_orderkey div 100 as int) as tbl, cast(l_linenumber % 4 as int) as col,
+ cast(row_number() over (partition by l_orderkey div 100, l_linenumber % 4 order by l_orderkey, l_linenumber, l_partkey, l_suppkey) as int) as row,
  case when l_suppkey % 3 = 0 then '' else 'v' || cast(cast(l_quantity as int) % 3 as varchar(9)) end as value from {lineitem}""",
-    "links": f"""select cast(l_orderkey % 200 as int) as page_id, {KEY} as ord, l_quantity * 10 + l_linenumber as mid, l_suppkey as target
- from {{lineitem}} where l_orderkey % 7 = 0""",
-    "code_rows": "select cast(p_partkey % 200 as int) as page_id, p_partkey as code, cast(p_size * 10 as double) as y from {part}",
-    "words": f"""select cast(l_orderkey % 300 as int) as page_id, {KEY} as ord, cast(cast(floor(l_extendedprice) as bigint) % 500 as double) as x0,
- cast(cast(floor(l_extendedprice) as bigint) % 500 as double) + 20 as x1, cast(l_partkey % 60 as double) * 3 as y0, cast(l_partkey % 60 as double) * 3 + 10 as y1,
- 'w' || cast(l_suppkey % 7 as varchar(9)) as text from {{lineitem}} where l_linenumber = 1""",
+    "links": f"""select {PAGE} as page_id, {KEY} as ord, l_quantity * 10 + l_linenumber as mid, l_suppkey as target from {{lineitem}}""",
+    "code_rows": "select cast(p_partkey div 2 as int) as page_id, p_partkey as code, cast(p_size * 10 as double) as y from {part}",
+    # the words of the documents on lines of a dozen, with a jitter of the base line
+    "words": """select page_id, cast(ord as bigint) as ord, cast(ord % 12 as double) * 42 as x0, cast(ord % 12 as double) * 42 + length(text) * 5 as x1,
+ cast(ord div 12 as double) * 14 + cast(ord % 3 as double) as y0, cast(ord div 12 as double) * 14 + cast(ord % 3 as double) + 10 as y1, text
+ from (select cast(doc_id as int) as page_id, posexplode(split(text, '[ \\n]+')) as (ord, text) from {documents}) w where text <> ''""",
     "sections": "select cast(user_id as bigint) as doc, event_id as idx, cast(event_id % 24 as int) as page_start, 's' || cast(event_id as varchar(19)) as section_id from {events} where event_type = 'click'",
     "images": "select cast(user_id as bigint) as doc, cast(event_id % 24 as int) as page, event_id as image from {events} where event_type = 'view'",
 }
+TABLES = ("lineitem", "part", "orders", "events", "documents")
+
+
+def run(spark: SparkSession, sf: str, text: str) -> DataFrame:
+    """Spark's result of a text that names its tables in braces."""
+    return spark.sql(text, **{t: table(spark, sf, t) for t in TABLES if "{" + t + "}" in text})
 
 
 def derived(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    text = DERIVED[name]
-    used = {t: table(spark, sf, t) for t in ("lineitem", "part", "orders", "events") if "{" + t + "}" in text}
-    return spark.sql(text, **used)
+    return run(spark, sf, DERIVED[name])
+
+
+def ansi(text: str) -> str:
+    """The same text for DuckDB."""
+    for ours, theirs in DIALECT:
+        text = text.replace(ours, theirs)
+    for t in TABLES:
+        text = text.replace("{" + t + "}", t)
+    return text
 
 
 def cte(*names: str) -> str:
     """WITH clause of derived relations for DuckDB."""
-    parts = []
-    for n in names:
-        text = DERIVED[n].replace(HEX, "printf('%04X', l_partkey)")
-        for t in ("lineitem", "part", "orders", "events"):
-            text = text.replace("{" + t + "}", t)
-        parts.append(f"{n} as ({text.replace('page / 40', 'page // 40')})")
-    return "with " + ", ".join(parts) + " "
+    return "with " + ", ".join(f"{n} as ({ansi(DERIVED[n])})" for n in names) + " "

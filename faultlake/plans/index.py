@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from faultlake.operators import dtc_index as I
-from faultlake.plans.derived import KEY, cte, derived
+from faultlake.plans.derived import KEY, PAGE, ansi, cte, derived, run
 from faultlake.session import table
 
 QUERIES, SQL = {}, {}
@@ -20,27 +20,26 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-@query("agg1_codes_by_page", cte("dtc_index") + """select c.page, codes, page_ref from (select page, list(code order by seq) as codes from (select page, code, min(seq) as seq from dtc_index group by 1, 2) group by page) c
- join (select page, arg_min(page_ref, seq) filter (where page_ref is not null) as page_ref from dtc_index group by page) r on c.page = r.page""")
+@query("agg1_codes_by_page", cte("dtc_index") + """select c.doc, c.page, codes, page_ref from (select doc, page, list(code order by seq) as codes from (select doc, page, code, min(seq) as seq from dtc_index group by 1, 2, 3) group by 1, 2) c
+ join (select doc, page, arg_min(page_ref, seq) filter (where page_ref is not null) as page_ref from dtc_index group by 1, 2) r on c.doc = r.doc and c.page = r.page""")
 def agg1(spark, sf):
     return I.codes_by_page(derived(spark, sf, "dtc_index"))
 
 
-@query("agg3_pages_by_code", cte("dtc_index") + """select code, list(page order by seq) as pages, list(page_ref order by seq) as page_refs, (select arg_min(title, seq) from dtc_index d where d.code = o.code) as title
- from (select code, page, min(seq) as seq, arg_min(page_ref, seq) as page_ref, arg_min(page_ref is null, seq) as nul from (select *, coalesce(page_ref, '') as pr from dtc_index) group by 1, 2) o group by code""".replace(
-    "min(seq) as seq, arg_min(page_ref, seq) as page_ref, arg_min(page_ref is null, seq) as nul", "min(seq) as seq, nullif(arg_min(pr, seq), '') as page_ref"))
+@query("agg3_pages_by_code", cte("dtc_index") + """select doc, code, list(page order by seq) as pages, list(page_ref order by seq) as page_refs, arg_min(title, seq) as title
+ from (select doc, code, page, min(seq) as seq, nullif(arg_min(coalesce(page_ref, ''), seq), '') as page_ref, arg_min(title, seq) as title from dtc_index group by 1, 2, 3) group by 1, 2""")
 def agg3(spark, sf):
     return I.pages_by_code(derived(spark, sf, "dtc_index"))
 
 
-@query("agg4_footer_map", cte("dtc_index") + "select page_ref, max(page) as page from dtc_index where page_ref is not null group by page_ref")
+@query("agg4_footer_map", cte("dtc_index") + "select doc, page_ref, max(page) as page from dtc_index where page_ref is not null group by 1, 2")
 def agg4(spark, sf):
     return I.footer_map(derived(spark, sf, "dtc_index"))
 
 
-@query("set5_index_union", cte("dtc_index") + "select code, page, min(seq) as seq from dtc_index group by 1, 2")
+@query("set5_index_union", cte("dtc_index") + "select doc, code, page, min(seq) as seq from dtc_index group by 1, 2, 3")
 def set5(spark, sf):
-    return derived(spark, sf, "dtc_index").groupBy("code", "page").agg(F.min("seq").alias("seq"))
+    return I.union_of_pages(derived(spark, sf, "dtc_index"))
 
 
 @query("agg10_titles", """select p_brand, case when n > 0 then nullif(array_to_string(list_transform(list_filter(generate_series(1, d), lambda k: true), lambda k: w[k]), ' '), '') end as title from (
@@ -51,12 +50,17 @@ def agg10(spark, sf):
     return p.select("p_brand", I.record_title(F.col("t"), F.lit(2)).alias("title"))
 
 
-@query("agg10b_title_prefixes", """select record_id, array_to_string(list_transform(generate_series(1, 2), lambda k: w[k]), ' ') as title from (
- select record_id, string_split(title, ' ') as w from (select distinct record_id, title from code_records where title is not null and not regexp_matches(title, '\\s\\s|^\\s|\\s$') and not regexp_matches(title, '^[A-Z] ')) where len(string_split(title, ' ')) >= 2)""")
+_SQUASH = r"trim(regexp_replace({0}, '\s+', ' ', 'g'))"
+
+
+@query("agg10b_title_prefixes", f"""select record_id, nullif(case when len(w) = 1 then w[1] || ' SIDE' else w[1] || ' ' || w[2] end, '') as title from (
+ select record_id, string_split({_SQUASH.format(r"regexp_replace(title, '^[A-Z] ', '')")}, ' ') as w from (select distinct record_id, title from code_records where title is not null) where title <> '')""")
 def agg10b(spark, sf):
-    r = table(spark, sf, "code_records").where(r"title is not null and not title rlike '\\s\\s|^\\s|\\s$' and not title rlike '^[A-Z] ' and size(split(title, ' ')) >= 2").select("record_id", "title").distinct()
-    start = F.array_join(F.slice(F.split("title", " "), 1, 2), " ")
-    return r.select("record_id", I.record_title(F.array(F.concat(start, F.lit(" LEFT")), F.concat(start, F.lit(" RIGHT"))), F.lit(2)).alias("title"))
+    """Titles of two codes that share the first two words (all there is of shorter ones and a word of their own)."""
+    r = table(spark, sf, "code_records").where("title is not null and title <> ''").select("record_id", "title").distinct()
+    words = F.split(I.T.collapse_ws(F.regexp_replace("title", "^[A-Z] ", "")), " ")
+    start = F.when(F.size(words) == 1, F.concat(F.get(words, 0), F.lit("  SIDE"))).otherwise(F.array_join(F.slice(words, 1, 2), " \t"))
+    return r.select("record_id", I.record_title(F.array(F.concat(F.lit("A "), start, F.lit(" LEFT ")), F.concat(F.lit("B "), start, F.lit("  RIGHT"))), F.lit(2)).alias("title"))
 
 
 _NEAR = """select r.page_id, r.code, r.y, m.target from code_rows r left join (select c.page_id, c.code, c.y, arg_min(l.target, (abs(l.mid - c.y), l.ord)) as target
@@ -68,16 +72,16 @@ def jn1(spark, sf):
     return I.nearest_link(derived(spark, sf, "code_rows"), derived(spark, sf, "links"))
 
 
-_MATCH = """matches as (select seq, page_ref as ref, case when seq % 4 = 0 then null when seq % 4 = 1 then lower(page_ref) else 'EVB-' || cast(seq % 600 as varchar(9)) end as link_ref,
+_MATCH = """matches as (select doc, seq, page_ref as ref, case when seq % 4 = 0 then null when seq % 4 = 1 then lower(page_ref) else 'EVB-' || cast(seq % 600 as varchar(9)) end as link_ref,
  case when seq % 11 = 0 then null else cast(seq % 700 as int) end as link_page from dtc_index)"""
-_FOOT = "foot as (select page_ref, max(page) as page from dtc_index where page_ref is not null and page % 3 > 0 group by page_ref)"
-_RESOLVE = """select seq, ref, link_ref, link_page, case when link_page is null then page when ref is not null and link_ref is not null and upper(ref) <> upper(link_ref) then coalesce(page, {keep}) else link_page end as page
- from matches left join foot on page_ref = ref"""
+_FOOT = "foot as (select doc as fdoc, page_ref, max(page) as page from dtc_index where page_ref is not null and page % 3 > 0 group by 1, 2)"
+_RESOLVE = """select doc, seq, ref, link_ref, link_page, case when link_page is null then page when ref is not null and link_ref is not null and upper(ref) <> upper(link_ref) then coalesce(page, {keep}) else link_page end as page
+ from matches left join foot on doc = fdoc and page_ref = ref"""
 
 
 def _matches(spark, sf):
     ix = derived(spark, sf, "dtc_index")
-    m = ix.select("seq", F.col("page_ref").alias("ref"), F.expr("case when seq % 4 = 0 then null when seq % 4 = 1 then lower(page_ref) else 'EVB-' || cast(seq % 600 as string) end as link_ref"),
+    m = ix.select("doc", "seq", F.col("page_ref").alias("ref"), F.expr("case when seq % 4 = 0 then null when seq % 4 = 1 then lower(page_ref) else 'EVB-' || cast(seq % 600 as string) end as link_ref"),
                   F.expr("case when seq % 11 = 0 then null else cast(seq % 700 as int) end as link_page"))
     return m, I.footer_map(ix.where("page % 3 > 0"))
 
@@ -92,25 +96,26 @@ def jn2b(spark, sf):
     return I.resolve_page(*_matches(spark, sf), drop_unresolved=True)
 
 
-#: Forty orders make one index table.
-_TABLE = "cast({0} div 400000000000 as int) as table_id"
+#: Forty orders make one index table, 500 a manual.
+def _table(key: str) -> tuple[str, str]:
+    return f"cast({key} div 10000000000 div 500 as int) as doc", f"cast({key} div 400000000000 as int) as table_id"
 
 
 @query("jn3_group_link_merge")
 def jn3(spark, sf):
     """Index rows of each page against its links in order; the fold has no SQL form and is tested by brute force."""
-    rows = derived(spark, sf, "dtc_index").select(F.expr(_TABLE.format("seq")), F.col("seq").alias("row_no"), "code", (F.col("seq") % 3 == 0).alias("has_ref"),
+    rows = derived(spark, sf, "dtc_index").drop("doc").selectExpr("*", *_table("seq")).select("doc", "table_id", F.col("seq").alias("row_no"), "code", (F.col("seq") % 3 == 0).alias("has_ref"),
                                                    F.when(F.col("seq") % 3 == 0, F.concat(F.lit("EVB-"), (F.col("seq") % 500).cast("string"))).alias("ref"))
-    links = derived(spark, sf, "links").select(F.expr(_TABLE.format("ord")), F.col("mid").alias("y0"), "ord", F.concat(F.lit("evb-"), (F.col("ord") % 500).cast("string")).alias("link_ref"),
+    links = derived(spark, sf, "links").selectExpr("*", *_table("ord")).select("doc", "table_id", F.col("mid").alias("y0"), "ord", F.concat(F.lit("evb-"), (F.col("ord") % 500).cast("string")).alias("link_ref"),
                                                (F.col("target") % 90 + 1).cast("int").alias("link_page"), F.col("target").cast("string").alias("dest"))
     foot = I.footer_map(derived(spark, sf, "dtc_index").where("page % 3 > 0"))
     return I.merge_groups_with_links(rows, links, foot)
 
 
 @query("win2_carried_references", cte("dtc_index") + """select tbl, row_no, grp_ref as group_ref, grp_page as group_page, code from (select *, max(ref) over (partition by tbl, grp) as grp_ref, max(case when ref is not null then page end) over (partition by tbl, grp) as grp_page
- from (select *, count(ref) over (partition by tbl order by row_no rows between unbounded preceding and current row) as grp from (select seq % 400 as tbl, seq as row_no, code, page, case when seq % 5 < 2 then page_ref end as ref from dtc_index))) where grp > 0 and grp_page is not null""")
+ from (select *, count(ref) over (partition by tbl order by row_no rows between unbounded preceding and current row) as grp from (select seq // 150000000000 as tbl, seq as row_no, code, page, case when seq % 5 < 2 then page_ref end as ref from dtc_index))) where grp > 0 and grp_page is not null""")
 def win2(spark, sf):
-    rows = derived(spark, sf, "dtc_index").select((F.col("seq") % 400).alias("tbl"), F.col("seq").alias("row_no"), "code", "page", F.expr("case when seq % 5 < 2 then page_ref end as ref"))
+    rows = derived(spark, sf, "dtc_index").select(F.expr("seq div 150000000000 as tbl"), F.col("seq").alias("row_no"), "code", "page", F.expr("case when seq % 5 < 2 then page_ref end as ref"))
     return I.carry_reference(rows, "tbl", "row_no").select("tbl", "row_no", "group_ref", "group_page", "code")
 
 
@@ -138,26 +143,26 @@ def flt4(spark, sf):
     return d.where(I.mentions_index(F.concat("text", F.expr("case when doc_id % 9 = 0 then ' DTC Index' else '' end")))).select("doc_id")
 
 
-_BLOCKS = f"""select cast(l_orderkey % 300 as int) as page_id, {KEY} as ord, l_quantity as y0, l_quantity + 12 as y1,
+_BLOCKS = f"""select {PAGE} as page_id, {KEY} as ord, l_quantity as y0, l_quantity + 12 as y1,
  case when l_partkey % 40 = 0 then '  DTC Index ' || chr(10) || 'x' when l_partkey % 40 = 1 then 'DTC and Display Item' when l_partkey % 40 = 2 then 'dtc only' else 'block' end as text from {{lineitem}}"""
 _HIT = """select page_id, arg_min(y, (rank, ord)) as y from (select page_id, ord, case when trim(split_part(lower(trim(text)), chr(10), 1)) = 'dtc index' then 0 when contains(lower(text), 'dtc') and contains(lower(text), 'display item') then 1 end as rank,
  case when trim(split_part(lower(trim(text)), chr(10), 1)) = 'dtc index' then y1 else y0 end as y from blocks) where rank is not null group by page_id"""
 
 
-@query("flt5_heading_y", "with blocks as (" + _BLOCKS.replace("{lineitem}", "lineitem") + ") " + _HIT)
+@query("flt5_heading_y", "with blocks as (" + ansi(_BLOCKS) + ") " + _HIT)
 def flt5(spark, sf):
-    return I.heading_y(spark.sql(_BLOCKS, lineitem=table(spark, sf, "lineitem")))
+    return I.heading_y(run(spark, sf, _BLOCKS))
 
 
-@query("flt6_index_table", "with blocks as (" + _BLOCKS.replace("{lineitem}", "lineitem") + "), hits as (" + _HIT + f"""), tabs as (select cast(l_orderkey % 300 as int) as page_id, {KEY} as ord, l_quantity as y0,
- case l_suppkey % 4 when 0 then 'reference' when 1 then 'action' when 2 then 'item' else 'malfunction' end as h from lineitem where l_linenumber <= 2)
+@query("flt6_index_table", "with blocks as (" + ansi(_BLOCKS) + "), hits as (" + _HIT + f"""), tabs as (select {ansi(PAGE)} as page_id, {KEY} as ord, l_quantity as y0,
+ case l_suppkey % 4 when 0 then 'reference' when 1 then 'action' when 2 then 'item' else 'malfunction' end as h from lineitem)
  select page_id, coalesce(r, case when not regexp_matches(fh, 'description|action|malfunction|factor') then f end) as ord from (
  select t.page_id, min(case when h = 'reference' then ord end) as r, arg_min(h, ord) as fh, min(ord) as f from tabs t join hits on t.page_id = hits.page_id where y0 >= y group by 1) where r is not null or not regexp_matches(fh, 'description|action|malfunction|factor')""")
 def flt6(spark, sf):
     li = table(spark, sf, "lineitem")
-    tabs = li.where("l_linenumber <= 2").select(F.expr("cast(l_orderkey % 300 as int) as page_id"), F.expr(KEY + " as ord"), F.col("l_quantity").alias("y0"),
+    tabs = li.select(F.expr(f"{PAGE} as page_id"), F.expr(KEY + " as ord"), F.col("l_quantity").alias("y0"),
                                                F.expr("array('DTC', case l_suppkey % 4 when 0 then 'Reference' when 1 then 'Action' when 2 then 'Item' else 'Malfunction' end) as header"))
-    return I.choose_table(tabs, I.heading_y(spark.sql(_BLOCKS, lineitem=li)))
+    return I.choose_table(tabs, I.heading_y(run(spark, sf, _BLOCKS)))
 
 
 @query("flt7_table_format", "select distinct record_id, x.table_id as table_id, case when len(list_filter(x.raw_rows[1], lambda c: contains(lower(coalesce(c, '')), 'code'))) > 0 then 'A' else 'B' end as format, cast(case when coalesce(list_position(list_transform(x.raw_rows[1], lambda c: contains(lower(coalesce(c, '')), 'trigger')), true), 0) > 0 then list_position(list_transform(x.raw_rows[1], lambda c: contains(lower(coalesce(c, '')), 'trigger')), true) - 1 else len(x.raw_rows[1]) - 1 end as integer) as ref_col from (select record_id, unnest(tables) as x from dtc_records) where len(x.raw_rows) > 0")
@@ -182,9 +187,9 @@ def fn22(spark, sf):
     return I.codes_with_y(spark.sql(_CODEWORDS.replace("from words", "from {words}"), words=w))
 
 
-@query("jn13_bookmarks", "select distinct cast(o_custkey % 50 as bigint) as doc, cast(o_orderkey % 90 as int) as page from orders where o_orderkey % 6 = 0")
+@query("jn13_bookmarks", "select distinct o_orderkey // 500 as doc, cast(o_orderkey % 90 as int) as page from orders where o_orderkey % 6 = 0")
 def jn13(spark, sf):
-    toc = table(spark, sf, "orders").select(F.expr("o_custkey % 50 as doc"), F.expr("cast(o_orderkey % 90 as int) as page"), F.expr("case when o_orderkey % 6 = 0 then 'BRC DTC Index' when o_orderkey % 6 = 1 then 'Self-diagnosis results' else 'Other' end as title"))
+    toc = table(spark, sf, "orders").select(F.expr("o_orderkey div 500 as doc"), F.expr("cast(o_orderkey % 90 as int) as page"), F.expr("case when o_orderkey % 6 = 0 then 'BRC DTC Index' when o_orderkey % 6 = 1 then 'Self-diagnosis results' else 'Other' end as title"))
     return I.bookmark_pages(toc)
 
 
@@ -216,10 +221,7 @@ def agg22(spark, sf):
     return derived(spark, sf, "links").groupBy("page_id").agg((F.count("*") > 0).alias("any_link"))
 
 
-@query("jn6_index_pages", cte("dtc_index", "pages_seq") + "select p.doc, p.page, i.n from pages_seq p join (select page, count(distinct code) as n from dtc_index group by page) i on p.page = i.page")
+@query("jn6_index_pages", cte("dtc_index", "pages_seq") + "select p.doc, p.page, i.n from pages_seq p join (select doc, page, count(distinct code) as n from dtc_index group by 1, 2) i on p.doc = i.doc and p.page = i.page")
 def jn6(spark, sf):
-    i = I.codes_by_page(derived(spark, sf, "dtc_index")).select("page", F.size("codes").cast("long").alias("n"))
-    return derived(spark, sf, "pages_seq").join(i, "page").select("doc", "page", "n")
-
-
-
+    i = I.codes_by_page(derived(spark, sf, "dtc_index")).select("doc", "page", F.size("codes").cast("long").alias("n"))
+    return derived(spark, sf, "pages_seq").join(i, ["doc", "page"]).select("doc", "page", "n")

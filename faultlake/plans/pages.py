@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from faultlake.operators import pages as P
 from faultlake.operators import vehicle as V
-from faultlake.plans.derived import KEY, cte, derived
-from faultlake.session import table
+from faultlake.plans.derived import KEY, MANUAL, PAGE, ansi, cte, derived, run
+from faultlake.session import global_ordinal, table
 
 QUERIES, SQL = {}, {}
 
@@ -33,7 +33,7 @@ def win1(spark, sf):
     return _filled(spark, sf).select("doc", "page", "manual_type")
 
 
-_STARTS = "starts as (select doc, page as start_page, ['P3A0D', 'P1A0D', 'P5A0D', 'P7A0D'] as codes, prefix, manual_type as type from filled where page % 50 = 1)"
+_STARTS = "starts as (select doc, page as start_page, ['P3A0D', 'P1A0D', 'P5A0D', 'P7A0D'] as codes, prefix, manual_type as type from filled)"
 
 
 @query("win11_record_runs", cte("pages_seq") + ", " + _FILL + ", " + _STARTS + """ select doc, start_page, cast(coalesce(stop - 1, last, start_page) as integer) as end_page from (
@@ -41,7 +41,7 @@ _STARTS = "starts as (select doc, page as start_page, ['P3A0D', 'P1A0D', 'P5A0D'
  from starts s left join filled p on s.doc = p.doc and p.page > s.start_page group by 1, 2)""")
 def win11(spark, sf):
     pages = _filled(spark, sf)
-    starts = pages.where("page % 50 = 1").select("doc", F.col("page").alias("start_page"), F.array(*map(F.lit, ("P3A0D", "P1A0D", "P5A0D", "P7A0D"))).alias("codes"), "prefix", F.col("manual_type").alias("type"))
+    starts = pages.select("doc", F.col("page").alias("start_page"), F.array(*map(F.lit, ("P3A0D", "P1A0D", "P5A0D", "P7A0D"))).alias("codes"), "prefix", F.col("manual_type").alias("type"))
     return P.record_runs(starts, pages.select("doc", "page", "header", "prefix", F.col("manual_type").alias("type")))
 
 
@@ -52,29 +52,29 @@ def win12(spark, sf):
     return P.type_segments(pages)
 
 
-_BREAKS = f"select cast(l_orderkey % 300 as int) as page_id, {KEY} as ord, l_quantity * 15 as y_top, 792.0 as page_height from {{lineitem}} where l_linenumber = 2"
+_BREAKS = f"select {PAGE} as page_id, {KEY} as ord, l_quantity * 15 as y_top, 792.0 as page_height from {{lineitem}}"
 
 
-@query("win13_zones", "with breaks as (" + _BREAKS.replace("{lineitem}", "lineitem").replace("792.0", "cast(792 as double)") + ") select page_id, ord, y_top, coalesce(lead(y_top) over (partition by page_id order by y_top, ord), page_height) as zone_end from breaks")
+@query("win13_zones", "with breaks as (" + ansi(_BREAKS).replace("792.0", "cast(792 as double)") + ") select page_id, ord, y_top, coalesce(lead(y_top) over (partition by page_id order by y_top, ord), page_height) as zone_end from breaks")
 def win13(spark, sf):
-    b = spark.sql(_BREAKS, lineitem=table(spark, sf, "lineitem")).withColumn("page_height", F.lit(792.0))
+    b = run(spark, sf, _BREAKS).withColumn("page_height", F.lit(792.0))
     return P.zones(b).select("page_id", "ord", "y_top", "zone_end")
 
 
-_PARTS = f"select l_partkey % 500 as record, {KEY} as ord, case when l_suppkey % 4 = 0 then 's' || cast(l_suppkey as varchar(9)) end as section, ' t' || cast(l_linenumber as varchar(9)) || ' ' as text from {{lineitem}}"
+_PARTS = f"select {PAGE} as record, {KEY} as ord, case when l_suppkey % 4 = 0 then 's' || cast(l_suppkey as varchar(9)) end as section, ' t' || cast(l_linenumber as varchar(9)) || ' ' as text from {{lineitem}}"
 _OPEN = "opened as (select * from (select *, last_value(section ignore nulls) over (partition by record order by ord rows between unbounded preceding and current row) as open_section from parts) where open_section is not null)"
 
 
 def _opened(spark, sf):
-    return P.continue_sections(spark.sql(_PARTS, lineitem=table(spark, sf, "lineitem")))
+    return P.continue_sections(run(spark, sf, _PARTS))
 
 
-@query("win14_open_sections", "with parts as (" + _PARTS.replace("{lineitem}", "lineitem") + "), " + _OPEN + " select record, ord, open_section from opened")
+@query("win14_open_sections", "with parts as (" + ansi(_PARTS) + "), " + _OPEN + " select record, ord, open_section from opened")
 def win14(spark, sf):
     return _opened(spark, sf).select("record", "ord", "open_section")
 
 
-@query("agg9_section_texts", "with parts as (" + _PARTS.replace("{lineitem}", "lineitem") + "), " + _OPEN + " select record, open_section as section, nullif(trim(string_agg(text, chr(10) || chr(10) order by ord), ' ' || chr(10)), '') as cleaned_text from opened group by 1, 2")
+@query("agg9_section_texts", "with parts as (" + ansi(_PARTS) + "), " + _OPEN + " select record, open_section as section, nullif(trim(string_agg(text, chr(10) || chr(10) order by ord), ' ' || chr(10)), '') as cleaned_text from opened group by 1, 2")
 def agg9(spark, sf):
     o = _opened(spark, sf).select("record", F.col("open_section").alias("section"), "ord", "text")
     return P.section_texts(o)
@@ -82,12 +82,8 @@ def agg9(spark, sf):
 
 @query("win15_sequence_ids", "select record_id, 'r' || cast(row_number() over (partition by document_id order by start, record_id) as varchar) as seq_id from (select distinct record_id, document_id, location.start_pdf_page as start from dtc_records where record_id is not null)")
 def win15(spark, sf):
-    from pyspark.sql import Window as W
-
-    r = table(spark, sf, "dtc_records").where("record_id is not null").select("record_id", "document_id", F.col("location.start_pdf_page").alias("start")).distinct()
-    # a window holds the records of one manual
-    w = W.partitionBy("document_id").orderBy(F.col("start").asc_nulls_last(), "record_id")
-    return r.select("record_id", F.concat(F.lit("r"), F.row_number().over(w).cast("string")).alias("seq_id"))
+    r = table(spark, sf, "dtc_records").where("record_id is not null").select("record_id", F.coalesce("document_id", F.lit("")).alias("document_id"), F.coalesce("location.start_pdf_page", F.lit(2**31 - 1)).alias("start")).distinct()
+    return global_ordinal(r, "document_id", ["start", "record_id"], "n").select("record_id", F.concat(F.lit("r"), (F.col("n") + 1).cast("string")).alias("seq_id"))
 
 
 _LINES = "lines as (select doc_id as page_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 as ord, unnest(string_split(text, chr(10))) as text from documents)"
@@ -127,17 +123,17 @@ def jn14(spark, sf):
     return P.captions(images, spans.drop("x0", "x1", "y1"))
 
 
-_IMG = "select l_orderkey % 60 as doc, KEY as ord, l_partkey % 90 as xref, 'm' || cast(l_partkey % 70 as varchar(9)) as md5, cast(l_quantity * 20 as int) as width, cast(l_suppkey * 13 % 1500 as int) as height, 'i' || cast(KEY as varchar(30)) as name from {lineitem}".replace("KEY", KEY)
+_IMG = "select MANUAL as doc, KEY as ord, l_partkey % 90 as xref, 'm' || cast(l_partkey % 70 as varchar(9)) as md5, cast(l_quantity * 20 as int) as width, cast(l_suppkey * 13 % 1500 as int) as height, 'i' || cast(KEY as varchar(30)) as name from {lineitem}".replace("KEY", KEY).replace("MANUAL", MANUAL)
 
 
-@query("set3_image_dedup", "with im as (" + _IMG.replace("{lineitem}", "lineitem") + ") select doc, xref, ord, md5, first_value(name) over (partition by doc, md5 order by ord) as file_name from (select * from im qualify row_number() over (partition by doc, xref order by ord) = 1) where width >= 500 and height >= 500")
+@query("set3_image_dedup", "with im as (" + ansi(_IMG) + ") select doc, xref, ord, md5, first_value(name) over (partition by doc, md5 order by ord) as file_name from (select * from im qualify row_number() over (partition by doc, xref order by ord) = 1) where width >= 500 and height >= 500")
 def set3(spark, sf):
-    return P.dedup_images(spark.sql(_IMG, lineitem=table(spark, sf, "lineitem")))
+    return P.dedup_images(run(spark, sf, _IMG))
 
 
-@query("flt12_large_images", "with im as (" + _IMG.replace("{lineitem}", "lineitem") + ") select doc, ord from im where width >= 500 and height >= 500")
+@query("flt12_large_images", "with im as (" + ansi(_IMG) + ") select doc, ord from im where width >= 500 and height >= 500")
 def flt12(spark, sf):
-    return P.large_images(spark.sql(_IMG, lineitem=table(spark, sf, "lineitem"))).select("doc", "ord")
+    return P.large_images(run(spark, sf, _IMG)).select("doc", "ord")
 
 
 _CHECKED = """checked as (select doc, page, len(list_filter(['P3A0D', 'P4A0D'], lambda c: contains(upper(substr(header, 1, 300)), c))) > 0 as code_match, nullif(regexp_extract(footer, '\\b([A-Z]{1,4}-\\d+[A-Z]?)\\b', 1), '') as detected_ref,
@@ -183,10 +179,10 @@ def agg13(spark, sf):
     return P.section_codes(p).withColumnRenamed("codes", "refs")
 
 
-@query("jn5_types_of_records", cte("pages_seq") + ", " + _FILL + " select doc, page, manual_type from filled where page % 50 = 1")
+@query("jn5_types_of_records", cte("pages_seq") + ", " + _FILL + " select doc, page, manual_type from filled")
 def jn5(spark, sf):
     f = _filled(spark, sf)
-    return f.select("doc", "page").where("page % 50 = 1").join(f.select("doc", "page", "manual_type"), ["doc", "page"])
+    return f.select("doc", "page").join(f.select("doc", "page", "manual_type"), ["doc", "page"])
 
 
 @query("lim2_first_pages", cte("pages_seq") + "select doc, count(*) as n from pages_seq where page <= 5 group by doc")
@@ -199,16 +195,16 @@ def flt2(spark, sf):
     return V.is_digital(derived(spark, sf, "pages_seq").withColumn("text", F.expr("repeat(text, page % 8)")))
 
 
-@query("agg5_link_sample", cte("links") + "select page_id % 40 as doc, count(*) as n_links, true as has_links, bool_or(target % 5 = 4) as has_internal_links from links where page_id % 7 + 1 <= 5 group by 1")
+@query("agg5_link_sample", cte("links") + "select page_id // 7 as doc, count(*) as n_links, true as has_links, bool_or(target % 5 = 4) as has_internal_links from links where page_id % 7 + 1 <= 5 group by 1")
 def agg5(spark, sf):
-    return V.link_sample(derived(spark, sf, "links").select(F.expr("page_id % 40 as doc"), F.expr("page_id % 7 + 1 as page"), F.expr("target % 5 as kind")))
+    return V.link_sample(derived(spark, sf, "links").select(F.expr("page_id div 7 as doc"), F.expr("page_id % 7 + 1 as page"), F.expr("target % 5 as kind")))
 
 
-_LABELS = "select o_custkey % 700 as doc, o_orderkey as ord, case o_orderkey % 6 when 0 then 'EVB-' when 1 then 'TM-' when 2 then null else 'x' end as prefix from {orders} where o_orderkey % 5 = 0"
-_TOC = "select o_custkey % 700 as doc, cast(o_orderkey % 9 as int) as level from {orders}"
+_LABELS = "select o_orderkey div 20 as doc, o_orderkey as ord, case o_orderkey % 6 when 0 then 'EVB-' when 1 then 'TM-' when 2 then null else 'x' end as prefix from {orders}"
+_TOC = "select o_orderkey div 20 as doc, cast(o_orderkey % 9 as int) as level from {orders}"
 
 
-@query("agg6_merged_files", "with labels as (" + _LABELS.replace("{orders}", "orders") + "), toc as (" + _TOC.replace("{orders}", "orders") + """) select doc, score >= 2 as is_merged, case when score >= 3 then 'high' when score = 2 then 'medium' when score = 1 then 'low' else 'high' end as confidence,
+@query("agg6_merged_files", "with labels as (" + ansi(_LABELS) + "), toc as (" + ansi(_TOC) + """) select doc, score >= 2 as is_merged, case when score >= 3 then 'high' when score = 2 then 'medium' when score = 1 then 'low' else 'high' end as confidence,
  list_filter([case when n >= 2 then 'page labels have ' || n || ' distinct section prefixes: ' || l end, case when m >= 5 then 'TOC has ' || m || ' top-level sections' end], lambda x: x is not null) as evidence,
  list_filter([case when n = 1 then 'single section prefix in page labels: ' || l when n = 0 then 'no section-code prefixes found in page labels' end, case when m >= 2 and m < 5 then 'TOC has ' || m || ' top-level sections (weak signal)'
  when m < 2 then 'TOC has ' || m || ' top-level section(s) — no signal' end, case when score = 1 then 'weak signal — treating as single manual' end], lambda x: x is not null) as notes from (
@@ -216,8 +212,7 @@ _TOC = "select o_custkey % 700 as doc, cast(o_orderkey % 9 as int) as level from
  left join (select doc, count(*) as n, string_agg(code, ', ' order by ord) as l from (select doc, regexp_extract(prefix, '^([A-Z]{2,5})-', 1) as code, min(ord) as ord from labels where regexp_matches(prefix, '^[A-Z]{2,5}-') group by 1, 2) group by doc) a on a.doc = d.doc
  left join (select doc, count(*) filter (where level = 1) as m from toc group by doc) t on t.doc = d.doc))""")
 def agg6(spark, sf):
-    o = table(spark, sf, "orders")
-    return V.merged_verdict(spark.sql(_LABELS, orders=o), spark.sql(_TOC, orders=o))
+    return V.merged_verdict(run(spark, sf, _LABELS), run(spark, sf, _TOC))
 
 
 # Footer, foreword and title texts made of the manuals' own fields

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from faultlake.operators import tables as X
-from faultlake.plans.derived import KEY, cte, derived
+from faultlake.plans.derived import KEY, PAGE, ansi, cte, derived, run
 from faultlake.session import table
 
 QUERIES, SQL = {}, {}
@@ -69,14 +69,14 @@ def flt22(spark, sf):
     return _tables(spark, sf).where("raw_rows is not null").select("record_id", "pos", F.size(F.filter("raw_rows", X.is_blob_row)).alias("n"))
 
 
-@query("flt13_image_boxes", "with " + _TABLES + " select record_id, pos, len(list_filter(c, lambda v: v not in ('', '.') and not regexp_full_match(v, '[A-Z]{1,8}[0-9]{2,}[A-Z0-9]{0,8}'))) = 0 and len(list_filter(c, lambda v: regexp_full_match(v, '[A-Z]{1,8}[0-9]{2,}[A-Z0-9]{0,8}'))) > 0 as box from (select record_id, pos, list_transform(flatten(x.raw_rows), " + _CELL + ") as c from tabs where x.raw_rows is not null and len(list_filter(x.raw_rows, lambda r: r is null)) = 0)")
+@query("flt13_image_boxes", "with " + _TABLES + " select record_id, pos, len(list_filter(c, lambda v: v not in ('', '.') and not regexp_full_match(v, '[A-Z]{1,8}[0-9]{2,}[A-Z0-9]{0,8}'))) = 0 and len(list_filter(c, lambda v: regexp_full_match(v, '[A-Z]{1,8}[0-9]{2,}[A-Z0-9]{0,8}'))) > 0 as box from (select record_id, pos, list_transform(flatten(x.raw_rows), " + _CELL + ") as c from tabs where x.raw_rows is not null)")
 def flt13(spark, sf):
-    return _tables(spark, sf).where("raw_rows is not null and not exists(raw_rows, r -> r is null)").select("record_id", "pos", X.is_image_box(F.col("raw_rows")).alias("box"))
+    return _tables(spark, sf).where("raw_rows is not null").select("record_id", "pos", X.is_image_box(F.col("raw_rows")).alias("box"))
 
 
-@query("flt18_side_tabs", "with " + _TABLES + " select record_id, pos, len(list_filter(list_transform(x.raw_rows, lambda r: coalesce(r[-1], '')), lambda v: v <> '' and not regexp_full_match(v, '[A-Z]{1,4}'))) = 0 as tabs from tabs where x.raw_rows is not null and len(list_filter(x.raw_rows, lambda r: len(r) = 0)) = 0")
+@query("flt18_side_tabs", "with " + _TABLES + " select record_id, pos, len(list_filter(list_transform(x.raw_rows, lambda r: coalesce(r[-1], '')), lambda v: v <> '' and not regexp_full_match(v, '[A-Z]{1,4}'))) = 0 as tabs from tabs where x.raw_rows is not null")
 def flt18(spark, sf):
-    t = _tables(spark, sf).where("raw_rows is not null and not exists(raw_rows, r -> size(r) = 0)")
+    t = _tables(spark, sf).where("raw_rows is not null")
     return t.select("record_id", "pos", X.only_side_tabs(F.transform("raw_rows", lambda r: F.coalesce(F.get(r, F.size(r) - 1), F.lit("")))).alias("tabs"))
 
 
@@ -85,9 +85,9 @@ def agg14(spark, sf):
     return _tables(spark, sf).select("record_id", "pos", X.confidence(F.coalesce("extraction.quality_flags", F.array().cast("array<string>")), F.col("pos") % 3 == 0).alias("confidence"))
 
 
-@query("agg18_fill_share", "with " + _TABLES + " select record_id, pos, share as filled_share, share >= 0.5 as accepted from (select record_id, pos, coalesce(len(list_filter(x.raw_rows, lambda r: len(list_filter(r, lambda c: coalesce(c, '') <> '')) >= greatest(1, len(r) // 2))), 0) / greatest(len(x.raw_rows), 1) as share from tabs where x.raw_rows is not null and len(list_filter(x.raw_rows, lambda r: r is null)) = 0)")
+@query("agg18_fill_share", "with " + _TABLES + " select record_id, pos, share as filled_share, share >= 0.5 as accepted from (select record_id, pos, coalesce(len(list_filter(x.raw_rows, lambda r: len(list_filter(r, lambda c: coalesce(c, '') <> '')) >= greatest(1, len(r) // 2))), 0) / greatest(len(x.raw_rows), 1) as share from tabs where x.raw_rows is not null)")
 def agg18(spark, sf):
-    t = _tables(spark, sf).where("raw_rows is not null and not exists(raw_rows, r -> r is null)").select("record_id", "pos", F.col("raw_rows").alias("rows"))
+    t = _tables(spark, sf).where("raw_rows is not null").select("record_id", "pos", F.col("raw_rows").alias("rows"))
     return X.fill_share(t).drop("rows")
 
 
@@ -104,17 +104,17 @@ def jn16(spark, sf):
     return _tables(spark, sf).select("record_id", "pos", "section_id").join(secs, ["record_id", "section_id"], "left").select("record_id", "pos", "heading", "role")
 
 
-_BOX = f"select cast(l_orderkey % 300 as int) as page_id, {KEY} as table_id, l_quantity * 5 as x0, l_quantity * 5 + cast(l_suppkey % 90 as double) as x1, cast(l_partkey % 300 as double) as y0, cast(l_partkey % 300 as double) + 40 as y1 from {{lineitem}} where l_linenumber = 1"
-_ZONES = f"select cast(l_orderkey % 300 as int) as page_id, {KEY} as zone, l_quantity * 4 as zx0, l_quantity * 4 + 80 as zx1, cast(l_partkey % 300 as double) as zy0, cast(l_partkey % 300 as double) + 90 as zy1 from {{lineitem}} where l_linenumber = 2"
-_RULES = f"select cast(l_orderkey % 300 as int) as page_id, {KEY} as rule, l_quantity * 4 as rx0, l_quantity * 4 + cast(l_suppkey % 60 as double) as rx1, cast(l_partkey % 300 as double) as ry0, cast(l_partkey % 300 as double) + cast(l_suppkey % 5 as double) as ry1, 250.0 as page_width, cast(l_suppkey % 4 as double) / 10 as darkness from {{lineitem}} where l_linenumber = 3"
+_BOX = f"select {PAGE} as page_id, {KEY} as table_id, l_quantity * 5 as x0, l_quantity * 5 + cast(l_suppkey % 90 as double) as x1, cast(l_partkey % 300 as double) as y0, cast(l_partkey % 300 as double) + 40 as y1 from {{lineitem}}"
+_ZONES = f"select {PAGE} as page_id, {KEY} as zone, l_quantity * 4 as zx0, l_quantity * 4 + 80 as zx1, cast(l_partkey % 300 as double) as zy0, cast(l_partkey % 300 as double) + 90 as zy1 from {{lineitem}}"
+_RULES = f"select {PAGE} as page_id, {KEY} as rule, l_quantity * 4 as rx0, l_quantity * 4 + cast(l_suppkey % 60 as double) as rx1, cast(l_partkey % 300 as double) as ry0, cast(l_partkey % 300 as double) + cast(l_suppkey % 5 as double) as ry1, 250.0 as page_width, cast(l_suppkey % 4 as double) / 10 as darkness from {{lineitem}}"
 
 
 def _with(**parts: str) -> str:
-    return "with " + ", ".join(f"{k} as ({v.replace('{lineitem}', 'lineitem')})" for k, v in parts.items()) + " "
+    return "with " + ", ".join(f"{k} as ({ansi(v)})" for k, v in parts.items()) + " "
 
 
 def _geo(spark, sf, text):
-    return spark.sql(text, lineitem=table(spark, sf, "lineitem"))
+    return run(spark, sf, text)
 
 
 @query("jn9_zone_tables", _with(b=_BOX, z=_ZONES) + "select b.page_id, table_id, zone from b join z on b.page_id = z.page_id where (x1 - x0) * (y1 - y0) > 0 and greatest(least(x1, zx1) - greatest(x0, zx0), 0) * greatest(least(y1, zy1) - greatest(y0, zy0), 0) >= 0.5 * (x1 - x0) * (y1 - y0)")
@@ -145,9 +145,9 @@ def agg19(spark, sf):
     return X.row_ranges(_geo(spark, sf, _BOX).select(F.col("page_id").alias("table_id"), "y0", "y1"))
 
 
-@query("agg17_upper_median", "select l_orderkey % 300 as page_id, list_sort(list(l_extendedprice))[len(list(l_extendedprice)) // 2 + 1] as h from lineitem group by 1")
+@query("agg17_upper_median", f"select {ansi(PAGE)} as page_id, list_sort(list(l_extendedprice))[len(list(l_extendedprice)) // 2 + 1] as h from lineitem group by 1")
 def agg17(spark, sf):
-    return table(spark, sf, "lineitem").groupBy(F.expr("l_orderkey % 300 as page_id")).agg(X.upper_median(F.collect_list("l_extendedprice")).alias("h"))
+    return table(spark, sf, "lineitem").groupBy(F.expr(f"{PAGE} as page_id")).agg(X.upper_median(F.collect_list("l_extendedprice")).alias("h"))
 
 
 @query("win8_word_rows")

@@ -139,9 +139,9 @@ def fn26(spark, sf):
 
 
 @query("flt29_labels", rf"""with {_LINES} select distinct line, regexp_matches(lower(line), '\bfaults?\b|\berrors?\b|\bfault code\b|\berror code\b') as fault,
- regexp_matches(lower(line), 'part numbers?|part no\b|part#|part number') as part from lines where line ~ '^[ -~]*$'""".replace("line ~ '^[ -~]*$'", "regexp_full_match(line, '[ -~]*')"))
+ regexp_matches(lower(line), 'part numbers?|part no\b|part#|part number') as part from lines""")
 def flt29(spark, sf):
-    return _lines(spark, sf).where(F.col("line").rlike("^[ -~]*$")).select("line", T.is_fault_label(F.col("line")).alias("fault"), T.is_part_label(F.col("line")).alias("part")).distinct()
+    return _lines(spark, sf).select("line", T.is_fault_label(F.col("line")).alias("fault"), T.is_part_label(F.col("line")).alias("part")).distinct()
 
 
 @query("agg11_type_markers", r"select distinct doc_id, list_transform(regexp_extract_all(text || ' [Type 2] [TYPE 1]', '(?i)\[TYPE [A-Z0-9]+\]'), lambda x: upper(x)) as markers from documents")
@@ -185,10 +185,16 @@ def set2(spark, sf):
     return A.first_by_title(table(spark, sf, "articles").select("article_id", "title").distinct(), ["article_id"]).select("article_id")
 
 
-@query("flt26_categories", f"with {_DEDUP} select article_id, list_filter(categories, lambda c: not contains(lower(c), 'soft')) as kept from arts where categories is not null and len(categories) = len(list_distinct(categories)) and len(list_filter(categories, lambda c: c is null)) = 0")
+#: Distinct members in order of first appearance; null counts as one.
+_ORDERED = "list_transform(list_filter(generate_series(1, len({0})), lambda i: list_position(list_transform({0}, lambda y: coalesce(y, chr(0))), coalesce({0}[i], chr(0))) = i), lambda i: {0}[i])"
+
+
+@query("flt26_categories", f"with {_DEDUP} select article_id, list_filter({_ORDERED.format('c')}, lambda x: not contains(lower(x), 'soft')) as kept from (select article_id, list_concat(categories, categories[1:1], [null]) as c from arts where categories is not null)")
 def flt26(spark, sf):
-    a = table(spark, sf, "articles").where("categories is not null and size(categories) = size(array_distinct(categories)) and not exists(categories, c -> c is null)").dropDuplicates(["article_id"])
-    return a.select("article_id", A.without_word(F.col("categories"), "soft").alias("kept"))
+    """The stored categories with the first of them again and a null, so that the distinct step has work; a null names no word and goes."""
+    a = table(spark, sf, "articles").where("article_id is not null and categories is not null").dropDuplicates(["article_id"])
+    repeated = F.concat("categories", F.slice("categories", 1, 1), F.array(F.lit(None).cast("string")))
+    return a.select("article_id", A.without_word(repeated, "soft").alias("kept"))
 
 
 @query("flt27_images", f"with {_DEDUP} select article_id, cast(len(list_distinct(list_filter(images, lambda u: not starts_with(u, 'data:')))) as integer) as n from arts where images is not null")
@@ -248,8 +254,7 @@ def fn27(spark, sf):
 def src19(spark, sf):
     from faultlake.sources import html
 
-    pages = _pages(spark, sf).withColumn("html", F.regexp_replace("html", r"<h1>(?s:.*?)</h1>", "<h1></h1>"))
-    return html.html_nodes(pages).groupBy("tag").agg(F.count("*").alias("n"))
+    return html.html_nodes(_pages(spark, sf)).groupBy("tag").agg(F.count("*").alias("n"))
 
 
 @query("jn17_list_labels", rf"with {_DEDUP} select article_id as page_id, unnest(['Faults:', 'Part numbers:']) as label from arts")
@@ -299,11 +304,12 @@ def flt28(spark, sf):
     return web.fetched(a).select("article_id")
 
 
-@query("set4_category_union", f"with {_DEDUP} select article_id, cast(len(list_distinct(list_concat(coalesce(categories, []), coalesce(tags, [])))) as integer) as n from arts where len(list_filter(list_concat(coalesce(categories, []), coalesce(tags, [])), lambda x: x is null)) = 0")
+@query("set4_category_union", f"with {_DEDUP} select article_id, cast(len(list_distinct(c)) + case when len(list_filter(c, lambda x: x is null)) > 0 then 1 else 0 end as integer) as n from (select article_id, list_concat(coalesce(categories, []), coalesce(tags, [])) as c from arts)")
 def set4(spark, sf):
+    """Categories and tags as one set; all nulls are one member."""
     none = F.array().cast("array<string>")
     both = F.concat(F.coalesce("categories", none), F.coalesce("tags", none))
-    a = table(spark, sf, "articles").where("article_id is not null").dropDuplicates(["article_id"]).where(~F.exists(both, lambda x: x.isNull()))
+    a = table(spark, sf, "articles").where("article_id is not null").dropDuplicates(["article_id"])
     return a.select("article_id", F.size(F.array_distinct(both)).alias("n"))
 
 
