@@ -96,13 +96,16 @@ def title_of(cells: Column) -> Column:
     return F.aggregate(cells, start, step, lambda s: F.struct(T.without_code_echo(F.array_join(s["words"], " "), ignore_case=True).alias("title"), s["ref"].alias("ref")))
 
 
-def codes_with_y(words: DataFrame, min_y: float = 0.0) -> DataFrame:
-    """(page_id, ord, code, y, title, ref) of every code word of a page in format A.
+def codes_with_y(words: DataFrame, min_y: float | Column = 0.0, form: str = "A") -> DataFrame:
+    """(page_id, ord, code, y, title, ref) of every code word of a page.
 
-    A code's row is the words of the same visual line (less than 3 points apart) to its right, in document order;
-    bracket echoes are no codes. The self-join is by page and band.
+    Form A: a code's row is the words of the same visual line (less than 3 points apart) to its right, in document order;
+    bracket echoes are no codes. The self-join is by page and band. Form B: codes stand in brackets at the start of a word and have neither title nor reference.
     """
     usable = words.where(F.col("y0") >= min_y)
+    if form == "B":
+        code = F.upper(T.none_if_blank(F.regexp_extract("text", r"(?i)^\[([PBCU][0-9A-F]{4})\]", 1)))
+        return usable.withColumn("code", code).where("code is not null").select("page_id", "ord", "code", F.col("y0").alias("y"), F.lit("").alias("title"), F.lit(None).cast("string").alias("ref"))
     code = usable.where(~F.col("text").rlike(r"(?i)^\[[PBCU][0-9A-F]{4}\]$")).withColumn("code", T.code_of(F.col("text"))).where("code is not null")
     right = words.select("page_id", F.col("ord").alias("w_ord"), F.col("x0").alias("w_x0"), F.col("y0").alias("w_y0"), T.trim_ws(F.col("text")).alias("w_text"))
     row = code.join(right, "page_id", "left").where((F.abs(F.col("w_y0") - F.col("y0")) < LINE_BAND) & (F.col("w_x0") > F.col("x1")) | F.col("w_ord").isNull() | (F.col("w_ord") == F.col("ord")))

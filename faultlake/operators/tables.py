@@ -33,6 +33,58 @@ def fill_down_flags(cells: DataFrame, headers: int = 1) -> DataFrame:
     return cells.withColumn("_f", F.coalesce(fillable, F.lit(False))).groupBy("tbl").agg(F.max("_f").alias("filled"))
 
 
+def filled_down(rows: Column, headers: Column) -> Column:
+    """Rows with empty cells below the first data row filled from the row above, which may itself have been filled.
+
+    Header rows and the first data row stay; a shorter row interrupts its missing columns. Null cells and rows count as empty.
+    """
+    plain = F.transform(F.coalesce(rows, F.array().cast("array<array<string>>")), lambda r: F.transform(F.coalesce(r, F.array().cast("array<string>")), lambda c: F.coalesce(c, F.lit(""))))
+    start = F.struct(F.array().cast("array<string>").alias("above"), F.array().cast("array<array<string>>").alias("out"))
+
+    def step(s, r):
+        full = F.transform(r, lambda c, j: F.when((F.size(s["out"]) > headers) & (c == ""), F.coalesce(F.get(s["above"], j), F.lit(""))).otherwise(c))
+        return F.struct(full.alias("above"), F.concat(s["out"], F.array(full)).alias("out"))
+
+    return F.aggregate(plain, start, step, lambda s: s["out"])
+
+
+def without_repeats(rows: Column) -> Column:
+    """Rows without values that repeat the last filled value above them in their column; see ``clear_repeats`` for long tables of cells."""
+    start = F.struct(F.array().cast("array<string>").alias("above"), F.array().cast("array<array<string>>").alias("out"))
+
+    def step(s, r):
+        wide = F.sequence(F.lit(1), F.greatest(F.size(r), F.size(s["above"]), F.lit(1)))
+        last = F.transform(wide, lambda k: F.when(F.coalesce(F.get(r, k - 1), F.lit("")) != "", F.get(r, k - 1)).otherwise(F.get(s["above"], k - 1)))
+        kept = F.transform(r, lambda c, j: F.when((c != "") & F.coalesce(c == F.get(s["above"], j), F.lit(False)), "").otherwise(c))
+        return F.struct(last.alias("above"), F.concat(s["out"], F.array(kept)).alias("out"))
+
+    return F.aggregate(rows, start, step, lambda s: s["out"])
+
+
+def header_labels(rows: Column, headers: Column) -> Column:
+    """One label for each column: the first row's, or with two header rows what both say, joined by a blank."""
+    cell = lambda i, j: T.trim_ws(F.coalesce(F.get(F.get(rows, i), j), F.lit("")))
+    n = F.greatest(F.size(F.get(rows, 0)), F.when(headers == 2, F.size(F.get(rows, 1))).otherwise(0), F.lit(0))
+    both = lambda j: F.concat_ws(" ", T.none_if_blank(cell(0, j)), F.when(headers == 2, T.none_if_blank(cell(1, j))))
+    return F.when(F.size(rows) > 0, F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), both)).otherwise(F.array().cast("array<string>")))
+
+
+def reconstructed(rows: Column, blob: Column, codes: Column | None = None) -> Column:
+    """Struct (headers, rows, steps): a table made readable by itself, and what was done to it; rows are null where nothing was.
+
+    A blob row at the top is left out, empty cells are filled down below the headers, and values that repeat the one above are cleared.
+    """
+    none = F.array().cast("array<string>")
+    body = F.transform(rows, lambda r: F.transform(F.coalesce(r, none), lambda c: F.coalesce(c, F.lit(""))))
+    strip = F.coalesce(blob & is_blob_row(F.get(body, 0)), F.lit(False))
+    used = F.when(strip, F.slice(body, 2, F.greatest(F.size(body) - 1, F.lit(0)))).otherwise(body)
+    headers = header_rows(used, codes)
+    filled = filled_down(used, headers)
+    clear = without_repeats(filled)
+    steps = F.array_compact(F.array(F.when(strip, "blob_row_stripped"), F.when(filled != used, "carry_forward_fill"), F.when(clear != filled, "merged_cell_dedup")))
+    return F.struct(headers.alias("headers"), F.when(F.size(steps) > 0, clear).alias("rows"), steps.alias("steps"))
+
+
 def is_subheader(row: Column, codes: Column | None = None) -> Column:
     """No cell is a known code, of a code's form, or a plain number; five-letter words have a code's form too."""
     def fits(cell: Column) -> Column:
