@@ -189,9 +189,3 @@ def absolute_url(base: pd.Series, href: pd.Series) -> pd.Series:
     """href resolved against its page; null without href."""
     return pd.Series([None if not h else urljoin(b or "", h) for b, h in zip(base, href, strict=True)], dtype=object)
 
-
-@F.pandas_udf(StringType())
-def unescape_html(text: pd.Series) -> pd.Series:
-    from html import unescape
-
-    return text.map(lambda t: None if t is None else unescape(t))

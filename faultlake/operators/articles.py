@@ -48,13 +48,6 @@ def without_inline_images(images: Column) -> Column:
     return F.array_distinct(F.filter(images, lambda u: u.isNotNull() & ~u.startswith("data:")))
 
 
-def _skewed_first(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """First row by ``order`` of each ``key``; a min over a struct combines before the shuffle, so hot keys stay small."""
-    rest = [c for c in rows.columns if c not in {key, *order}]
-    picked = rows.groupBy(key).agg(F.min(F.struct(*order, *rest)).alias("_first"))
-    return picked.select(key, "_first.*").select(*rows.columns)
-
-
 def first_by_title(articles: DataFrame, order: list[str]) -> DataFrame:
     """One article for each title, the first by ``order``; blank titles are all kept."""
     keyed = articles.withColumn("_key", F.lower(T.trim_ws(F.coalesce("title", F.lit("")))))
@@ -77,7 +70,7 @@ def preceding_label(nodes: DataFrame) -> DataFrame:
     return nodes.withColumn("label", F.last(label, ignorenulls=True).over(before)).where("tag = 'ul'").select("page_id", "ord", "text", "label")
 
 
-def comments_of(nodes: DataFrame) -> DataFrame:
-    """Ordered comments of each page: (page_id, comments array of author, text, date)."""
-    made = F.struct(F.col("ord"), F.coalesce("author", F.lit("")).alias("author"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("date", F.lit("")).alias("date"))
-    return nodes.groupBy("page_id").agg(F.transform(F.array_sort(F.collect_list(made)), lambda c: c.dropFields("ord")).alias("comments"))
+def comments_of(comments: Column) -> Column:
+    """Comments (author, text, date) that have a text, with '' for what is missing, in order."""
+    made = F.transform(comments, lambda c: F.struct(*(F.coalesce(c[n], F.lit("")).alias(n) for n in ("author", "text", "date"))))
+    return F.filter(F.coalesce(made, F.array().cast("array<struct<author:string,text:string,date:string>>")), lambda c: c["text"] != "")

@@ -70,17 +70,38 @@ def append_history(runs: DataFrame, path: str) -> None:
     runs.write.mode("append").parquet(path)
 
 
+def metadata_of(manuals: DataFrame) -> DataFrame:
+    """Manuals with the fields of their metadata as columns; '' counts as none."""
+    fields = manuals.schema["metadata"].dataType.fieldNames()
+    return manuals.select(*manuals.columns, *(F.nullif(F.col(f"metadata.{c}"), F.lit("")).alias(c) for c in fields if c not in manuals.columns))
+
+
+def write_articles(articles: DataFrame, root: str, site: str, output: str | None = None) -> str:
+    """Adapted articles as JSON under ``output``, else in the folder of their site; the path is returned."""
+    path = output or f"{root}/{site}/data.json"
+    articles.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    return path
+
+
 def write_images(images: DataFrame, folder: str) -> None:
-    """Image bytes (name, content) as files of a shared folder, written by the tasks that hold them; equal names are one file."""
+    """Image bytes (name, content) as files of a shared folder, written by the tasks that hold them; equal names are one file.
+
+    A folder with a scheme other than file goes through the file system of that scheme by pyarrow, so tasks of a cluster write to one place. A file is written beside its
+    place and then moved, so none is seen half written.
+    """
 
     def write(rows) -> None:
         import os
+        from uuid import uuid4
+
+        from pyarrow import fs
 
-        os.makedirs(folder, exist_ok=True)
+        system, root = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+        system.create_dir(root, recursive=True)
         for r in rows:
-            part = os.path.join(folder, f".{r['name']}.part")
-            with open(part, "wb") as f:
+            part = f"{root}/.{os.path.basename(r['name'])}.{uuid4().hex}"
+            with system.open_output_stream(part) as f:
                 f.write(r["content"])
-            os.replace(part, os.path.join(folder, r["name"]))
+            system.move(part, f"{root}/{r['name']}")
 
     images.select("name", "content").foreachPartition(write)

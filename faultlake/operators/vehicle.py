@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from faultlake.functions import text as T
 
+# Forms of revision lines, page labels, footers, forewords and titles of manuals.
 REVISION = r"(?i)^(?:Revision|Edition):\s*(.+)$"
 PAGE_LABEL = r"^[A-Z]{2,5}-\d+$"
 FOOTER = r"^(\d{4})?\s*([A-Za-z][A-Za-z0-9\-\.]*(?:\s+[A-Za-z0-9\-\.]+)?)\s*([A-Z]{2,})?$"
@@ -97,6 +98,7 @@ def merged_verdict(labels: DataFrame, toc: DataFrame) -> DataFrame:
     n = F.when(F.col("codes").isNull(), 0).otherwise(n)
     score = F.when(n >= 2, 3).otherwise(0) + F.when(m >= 5, 2).when(m >= 2, 1).otherwise(0)
     listed = F.array_join("codes", ", ")
+    # The sentences of evidence and notes.
     evidence = F.array_compact(F.array(
         F.when(n >= 2, F.concat(F.lit("page labels have "), n.cast("string"), F.lit(" distinct section prefixes: "), listed)),
         F.when(m >= 5, F.concat(F.lit("TOC has "), m.cast("string"), F.lit(" top-level sections")))))

@@ -122,12 +122,12 @@ def src3(spark, sf):
     return table(spark, sf, "documents").where("text is not null").select("doc_id", F.sha2(F.encode("text", "utf-8"), 256).alias("document_id"))
 
 
-@query("src4_metadata", f"with {_MAN} select document_id, nullif(metadata.title, '') as title, nullif(metadata.author, '') as author, nullif(metadata.producer, '') as producer, nullif(metadata.creation_date, '') as creation_date from m where metadata is not null")
-def src4(spark, sf):
-    from faultlake.functions import text as T
+METADATA = ("title", "author", "subject", "keywords", "creator", "producer", "format", "creation_date", "modification_date", "encryption")
+
 
-    m = _manuals(spark, sf).where("metadata is not null")
-    return m.select("document_id", *(T.none_if_blank(F.col(f"metadata.{c}")).alias(c) for c in ("title", "author", "producer", "creation_date")))
+@query("src4_metadata", f"with {_MAN} select document_id, {', '.join(f"nullif(metadata.{c}, '') as {c}" for c in METADATA)} from m where metadata is not null")
+def src4(spark, sf):
+    return E.metadata_of(_manuals(spark, sf).where("metadata is not null")).select("document_id", *METADATA)
 
 
 @query("srt1_files_by_name", f"with {_MAN} select document_id, source_file from m where source_file is not null")
@@ -177,7 +177,7 @@ def src1(spark, sf):
 
     folder = f"{staged_folder(spark)}/manuals-{uuid4().hex}"
     rows = _manuals(spark, sf).where("source_file is not null").select(F.concat(F.lower("document_id"), F.lit(".pdf")).alias("name"), F.encode("source_file", "utf-8").alias("content"))
-    E.write_images(rows, folder.removeprefix("file://"))
+    E.write_images(rows, folder)
     return manual_files(spark, folder).select("stem", "document_id", "length")
 
 
@@ -192,3 +192,29 @@ def src15(spark, sf):
     # the lookup is a list of known vehicles, one JSON object
     one.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("model", "make")))).alias("value")).coalesce(1).write.text(path)
     return model_lookup(spark, path).where("model is not null")
+
+
+@query("snk6_articles_json", r"select article_id, regexp_replace(coalesce(title, ''), '^[\s\x{00A0}]+|[\s\x{00A0}]+$', '', 'g') as title from (select * from articles where article_id is not null qualify row_number() over (partition by article_id order by fetched_at) = 1)")
+def snk6(spark, sf):
+    """Adapted articles written as JSON to their site's folder and read again."""
+    from uuid import uuid4
+
+    from faultlake.operators import articles as A
+
+    made = A.adapt_articles(table(spark, sf, "articles").where("article_id is not null").dropDuplicates(["article_id"]))
+    path = E.write_articles(made, f"{staged_folder(spark)}/sites-{uuid4().hex}", "evsite")
+    return spark.read.schema("article_id long, title string").json(path)
+
+
+@query("flt30_schema_errors", f"""with {_MAN} select document_id, list_sort(list_filter([case when schema_version is null then 'schema_version:  None is not of type ''string''' end, case when vehicle is null then 'vehicle:  None is not of type ''object''' end,
+ case when metadata is null then 'metadata:  None is not of type ''object''' end, case when section is null then 'section:  None is not of type ''object''' end, case when processing is null then 'processing:  None is not of type ''object''' end,
+ case when processing is not null and processing.errors is null then 'processing  >  errors:  None is not of type ''array''' end,
+ case when pdf_profile.pdf_type not in ('digital', 'merged') then 'pdf_profile  >  pdf_type:  ''' || pdf_profile.pdf_type || ''' is not one of [''digital'', ''merged'']' end], lambda e: e is not null)) as errors from m""")
+def flt30b(spark, sf):
+    """Envelopes checked against a JSON schema, read from a file as the pipeline does."""
+    from faultlake.operators import validation
+
+    schema = {"type": "object", "properties": {"schema_version": {"type": "string"}, "vehicle": {"type": "object"}, "metadata": {"type": "object"}, "section": {"type": "object"},
+              "processing": {"type": "object", "properties": {"errors": {"type": "array", "items": {"type": "string"}}}}, "pdf_profile": {"type": ["object", "null"], "properties": {"pdf_type": {"enum": ["digital", "merged"]}}}}}
+    m = _manuals(spark, sf)
+    return m.select("document_id", validation.schema_errors(F.to_json(F.struct("schema_version", "vehicle", "metadata", "section", "processing", "pdf_profile"), {"ignoreNullFields": "false"}), schema).alias("errors"))

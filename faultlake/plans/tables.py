@@ -179,10 +179,47 @@ def fn29(spark, sf):
     return X.rebuild(derived(spark, sf, "words"), "page_id")
 
 
-@query("fn28_repaired_tables", "with " + _TABLES + """ select record_id, pos, case when len(rows) < 2 or len(rows[1]) = 1 or blob then 'low' when pos % 3 = 0 or pos % 2 = 0 then 'medium' else 'high' end as confidence, cast(len(rows[1]) + case when pos % 3 = 0 then 1 else 0 end as integer) as n_columns from (
- select record_id, pos, x.raw_rows as rows, coalesce(len(x.raw_rows) > 1 and contains(x.raw_rows[1][1], chr(10)) and len(list_filter(x.raw_rows[1][2:], lambda c: coalesce(c, '') <> '')) = 0, false) as blob from tabs where len(x.raw_rows) > 0)""")
+#: A third of the tables get words on their left, half of them end at the page's edge, a fifth of these at a drawn border, a quarter have rows from words: one column more, every row filled.
+@query("fn28_repaired_tables", "with " + _TABLES + """, made as (select record_id, pos, rows, blob, pos % 3 = 0 as left_words, pos % 2 = 0 as edge, pos % 2 = 0 and pos % 5 < 2 as clipped, pos % 4 < 2 as has_new, len(rows[1]) + case when pos % 3 = 0 then 1 else 0 end as wide, coalesce(len(rows[1]), 0) + 1 as n_new from (
+ select record_id, pos, x.raw_rows as rows, coalesce(len(x.raw_rows) > 1 and contains(x.raw_rows[1][1], chr(10)) and len(list_filter(x.raw_rows[1][2:], lambda c: coalesce(c, '') <> '')) = 0, false) as blob from tabs where len(x.raw_rows) > 0)),
+ used as (select *, has_new and (clipped or coalesce(n_new > wide and n_new <= 1.5 * wide, false)) as use from made)
+ select record_id, pos, case when len(rows) < 2 or len(rows[1]) = 1 or blob then 'low' when left_words or edge or use then 'medium' else 'high' end as confidence, cast(case when use then n_new else coalesce(wide, -1) end as integer) as n_columns, use as rebuilt, clipped from used""")
 def fn28(spark, sf):
     t = _tables(spark, sf).where("size(raw_rows) > 0").select("record_id", "pos", F.col("raw_rows").alias("rows"))
     t = t.withColumn("left_words", F.when(F.col("pos") % 3 == 0, F.transform("rows", lambda r: F.lit("left")))).withColumn("right_words", F.transform("rows", lambda r: F.lit("EVB")))
-    t = t.withColumn("x1", F.when(F.col("pos") % 2 == 0, 610.0).otherwise(500.0)).withColumn("page_width", F.lit(612.0)).withColumn("border_x1", F.lit(None).cast("double")).withColumn("rebuilt", F.lit(None).cast("array<array<string>>"))
-    return X.repair(t).select("record_id", "pos", "confidence", F.size(F.get("rows", F.lit(0))).alias("n_columns"))
+    t = t.withColumn("x1", F.when(F.col("pos") % 2 == 0, 610.0).otherwise(500.0)).withColumn("page_width", F.lit(612.0)).withColumn("border_x1", F.when(F.col("pos") % 5 < 2, 580.0))
+    new = F.transform("rows", lambda r: F.array_repeat(F.lit("new"), F.coalesce(F.size(F.get("rows", F.lit(0))), F.lit(0)) + 1))
+    t = t.withColumn("rebuilt", F.when(F.col("pos") % 4 < 2, new))
+    return X.repair(t).select("record_id", "pos", "confidence", F.coalesce(F.size(F.get("rows", F.lit(0))), F.lit(-1)).alias("n_columns"), F.array_contains("flags", "bbox_reconstruction_used").alias("rebuilt"),
+                              F.array_contains("flags", "bbox_clipped_by_drawings").alias("clipped"))
+
+
+_COUNTED = f"""headed as (select record_id, pos, r, case when len(r) < 3 then 1 when not ({_SUB.format('r[2]')}) then 1
+ when len(list_filter(generate_series(1, greatest(len(a), len(b))), lambda i: coalesce(a[i], '') = '' and coalesce(b[i], '') <> '')) > 0 then 2
+ when len(list_filter(a, lambda v: not regexp_full_match(v, '[A-Za-z\\s]*'))) = 0 and len(list_filter(generate_series(1, greatest(len(a), len(b))), lambda i: coalesce(a[i], '') <> '' and coalesce(b[i], '') <> '')) > 0 then 2 else 1 end as n
+ from (select record_id, pos, x.raw_rows as r, list_transform(x.raw_rows[1], {_CELL}) as a, list_transform(x.raw_rows[2], {_CELL}) as b from tabs where len(x.raw_rows) > 0))"""
+
+
+@query("win3_filled_tables", "with " + _TABLES + ", " + _COUNTED + """, cells as (select *, coalesce(r[i + 1][j + 1], '') as v from (select *, unnest(generate_series(0, coalesce(len(r[i + 1]), 0) - 1)) as j from (select *, unnest(generate_series(0, len(r) - 1)) as i from headed))),
+ runs as (select *, i - row_number() over (partition by record_id, pos, j order by i) as run from cells)
+ select record_id, pos, cast(i as integer) as row_no, string_agg(v, ' | ' order by j) as cells from (select record_id, pos, i, j, case when i < n then v
+ else coalesce(last_value(nullif(v, '') ignore nulls) over (partition by record_id, pos, j, run, i >= n order by i rows between unbounded preceding and current row), '') end as v from runs) group by 1, 2, 3""")
+def win3b(spark, sf):
+    """The rows of every table with empty cells filled from above, below its headers; rows without cells are left out."""
+    t = _tables(spark, sf).where("size(raw_rows) > 0").select("record_id", "pos", F.posexplode(X.filled_down(F.col("raw_rows"), X.header_rows(F.col("raw_rows")))).alias("row_no", "cells"))
+    return t.where("size(cells) > 0").select("record_id", "pos", "row_no", F.array_join("cells", " | ").alias("cells"))
+
+
+@query("win18_header_labels", "with " + _TABLES + ", " + _COUNTED + """ select record_id, pos, array_to_string(list_transform(generate_series(1, greatest(coalesce(len(r[1]), 0), case when n = 2 then coalesce(len(r[2]), 0) else 0 end)),
+ lambda j: concat_ws(' ', nullif(trim(coalesce(r[1][j], '')), ''), case when n = 2 then nullif(trim(coalesce(r[2][j], '')), '') end)), ' | ') as labels from headed""")
+def win18b(spark, sf):
+    """Column labels of every table; two header rows are joined."""
+    t = _tables(spark, sf).where("size(raw_rows) > 0").withColumn("n", X.header_rows(F.col("raw_rows")))
+    return t.select("record_id", "pos", F.array_join(F.coalesce(X.header_labels(F.col("raw_rows"), F.col("n")), F.array().cast("array<string>")), " | ").alias("labels"))
+
+
+@query("fn28_reconstructed_tables")
+def fn28b(spark, sf):
+    """Tables made readable by themselves: blob row stripped, cells filled down, repeats cleared; tested by brute force."""
+    t = _tables(spark, sf).where("size(raw_rows) > 0").select("record_id", "pos", X.reconstructed(F.col("raw_rows"), X.is_blob_start(F.col("raw_rows"))).alias("r"))
+    return t.select("record_id", "pos", "r.headers", "r.steps", F.transform("r.rows", lambda x: F.array_join(x, " | ")).alias("rows"))

@@ -220,10 +220,10 @@ def agg21(spark, sf):
     return t.where("tag is not null").groupBy("tag").agg(F.count("*").alias("n"))
 
 
-@query("agg20_comments", f"with {_DEDUP} select article_id, c.author as author, c.text as text, c.date as date from (select article_id, unnest(comments) as c from arts) where coalesce(c.text, '') <> ''")
+@query("agg20_comments", f"with {_DEDUP} select article_id, coalesce(c.author, '') as author, c.text as text, coalesce(c.date, '') as date from (select article_id, unnest(comments) as c from arts) where coalesce(c.text, '') <> ''")
 def agg20(spark, sf):
-    c = table(spark, sf, "articles").dropDuplicates(["article_id"]).select("article_id", F.explode("comments").alias("c"))
-    return c.where("coalesce(c.text, '') <> ''").select("article_id", "c.author", "c.text", "c.date")
+    a = table(spark, sf, "articles").where("article_id is not null").dropDuplicates(["article_id"])
+    return a.select("article_id", F.explode(A.comments_of(F.col("comments"))).alias("c")).select("article_id", "c.*")
 
 
 def _pages(spark, sf, by_line: bool = False) -> DataFrame:

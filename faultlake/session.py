@@ -20,10 +20,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder for staged data; falls back to a temporary one where none is configured."""
+    """The shared folder for staged data: the session's checkpoint folder, or a temporary one where none is set and all runs on one machine.
+
+    On a cluster a temporary folder would be another one on every machine, so a session without ``spark.checkpoint.dir`` is refused (ValueError).
+    """
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
     made = getattr(spark, "_faultlake_scratch", None)
     if made is None:
         made = "file://" + tempfile.mkdtemp(prefix="faultlake-")

@@ -119,6 +119,7 @@ def select(pages: DataFrame, css: str) -> DataFrame:
     return pages.select("page_id", "url", "html").mapInPandas(run, "page_id long, url string, ord int, tag string, attrs map<string,string>, text string")
 
 
+# Selectors of the site's articles.
 SITE = {"article": "a.tpg-post-link", "title": "h1", "content": "div.futurio-content.single-content", "image": "figure img", "category": "span.categories-links a"}
 
 
