@@ -2,7 +2,7 @@
 
 The reader is a Python data source-like map over (document_id, content): it yields pages, words, blocks, lines, links, tables,
 bookmarks, labels, drawings and images as rows of one relation each. PyMuPDF is imported only inside the tasks; without it the
-call fails with ImportError. It is not installed here, so this adapter is untested; all operators work on the relations.
+call fails with ImportError. It is not installed here: the adapter is tested against a stand-in with the library's calls, not against real files. All operators work on the relations.
 """
 
 from __future__ import annotations
@@ -13,8 +13,12 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
+#: Shares of a page's height that are its header and footer.
+HEADER, FOOTER = 0.12, 0.88
+
 SCHEMAS = {
-    "page": "document_id string, page int, width double, height double, text string, footer string",
+    "document": "document_id string, pages int, title string, author string, subject string, keywords string, creator string, producer string, format string, creation_date string, modification_date string, encryption string",
+    "page": "document_id string, page int, width double, height double, text string, header string, footer string",
     "word": "document_id string, page int, ord int, x0 double, y0 double, x1 double, y1 double, text string",
     "block": "document_id string, page int, ord int, x0 double, y0 double, x1 double, y1 double, text string",
     "line": "document_id string, page int, ord int, y0 double, y1 double, text string, all_bold boolean",
@@ -34,7 +38,13 @@ def available() -> bool:
 def _pages(pdf) -> Iterator[tuple]:
     for n, page in enumerate(pdf, 1):
         r = page.rect
-        yield n, r.width, r.height, page.get_text("text"), page.get_text("text", clip=(0, r.height * 0.88, r.width, r.height))
+        yield n, r.width, r.height, *(page.get_text("text", **clip) for clip in ({}, {"clip": (0, 0, r.width, r.height * HEADER)}, {"clip": (0, r.height * FOOTER, r.width, r.height)}))
+
+
+def _documents(pdf) -> Iterator[tuple]:
+    """The file's own metadata; '' is none."""
+    known = pdf.metadata or {}
+    yield len(pdf), *(known.get(k) or None for k in ("title", "author", "subject", "keywords", "creator", "producer", "format", "creationDate", "modDate", "encryption"))
 
 
 def _boxes(kind: str) -> Callable:
@@ -76,7 +86,7 @@ def _images(pdf) -> Iterator[tuple]:
 
 
 READERS: dict[str, Callable] = {
-    "page": _pages, "word": _boxes("words"), "block": _boxes("blocks"), "line": _lines, "link": _links, "table": _tables, "image": _images,
+    "document": _documents, "page": _pages, "word": _boxes("words"), "block": _boxes("blocks"), "line": _lines, "link": _links, "table": _tables, "image": _images,
     "toc": lambda pdf: ((k, level, title, page) for k, (level, title, page) in enumerate(pdf.get_toc())),
     "label": lambda pdf: ((k, x.get("prefix", ""), x.get("startpage")) for k, x in enumerate(pdf.get_page_labels())),
     "drawing": lambda pdf: ((n, d["rect"].x0, d["rect"].y0, d["rect"].x1, d["rect"].y1) for n, page in enumerate(pdf, 1) for d in page.get_drawings()),
