@@ -26,12 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from faultlake.session import stage
+from faultlake.session import checked_broadcast, stage
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: how byte-level BPE vocabularies cut text before merging.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-MAX_CELLS = 1_000_000
+MAX_CELLS, MAX_VOCABULARY = 1_000_000, 64 << 20
+#: Up to so many targets or weights are sent to the tasks; more are joined by shuffle.
+MAX_SENT = 200_000
 ROUNDS, CLOSE = 200, 1e-9
 
 
@@ -41,20 +43,23 @@ def _all_sources():
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str):
+def encoder(vocabulary: bytes):
     import tiktoken
 
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return tiktoken.Encoding(os.path.basename(path), pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
+    return tiktoken.Encoding("mixing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 def with_tokens(documents: DataFrame, text: str = "text", path: str = TOKENIZER, name: str = "n_tokens") -> DataFrame:
-    """``documents`` with the number of tokens of ``text``."""
+    """``documents`` with the number of tokens of ``text``. The vocabulary file is read by the driver and sent to the tasks, so only the driver needs it."""
+    if os.path.getsize(path) > MAX_VOCABULARY:
+        raise ValueError(f"{path} is no vocabulary of a size that can be sent to every task")
+    with open(path, "rb") as file:
+        shared = documents.sparkSession.sparkContext.broadcast(file.read())
 
     @F.pandas_udf("long")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = encoder(path).encode_ordinary
+        encode = encoder(shared.value).encode_ordinary
         for texts in batches:
             yield pd.Series([0 if t is None else len(encode(t)) for t in texts], dtype="int64")
 
@@ -71,7 +76,7 @@ def targets_of(targets: DataFrame) -> DataFrame:
 
 def measured(documents: DataFrame, targets: DataFrame, topic: str, path: str = TOKENIZER) -> DataFrame:
     """(doc_id, source, lang, topic, n_tokens) of the documents whose source has a target, staged."""
-    known = documents.where("doc_id is not null").join(F.broadcast(targets.select("source")), "source", "left_semi")
+    known = documents.where("doc_id is not null").join(checked_broadcast(targets.select("source"), MAX_SENT), "source", "left_semi")
     plain = known.select("doc_id", "source", F.coalesce(F.lower("lang"), F.lit("")).alias("lang"), F.coalesce(F.col(topic).cast("string"), F.lit("")).alias("topic"), "text")
     return stage(with_tokens(plain, path=path).drop("text"))
 
@@ -135,7 +140,7 @@ def mixture(documents: DataFrame, targets: DataFrame, topic: str = "make", path:
     goal = targets_of(targets)
     docs = measured(documents, goal, topic, path)
     weights = _fit(docs, goal).select("source", "lang", "topic", "weight", "limit")
-    joined = docs.join(F.broadcast(weights), ["source", "lang", "topic"])
+    joined = docs.join(checked_broadcast(weights, MAX_SENT), ["source", "lang", "topic"])
     copies = F.least(F.floor("weight") + (_uniform("doc_id") < F.col("weight") - F.floor("weight")).cast("long"), F.col("limit").cast("long"))
     return joined.select("doc_id", "source", "n_tokens", "weight", copies.cast("int").alias("copies"))
 
