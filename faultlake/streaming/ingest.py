@@ -15,8 +15,3 @@ def ingest(spark: SparkSession, folder: str, schema: str, transform: Callable[[D
     """
     new = spark.readStream.schema(schema).parquet(folder)
     return transform(new).writeStream.format("parquet").option("path", out).option("checkpointLocation", state).trigger(availableNow=True).start()
-
-
-def ingest_once(spark: SparkSession, folder: str, schema: str, key: str, time: str, lateness: str, out: str, state: str) -> StreamingQuery:
-    """As ``ingest``, and rows delivered again within ``lateness`` of the watermark come out once."""
-    return ingest(spark, folder, schema, lambda s: s.withWatermark(time, lateness).dropDuplicatesWithinWatermark([key]), out, state)

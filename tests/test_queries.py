@@ -1,4 +1,4 @@
-"""Every core query with SQL agrees with it; those without run and have a stable schema."""
+"""Every core query with SQL agrees with it; those without have a stable schema (their rows: test_restated)."""
 
 import importlib
 
@@ -17,8 +17,7 @@ def test_query(spark, name):
     if name in SQL:
         compare(spark, name, QUERIES[name], SQL[name])
     else:
-        df = QUERIES[name](spark, DATA)
-        assert df.columns == QUERIES[name](spark, DATA).columns and df.count() >= 0
+        assert QUERIES[name](spark, DATA).schema == QUERIES[name](spark, DATA).schema
 
 
 def test_sql_names_are_queries():
