@@ -6,6 +6,10 @@ a row. '' means an empty cell. Half values round to even, as in the folds over w
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -267,18 +271,69 @@ def rebuild(words: DataFrame, group: str) -> DataFrame:
     """(group, row_no, cells): table cells from words alone.
 
     Rows by running mean, tokens by gap, columns by start; a column filled in fewer than max(2, a quarter) of the rows is
-    dropped; nothing comes out with fewer than two rows or columns. ``words``: group, ord, x0, y0, x1, y1, text.
+    dropped; nothing comes out with fewer than two rows or columns. ``words``: group, ord, x0, y0, x1, y1, text. The words of a page are
+    brought together once and folded in one pass of Arrow batches, where the single steps (``word_rows``, ``cell_tokens``, ``column_starts``) would shuffle five times.
     """
-    rows = words.join(word_rows(words, group), [group, "ord"])
-    tokens = cell_tokens(rows, group)
-    placed = tokens.join(column_starts(tokens, group), group).withColumn("col", nearest_column(F.col("x0"), F.col("starts")))
-    cells = placed.groupBy(group, "row_no", "col").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("token", "text"))), lambda t: t["text"]), " ").alias("value"))
-    n_rows = tokens.groupBy(group).agg(F.countDistinct("row_no").alias("n_rows"))
-    filled = cells.where("value <> ''").groupBy(group, "col").agg(F.count("*").alias("n")).join(n_rows, group)
-    kept = filled.where((F.col("n") >= F.greatest(F.lit(2), F.bround(F.col("n_rows") * 0.25).cast("int"))) & (F.col("n_rows") >= 2))
-    valid = kept.groupBy(group).agg(F.array_sort(F.collect_list("col")).alias("cols")).where(F.size("cols") >= 2)
-    wide = cells.groupBy(group, "row_no").agg(F.map_from_entries(F.collect_list(F.struct("col", "value"))).alias("m")).join(valid, group)
-    return wide.select(group, "row_no", F.transform("cols", lambda c: F.coalesce(F.col("m")[c], F.lit(""))).alias("cells"))
+    box = F.struct("y0", "ord", "x0", "x1", "y1", F.coalesce("text", F.lit("")).alias("text"))
+    pages = words.groupBy(group).agg(F.array_sort(F.collect_list(box)).alias("words"))
+    schema = f"{group} {words.schema[group].dataType.simpleString()}, row_no int, cells array<string>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, numbers, cells = [], [], []
+            for r, page in enumerate(batch.column(1).to_pylist()):
+                for n, row in _rebuilt(page):
+                    at.append(r)
+                    numbers.append(n)
+                    cells.append(row)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int32())), pa.array(numbers, pa.int32()), pa.array(cells, pa.list_(pa.string()))], names=[group, "row_no", "cells"])
+
+    return pages.mapInArrow(run, schema)
+
+
+def _rebuilt(page: list[dict]) -> list[tuple[int, list[str]]]:
+    """Rows of cells of one page, whose words are in order of height."""
+    heights = sorted(w["y1"] - w["y0"] for w in page)
+    tolerance = max(2.0, 0.4 * heights[len(heights) // 2])
+    rows: list[list[dict]] = []
+    total = 0.0
+    for w in page:
+        centre = (w["y0"] + w["y1"]) / 2
+        if rows and abs(centre - total / len(rows[-1])) <= tolerance:
+            rows[-1].append(w)
+            total += centre
+        else:
+            rows.append([w])
+            total = centre
+    if len(rows) < 2:
+        return []
+    lines, starts = [], set()
+    for row in rows:
+        tokens: list[list] = []
+        for w in sorted(row, key=lambda w: (w["x0"], w["ord"])):
+            if tokens and w["x0"] - tokens[-1][1] <= WORD_GAP:
+                tokens[-1][1] = w["x1"]
+                tokens[-1][2].append(w["text"])
+            else:
+                tokens.append([w["x0"], w["x1"], [w["text"]]])
+        lines.append(tokens)
+        starts.update(float(round(t[0])) for t in tokens)
+    columns: list[float] = []
+    for x in sorted(starts):
+        if not columns or x - columns[-1] >= COLUMN_GAP:
+            columns.append(x)
+    table = []
+    for tokens in lines:
+        cells: list[list[str]] = [[] for _ in columns]
+        for x, _, texts in tokens:
+            k = bisect_left(columns, x)  # the nearest start; the left one of two equally near
+            if k == len(columns) or (k > 0 and x - columns[k - 1] <= columns[k] - x):
+                k -= 1
+            cells[k] += texts
+        table.append([" ".join(c) for c in cells])
+    least = max(2, round(len(table) * 0.25))
+    kept = [k for k in range(len(columns)) if sum(row[k] != "" for row in table) >= least]
+    return [(n, [row[k] for k in kept]) for n, row in enumerate(table)] if len(kept) >= 2 else []
 
 
 def fill_share(tables: DataFrame) -> DataFrame:
