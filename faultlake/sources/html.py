@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -123,6 +124,11 @@ def select(pages: DataFrame, css: str) -> DataFrame:
 SITE = {"article": "a.tpg-post-link", "title": "h1", "content": "div.futurio-content.single-content", "image": "figure img", "category": "span.categories-links a"}
 
 
+_TEXTS = pa.list_(pa.string())
+PARTS = {"title": pa.string(), "date": pa.string(), "paragraphs": _TEXTS, "images": pa.list_(pa.struct([(n, pa.string()) for n in ("data_src", "data_lazy_src", "data_srcset", "srcset", "src")])), "categories": _TEXTS, "tags": _TEXTS,
+         "lists": pa.list_(pa.struct([("label", pa.string()), ("items", pa.string())])), "comments": pa.list_(pa.struct([("author", pa.string()), ("texts", _TEXTS), ("date", pa.string())]))}
+
+
 def article_parts(pages: DataFrame, site: dict[str, str] | None = None) -> DataFrame:
     """One row per page with the raw parts of its article, found by the site's selectors.
 
@@ -151,8 +157,18 @@ def article_parts(pages: DataFrame, site: dict[str, str] | None = None) -> DataF
                 stack.extend(reversed(inside.get(k, [])))
             return out
 
+        by_name: dict[str, list[int]] = {}
+        for k, n in enumerate(nodes):
+            for name in (n["tag"], *("." + c for c in set(n["classes"]))):
+                by_name.setdefault(name, []).append(k)
+
         def find(steps, among) -> list[int]:
-            return [k for k in among if steps and matches(nodes, k, steps)]
+            if not steps:
+                return []
+            tag, classes = steps[-1]
+            some = by_name.get("." + min(classes) if classes else tag, ()) if classes or tag else range(len(nodes))
+            inside_ = among if among is whole else set(among)
+            return [k for k in some if (among is whole or k in inside_) and matches(nodes, k, steps)]
 
         whole = below(-1)
         title, date = find(wanted["title"], whole)[:1], find(fixed["date"], whole)[:1]
@@ -174,14 +190,14 @@ def article_parts(pages: DataFrame, site: dict[str, str] | None = None) -> DataF
         return {"title": text(title[0]) if title else "", "date": text(date[0]) if date else "", "paragraphs": [text(k) for k in body if nodes[k]["tag"] == "p"], "images": images,
                 "categories": cats, "tags": [text(k) for k in find(fixed["tags"], whole)], "lists": lists, "comments": comments}
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pd.DataFrame([{"page_id": i, "url": u, **one(h)} for i, u, h in batch.itertuples(index=False)],
-                               columns=["page_id", "url", "title", "date", "paragraphs", "images", "categories", "tags", "lists", "comments"])
+            rows = [one(h) for h in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array([r[n] for r in rows], t) for n, t in PARTS.items())], names=["page_id", "url", *PARTS])
 
     schema = ("page_id long, url string, title string, date string, paragraphs array<string>, images array<struct<data_src:string,data_lazy_src:string,data_srcset:string,srcset:string,src:string>>, "
               "categories array<string>, tags array<string>, lists array<struct<label:string,items:string>>, comments array<struct<author:string,texts:array<string>,date:string>>")
-    return pages.where("html is not null and html <> ''").select("page_id", "url", "html").mapInPandas(run, schema)
+    return pages.where("html is not null and html <> ''").select(F.col("page_id").cast("long"), "url", "html").mapInArrow(run, schema)
 
 
 def _filled(values):
