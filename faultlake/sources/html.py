@@ -206,14 +206,15 @@ def _filled(values):
 
 def parse_articles(pages: DataFrame, site: dict[str, str] | None = None) -> DataFrame:
     """Articles of pages: the field rules run as expressions over ``article_parts``."""
-    parts = article_parts(pages, site)
+    # columns of their own, so that no paragraph is looked at twice
+    parts = article_parts(pages, site).withColumn("_all", _filled(F.col("paragraphs"))).withColumn("_english", F.filter("_all", T.is_english))
     empty = F.array().cast("array<string>")
     codes = F.aggregate(F.transform("lists", lambda x: T.list_fault_codes(T.collapse_ws(x["items"]), T.collapse_ws(x["label"]))), empty, lambda a, b: F.concat(a, b))
     numbers = F.aggregate(F.transform("lists", lambda x: T.list_part_numbers(T.collapse_ws(x["items"]), T.collapse_ws(x["label"]))), empty, lambda a, b: F.concat(a, b))
     candidates = F.filter(F.transform("images", lambda i: T.image_candidate(i["data_src"], i["data_lazy_src"], i["data_srcset"], i["srcset"], i["src"])), lambda u: u.isNotNull())
     made = parts.select(
         "page_id", "url", T.collapse_ws(F.col("title")).alias("title"), T.collapse_ws(F.col("date")).alias("published_date"),
-        F.array_join(A.english_or_all(_filled(F.col("paragraphs"))), "\n\n").alias("content"),
+        F.array_join(F.when(F.size("_english") > 0, F.col("_english")).otherwise(F.col("_all")), "\n\n").alias("content"),
         absolute_images(F.col("url"), candidates).alias("images"),
         A.without_word(_filled(F.col("categories")), "crap").alias("categories"), F.array_distinct(_filled(F.col("tags"))).alias("tags"),
         F.array_distinct(codes).alias("fault_codes"), F.array_distinct(numbers).alias("part_numbers"),
