@@ -6,6 +6,7 @@ made only where the session names none (tests, one-machine runs).
 
 from __future__ import annotations
 
+import logging
 import tempfile
 import uuid
 
@@ -94,4 +95,14 @@ def global_ordinal(df: DataFrame, group: str, order: list[str], name: str) -> Da
             .drop("_part", "_here", "_before"))
 
 
+def configure_logging(level: str = "INFO", logfile: str | None = None) -> None:
+    """Messages of the driver to the console, or with their times to a file; the executors' logs are the cluster's."""
+    line = "%(levelname)s:%(name)s:%(message)s"
+    handler = logging.FileHandler(logfile, encoding="utf-8") if logfile else logging.StreamHandler()
+    handler.setFormatter(logging.Formatter(("%(asctime)s " if logfile else "") + line))
+    root = logging.getLogger()
+    root.setLevel(level.upper())
+    root.addHandler(handler)
+
+
 STRINGS = T.ArrayType(T.StringType())

@@ -59,3 +59,20 @@ def test_images_and_manuals_as_files(spark, tmp_path):
         files.one_manual(spark, f"{folder}/c.txt")
     with pytest.raises(ValueError):
         files.manual_files(spark, folder, "*.xyz")
+
+
+def test_logging_to_a_file(tmp_path):
+    import logging
+
+    root = logging.getLogger()
+    before = list(root.handlers), root.level
+    session.configure_logging("info", str(tmp_path / "run.log"))
+    logging.getLogger("site").info("Saved %d articles", 3)
+    logging.getLogger("site").debug("not this")
+    own = [h for h in root.handlers if h not in before[0]]
+    for h in own:
+        h.close()
+        root.removeHandler(h)
+    root.setLevel(before[1])
+    text = (tmp_path / "run.log").read_text()
+    assert text.endswith("INFO:site:Saved 3 articles\n") and "not this" not in text
