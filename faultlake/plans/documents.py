@@ -202,7 +202,7 @@ def snk6(spark, sf):
     from faultlake.operators import articles as A
 
     made = A.adapt_articles(table(spark, sf, "articles").where("article_id is not null").dropDuplicates(["article_id"]))
-    path = E.write_articles(made, f"{staged_folder(spark)}/sites-{uuid4().hex}", "evsite")
+    path = E.write_articles(made, f"{staged_folder(spark)}/sites-{uuid4().hex}", "site")
     return spark.read.schema("article_id long, title string").json(path)
 
 

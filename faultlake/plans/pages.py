@@ -226,23 +226,32 @@ def fn12(spark, sf):
 
 
 def _vehicle_docs(spark, sf):
-    m = table(spark, sf, "manuals").dropDuplicates(["document_id"]).withColumn("v", F.col("vehicle"))
+    m = table(spark, sf, "manuals").where("document_id is not null").dropDuplicates(["document_id"]).withColumn("v", F.col("vehicle"))
     model = F.when(F.col("v.model").rlike("^[A-Za-z][A-Za-z0-9-]*$"), F.col("v.model")).otherwise("LEAF")
     lines = F.array(F.lit(""), F.when(F.col("v.year").isNull(), "EVB-1").otherwise(F.concat(F.lit("EVB-"), F.substring("v.year", 3, 2))),
                     F.when(F.col("v.year").isNull(), "cover 1!").otherwise(F.concat("v.year", F.lit(" "), model)),
                     F.when(F.col("v.revision_date").isNull(), "note #").otherwise(F.concat(F.lit("Revision: "), "v.revision_date")))
-    fore = F.when(F.col("v.make").isNotNull() & (F.length("v.make") % 2 == 0), F.concat(F.lit("procedure for the 2011 "), F.upper(F.regexp_replace("v.make", "[^A-Za-z]", "")), F.lit("-X FALCO-2")))
-    title = F.when(F.substring("document_id", 1, 1) < "8", F.lit("2013 Nissan LEAF Service Manual"))
+    name = F.concat_ws(" ", "v.year", "v.make", "v.model")
+    fore = F.when(F.col("v.make").isNotNull() & (F.length("v.make") % 2 == 0), F.concat(F.lit("procedure for the "), name, F.lit(" and its kin")))
+    title = F.when(F.substring("document_id", 1, 1) < "8", F.concat(F.lit("Service "), name, F.lit(" Manual")))
     return m.select(F.col("document_id").alias("doc"), V.footer_info(lines).alias("footer"), V.foreword_info(fore).alias("foreword"), V.title_info(title).alias("title"), F.lit("June 2020").alias("revision"))
 
 
-@query("fn14_foreword", "select doc, '2011' as year, upper(k[1]) || lower(k[2:]) || '-X' as make, 'FALCO-2' as model from (select document_id as doc, regexp_replace(any_value(vehicle).make, '[^A-Za-z]', '', 'g') as k, any_value(vehicle).make as m from manuals group by document_id) where m is not null and length(m) % 2 = 0 and length(k) > 0")
+_NAMES = "(select document_id as doc, any_value(vehicle).make as m, concat_ws(' ', any_value(vehicle).year, any_value(vehicle).make, any_value(vehicle).model) as n from manuals where document_id is not null group by document_id)"
+_FORE, _TITLE = r"(?i)for the (\d{4})\s+([A-Z][A-Z\-]+)\s+([A-Z][A-Z0-9\-]+)", r"(\d{4})\s+([A-Za-z]+)\s+([A-Za-z0-9\-]+)"
+
+
+@query("fn14_foreword", f"""select doc, regexp_extract(t, '{_FORE}', 1) as year, array_to_string(list_transform(string_split(regexp_extract(t, '{_FORE}', 2), '-'), lambda w: upper(w[1]) || lower(w[2:])), '-') as make, upper(regexp_extract(t, '{_FORE}', 3)) as model
+ from (select doc, 'procedure for the ' || n || ' and its kin' as t from {_NAMES} where m is not null and length(m) % 2 = 0) where regexp_matches(t, '{_FORE}')""")
 def fn14b(spark, sf):
+    """Foreword phrases of the manuals' own years, makes and models, as people typed them."""
     return _vehicle_docs(spark, sf).where("foreword is not null").select("doc", "foreword.*")
 
 
-@query("fn15_title", "select document_id as doc, '2013' as year, 'Nissan' as make, 'LEAF' as model from (select distinct document_id from manuals) where substr(document_id, 1, 1) < '8'")
+@query("fn15_title", f"""select doc, regexp_extract(t, '{_TITLE}', 1) as year, regexp_extract(t, '{_TITLE}', 2) as make, upper(regexp_extract(t, '{_TITLE}', 3)) as model
+ from (select doc, 'Service ' || n || ' Manual' as t from {_NAMES} where substr(doc, 1, 1) < '8') where regexp_matches(t, '{_TITLE}')""")
 def fn15(spark, sf):
+    """Titles of the manuals' own years, makes and models."""
     return _vehicle_docs(spark, sf).where("title is not null").select("doc", "title.*")
 
 
