@@ -8,11 +8,14 @@ of several manuals have a ``doc`` column, which is part of every key; tables of
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from faultlake.functions import text as T
+from faultlake.session import map_groups
 
 # Headings that open a code index, and those too ambiguous for bookmarks.
 HEADINGS = (
@@ -252,6 +255,34 @@ def link_texts(links: DataFrame, words: DataFrame) -> DataFrame:
     return text.select("page_id", "link_ord", T.ref_in(F.col("t")).alias("ref_text")).where("ref_text is not null")
 
 
+def words_right(words: DataFrame, together: bool = False) -> DataFrame:
+    """(page_id, ord, n): how many words begin right of a word on its line, less than LINE_BAND points above or below; words with none are left out.
+
+    A page is sorted by height once and each word compared with those after it while they are within the band, so pages are never joined with themselves.
+    ``together``: the words of a page are one after another already.
+    """
+    # what is null is right of nothing, or has nothing right of it
+    known = words.where("page_id is not null and y0 is not null").select("page_id", "ord", *(F.coalesce(F.col(c).cast("double"), F.lit(at)).alias(c) for c, at in (("x0", -np.inf), ("x1", np.inf))), F.col("y0").cast("double").alias("y0"))
+
+    def run(rows: pa.Table, sizes: np.ndarray) -> pa.Table:
+        page, y = np.repeat(np.arange(len(sizes)), sizes), rows["y0"].to_numpy()
+        order = np.lexsort((y, page))
+        page, y, x0, x1 = page[order], y[order], rows["x0"].to_numpy()[order], rows["x1"].to_numpy()[order]
+        n = ((x0 > x1) & (y - y < LINE_BAND)).astype(np.int64)  # a word that ends before it begins is right of itself
+        i, step = np.arange(len(y)), 1
+        while i.size:
+            i = i[i + step < len(y)]
+            i = i[(page[i + step] == page[i]) & (y[i + step] - y[i] < LINE_BAND)]
+            n[i] += x0[i + step] > x1[i]
+            n[i + step] += x0[i] > x1[i + step]
+            step += 1
+        some = np.flatnonzero(n)
+        found = rows.select(["page_id", "ord"]).take(order[some]).append_column("n", pa.array(n[some]))
+        return found.group_by(["page_id", "ord"], use_threads=False).aggregate([("n", "sum")]).select(["page_id", "ord", "n_sum"]).rename_columns(["page_id", "ord", "n"])
+
+    return map_groups(known, "page_id", run, ", ".join(f"{c} {words.schema[c].dataType.simpleString()}" for c in ("page_id", "ord")) + ", n long", together)
+
+
 def common_prefix(titles: Column) -> Column:
     """Longest common prefix of whole words of an array of titles, '' if there is none."""
     split = F.transform(titles, lambda t: F.split(T.collapse_ws(t), " "))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from faultlake.operators import dtc_index as I
-from faultlake.plans.derived import KEY, PAGE, ansi, cte, derived, run
+from faultlake.plans.derived import KEY, PAGE, ansi, cte, derived, run, words_by_page
 from faultlake.session import table
 
 QUERIES, SQL = {}, {}
@@ -204,9 +204,7 @@ def jn15(spark, sf):
 
 @query("jn20_row_words", cte("words") + "select a.page_id, a.ord, count(*) as n from words a join words b on a.page_id = b.page_id and abs(b.y0 - a.y0) < 3 and b.x0 > a.x1 group by 1, 2")
 def jn20(spark, sf):
-    w = derived(spark, sf, "words")
-    b = w.select("page_id", F.col("x0").alias("bx"), F.col("y0").alias("by"))
-    return w.join(b, "page_id").where("abs(by - y0) < 3 and bx > x1").groupBy("page_id", "ord").agg(F.count("*").alias("n"))
+    return I.words_right(words_by_page(spark, sf), together=True)
 
 
 @query("flt11_page_belongs", "select distinct record_id, len(list_filter(codes, lambda c: contains(upper(substr(t, 1, 300)), upper(c)))) > 0 as belongs from (select record_id, codes, coalesce(title, '') || coalesce(codes[1], '') as t from dtc_records where codes is not null)")

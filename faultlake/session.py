@@ -9,7 +9,11 @@ from __future__ import annotations
 import logging
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -95,6 +99,38 @@ def global_ordinal(df: DataFrame, group: str, order: list[str], name: str) -> Da
             .drop("_part", "_here", "_before"))
 
 
+def map_groups(df: DataFrame, group: str, run: Callable[[pa.Table, np.ndarray], pa.RecordBatch | pa.Table], schema: str, together: bool = False) -> DataFrame:
+    """``run(rows, sizes)`` over Arrow tables of whole groups: rows of ``df`` with those of a group one after another, and how many each group has.
+
+    Groups are shuffled and sorted as plain rows, which spill (``together``: ``df`` has the rows of each group one after another in one partition
+    already, and is taken as it is). Rows come in batches, and a worker holds one batch and the group it breaks off in, however many groups a task has.
+    """
+    def ends(keys: pa.Array | pa.ChunkedArray) -> np.ndarray:
+        keys = keys.combine_chunks() if isinstance(keys, pa.ChunkedArray) else keys
+        return pc.run_end_encode(keys).run_ends.to_numpy()
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            rows = pa.Table.from_batches(parts)
+            out = run(rows, np.diff(ends(rows[group]), prepend=0))
+            return iter([out] if isinstance(out, pa.RecordBatch) else out.to_batches())
+
+        held: list[pa.RecordBatch] = []  # the group broken off
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = batch[group]
+            cut = int(np.append(0, ends(keys))[-2])
+            if cut or (held and held[-1][group][-1].as_py() != keys[0].as_py()):
+                yield from done([*held, batch.slice(0, cut)])
+                held = []
+            held.append(batch.slice(cut))
+        if held:
+            yield from done(held)
+
+    return (df if together else df.repartition(group).sortWithinPartitions(group)).mapInArrow(whole, schema)
+
+
 def configure_logging(level: str = "INFO", logfile: str | None = None) -> None:
     """Messages of the driver to the console, or with their times to a file; the executors' logs are the cluster's."""
     line = "%(levelname)s:%(name)s:%(message)s"
