@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from faultlake.operators import tables as X
-from faultlake.plans.derived import KEY, PAGE, ansi, cte, derived, run
+from faultlake.plans.derived import KEY, PAGE, ansi, cte, derived, run, words_by_page
 from faultlake.session import table
 
 QUERIES, SQL = {}, {}
@@ -176,7 +176,7 @@ def jn12(spark, sf):
 
 @query("fn29_rebuilt_tables")
 def fn29(spark, sf):
-    return X.rebuild(derived(spark, sf, "words"), "page_id")
+    return X.rebuild(words_by_page(spark, sf), "page_id", together=True)
 
 
 #: A third of the tables get words on their left, half of them end at the page's edge, a fifth of these at a drawn border, a quarter have rows from words: one column more, every row filled.

@@ -8,8 +8,10 @@ import pytest
 
 import __spark_entry__ as entry
 from faultlake.operators import dtc_index as I
+from faultlake.operators import tables as X
 from faultlake.session import map_groups
 from oracle import DATA
+from test_folds import WORDS, plain_rebuild, words
 
 QUERIES = entry.queries()
 
@@ -57,3 +59,12 @@ def test_words_right(spark, small_batches):
 def test_row_words_join_nothing(spark):
     text = plan(QUERIES["jn20_row_words"](spark, DATA))
     assert "Join" not in text and "Broadcast" not in text
+
+
+def test_rebuild_takes_words_not_pages(spark, small_batches):
+    data = words(random.Random(8), pages=10, n=50)
+    got = {}
+    for r in X.rebuild(spark.createDataFrame(data, WORDS).repartition(3), "g").orderBy("g", "row_no").collect():
+        got.setdefault(r.g, []).append(r.cells)
+    assert got == {g: t for g in range(10) if (t := plain_rebuild([w for w in data if w[0] == g]))} and got
+    assert "collect_list" not in plan(QUERIES["fn29_rebuilt_tables"](spark, DATA))
